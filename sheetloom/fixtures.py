@@ -276,9 +276,10 @@ def month_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two header rows, then brand, type and size down and calendar months across, with two totals."""
     def make():
         part = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_type", "p_size")
-        sold = lines(spark, sf_dir).join(part, F.col("l_partkey") == F.col("p_partkey"))
+        sold = lines(spark, sf_dir).withColumn("m", F.month("ship_date"))
+        sold = sold.join(part, F.col("l_partkey") == F.col("p_partkey"))
         by = ["p_brand", "p_type", "p_size"]
-        sums = sold.groupBy(*by).pivot(_month(), list(range(1, 13))).agg(F.sum("l_quantity").cast("bigint"))
+        sums = sold.groupBy(*by).pivot("m", list(range(1, 13))).agg(F.sum("l_quantity").cast("bigint"))
         brand = F.regexp_extract("p_brand", "([0-9]+)$", 1).cast("bigint")
         kind = F.array_position(F.array(*[F.lit(t) for t in TYPES]), F.col("p_type"))
         row = ((brand * 6 + kind) * SIZES + F.col("p_size") + 3).cast("bigint")
@@ -300,10 +301,6 @@ def month_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
     return landed(spark, sf_dir, "month_sheet", make)
 
 
-def _month() -> Column:
-    return F.month("ship_date").alias("m")
-
-
 # --- dirty text beside what it was made from
 
 

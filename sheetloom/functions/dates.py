@@ -7,20 +7,27 @@ from pyspark.sql import functions as F
 SERIAL_EPOCH = "1899-12-30"
 LAST_SERIAL = 2958465
 
-_SERIAL = r"^\s*[0-9]+(\.[0-9]*)?\s*$"
+_SERIAL = r"^\s*([0-9]+)(\.[0-9]*)?\s*$"
 _SLASH = r"(?s)^\s*([0-9]{1,2})/([0-9]{1,2})/%s(?![0-9]).*$"
 
 
 def serial_date(c: Column) -> Column:
     """Spreadsheet serial number as a date; the time of day is cut off. Not a number: NULL."""
-    number = F.when(c.rlike(_SERIAL), F.trim(c)).try_cast("double")
-    days = F.when(number < LAST_SERIAL + 1, number).cast("int")
-    return F.date_add(F.lit(SERIAL_EPOCH).cast("date"), days)
+    days = F.regexp_extract(c, _SERIAL, 1).try_cast("int")
+    return F.date_add(F.lit(SERIAL_EPOCH).cast("date"), F.when(days <= LAST_SERIAL, days))
 
 
-def _slashes_to_iso(c: Column) -> Column:
+def _iso_text(c: Column, repair_year: bool) -> Column:
+    """Slash dates rewritten year first, two-digit years as 20xx, the rest as it is.
+
+    All repairs are made on the text: as nested date expressions they would
+    repeat each other's input and swell the plans they are used in.
+    """
     four = F.regexp_replace(c, _SLASH % "([0-9]{4})", "$3-$1-$2")
-    return F.regexp_replace(four, _SLASH % "([0-9]{2})", "20$3-$1-$2")
+    text = F.regexp_replace(four, _SLASH % "([0-9]{2})", "20$3-$1-$2")
+    if repair_year:
+        text = F.regexp_replace(text, r"^\s*00([0-9]{2}-)", "20$1")
+    return F.trim(text)
 
 
 def widen_year(d: Column) -> Column:
@@ -33,15 +40,15 @@ def mixed_date(c: Column, repair_year: bool = True) -> Column:
 
     Text after a slash date and a time after an ISO date are ignored.
     """
-    found = F.coalesce(serial_date(c), F.trim(_slashes_to_iso(c)).try_cast("date"))
-    return widen_year(found) if repair_year else found
+    iso = F.when(~c.rlike(_SERIAL), _iso_text(c, repair_year)).try_cast("date")
+    return F.coalesce(serial_date(c), iso)
 
 
 def calendar_date(c: Column) -> Column:
     """As ``mixed_date``, but only slash forms and serial numbers count."""
     is_slash = c.rlike(_SLASH % "([0-9]{4}|[0-9]{2})")
-    text = F.when(is_slash, F.trim(_slashes_to_iso(c))).try_cast("date")
-    return widen_year(F.coalesce(text, serial_date(c)))
+    text = F.when(is_slash, _iso_text(c, True)).try_cast("date")
+    return F.coalesce(text, serial_date(c))
 
 
 # The accepted time stamp forms, tried in this order.

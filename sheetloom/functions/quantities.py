@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 def signed_quantity(c: Column, paren_negative: bool = False) -> Column:
     """Keep digits, point and minus; what is then no number is NULL.
 
-    ``(5)`` reads as 5 unless ``paren_negative`` asks for accounting style.
+    ``(5)`` reads as 5 unless ``paren_negative`` asks for accounting style, and
+    ``-0`` as plain zero.
     """
-    value = F.regexp_replace(c, r"[^0-9.\-]", "").try_cast("double")
+    value = F.regexp_replace(c, r"[^0-9.\-]", "").try_cast("double") + F.lit(0.0)
     if paren_negative:
         value = F.when(c.rlike(r"^\s*\(.*\)\s*$"), -F.abs(value)).otherwise(value)
     return value
@@ -24,7 +25,7 @@ def unsigned_quantity(c: Column) -> Column:
 def quantity_or_zero(c: Column, strip_commas: bool = False) -> Column:
     """A dash or an empty text is 0, other text is a number or NULL; NULL stays NULL."""
     text = F.replace(c, F.lit(","), F.lit("")) if strip_commas else c
-    return F.when(c.isin("-", ""), F.lit(0.0)).otherwise(text.try_cast("double"))
+    return F.when(c.isin("-", ""), F.lit(0.0)).otherwise(text.try_cast("double") + F.lit(0.0))
 
 
 def rounded_half_even(c: Column) -> Column:

@@ -3,7 +3,6 @@
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from ..sources.sheets import ROW, cell_columns
 from .forecast_melt import preview_rows
@@ -47,7 +46,7 @@ def positional_columns(df: DataFrame) -> DataFrame:
 
 def swap_columns(df: DataFrame, one: str, other: str) -> DataFrame:
     change = {one: other, other: one}
-    return df.select(*[F.col(f"`{change.get(c, c)}`") for c in df.columns])
+    return df.selectExpr(*[f"`{change.get(c, c)}`" for c in df.columns])
 
 
 def drop_if_present(df: DataFrame, names: Sequence[str]) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from ..functions import placeholder_to_null, placeholder_to_zero, rounded_half_even, trim_code
 from ..sources.sheets import ROW
 from .labels import melt_cells
-from .columns import drop_if_present, swap_columns
+from .columns import swap_columns
 
 # A schema cannot hold arbitrarily many columns; this is Spark's own limit for pivots.
 MAX_LABELS = 10_000
@@ -37,17 +37,19 @@ def transpose_wide(grid: DataFrame, corner: str = "SKU", was: str = "Period") ->
     if len(top) > MAX_LABELS:
         raise ValueError(f"more than {MAX_LABELS} rows cannot become columns")
     labels = list(dict.fromkeys(row[first] for row in top))
+    if corner not in labels:
+        raise ValueError(f"no row is named {corner}")
+    values = [label for label in labels if label != corner and label not in EXTRA_ROWS]
     long = melt_cells(named, [F.col(ROW), F.col(first).alias("_label")], cells)
     names = F.array(*[F.lit(c) for c in cells])
     long = long.withColumn(was, F.element_at(names, F.col("col_idx")))
-    flipped = pivot_first(long, [was], "_label", "cell", ROW, labels)
-    flipped = drop_if_present(flipped, EXTRA_ROWS)
-    flipped = swap_columns(flipped, was, corner)
-    values = [
-        rounded_half_even(F.col(f"`{c}`")).alias(c) if c not in (was, corner) else F.col(c)
-        for c in flipped.columns
-    ]
-    return flipped.select(*values).withColumn(corner, trim_code(F.col(corner)))
+    codes = long.filter(F.col("_label") == corner).groupBy(was).agg(F.min(F.struct(ROW, "cell")).getField("cell").alias(corner))
+    whole = long.filter(F.col("_label").isin(values)).withColumn("cell", rounded_half_even(F.col("cell")))
+    flipped = codes.withColumn(corner, trim_code(F.col(corner)))
+    if values:
+        flipped = flipped.join(pivot_first(whole, [was], "_label", "cell", ROW, values), was)
+    order = [was, *[label for label in labels if label not in EXTRA_ROWS]]
+    return swap_columns(flipped.selectExpr(*[f"`{c}`" for c in order]), was, corner)
 
 
 def pivot_first(long: DataFrame, by: list[str], label: str, value: str, order: str, labels: list) -> DataFrame:

@@ -34,7 +34,7 @@ from .sources.sheets import (
 )
 from .sources.specs import LOOKUP_SPEC, SheetSpec
 from .sources.tables import plan_columns, register_view, scan_existing, scan_table, union_sources
-from .staging import new_path
+from .staging import new_path, stage
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -118,11 +118,12 @@ def scan_inferred_query(spark, sf_dir):
 
 @query
 def source_specs(spark, sf_dir):
+    """Each source's long table, written, and what it holds."""
     calendar = fx.calendar_sheet(spark, sf_dir)
     parts = []
     for spec in fx.refresh_specs(spark, sf_dir):
         spec = replace(spec, calendar=fx.calendar_range())
-        long = sheet_to_table(fx.refresh_sheet(spark, sf_dir, spec), spec, calendar)
+        long = stage(sheet_to_table(fx.refresh_sheet(spark, sf_dir, spec), spec, calendar), spec.table)
         value = "Planning_Value" if spec.kind == "plan" else "Forecast_Value"
         total = long.agg(F.count("*").alias("n_rows"), F.count("Date").alias("n_dated"), F.sum(value).cast("bigint").alias("total"))
         parts.append(total.select(F.lit(spec.table).alias("source_table"), F.lit(spec.city).alias("city"), "n_rows", "n_dated", "total"))
@@ -280,7 +281,8 @@ def two_row_header(spark, sf_dir):
 @query
 def two_row_header_plain(spark, sf_dir):
     grid = month_grid(spark, sf_dir)
-    return columns.two_row_header_plain(grid.select(ROW, *[f"_c{i}" for i in range(2, 17)]))
+    named = columns.two_row_header_plain(grid.select(ROW, *[f"_c{i}" for i in range(2, 17)]))
+    return named.withColumnRenamed("", "unnamed")
 
 
 @query
@@ -292,7 +294,7 @@ def clean_columns(spark, sf_dir):
 @query
 def unique_columns(spark, sf_dir):
     parts = fx.table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size")
-    return columns.unique_columns(parts, ["a", "a", "a_1", "", None])
+    return columns.unique_columns(parts, ["a", "a", "a_1", "b", "b"])
 
 
 @query
@@ -333,7 +335,7 @@ def drop_empty_rows_query(spark, sf_dir):
 
 @query
 def row_index_query(spark, sf_dir):
-    return row_index(plan_grid(spark, sf_dir, drop_empty=True).select(ROW, "_c0"), ROW)
+    return row_index(plan_grid(spark, sf_dir, drop_empty=True).select(ROW, "_c0"), ROW, "row_index")
 
 
 @query

@@ -25,8 +25,14 @@ def quoted(names: list[str]) -> str:
 
 
 def drop_empty_rows(df: DataFrame) -> DataFrame:
-    """Drop rows in which every cell is NULL."""
-    return df.filter(f"coalesce({quoted(cell_columns(df))}) IS NOT NULL")
+    """Drop rows in which every cell is NULL.
+
+    A plain filter over all cells would make Spark derive a version of it for
+    every combination of renamed columns, which never ends on wide grids. The
+    partition id, never negative, keeps the filter out of that.
+    """
+    never = "CASE WHEN spark_partition_id() < 0 THEN '' END"
+    return df.filter(f"coalesce({quoted(cell_columns(df))}, {never}) IS NOT NULL")
 
 
 def scan_range(sheet: DataFrame, cells: str, header: bool = False, drop_empty: bool = True) -> DataFrame:
