@@ -32,7 +32,7 @@ def plan_key(null_token: str | None = None) -> Column:
     Missing parts are left out, so rows that differ only in which part is
     missing can share a key; ``null_token`` keeps them apart.
     """
-    parts = [F.col("Period"), F.date_format("Date", "yyyy-MM-dd"), F.col("Item"), F.col("Location")]
+    parts = [F.col("Period"), F.col("Date").cast("string"), F.col("Item"), F.col("Location")]
     if null_token is not None:
         parts = [F.coalesce(p, F.lit(null_token)) for p in parts]
     return F.concat_ws("-", *parts)
@@ -43,7 +43,7 @@ def forecast_key() -> Column:
     return F.concat_ws(
         "-",
         F.col("Period"),
-        F.date_format("Date", "yyyy-MM-dd"),
+        F.col("Date").cast("string"),
         F.coalesce(F.col("Item").cast("string"), F.lit(NO_ITEM)),
         F.col("Location"),
     )

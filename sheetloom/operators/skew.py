@@ -3,18 +3,20 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A side up to these sizes is sent to every task; above, both sides are shuffled.
+from ..staging import stage
+
+# A side within these sizes is sent to every task; beyond, both sides are shuffled.
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 32 * 1024 * 1024
 
-HOT_SHARE = 0.01
-SALTS = 64
+HOT_SHARE = 0.01  # a key with this share of the rows is spread,
+SALTS = 64  # over this many partitions
 
 
 def fits_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
-    """Whether ``df`` stays below both limits. Looks at no more than ``rows + 1`` rows."""
+    """Whether ``df`` stays within both limits, counted and measured where it lies."""
     width = F.length(F.to_json(F.struct("*")))
-    seen = df.limit(rows + 1).agg(F.count("*").alias("n"), F.coalesce(F.sum(width), F.lit(0)).alias("size")).first()
+    seen = df.agg(F.count("*").alias("n"), F.coalesce(F.sum(width), F.lit(0)).alias("size")).first()
     return seen["n"] <= rows and seen["size"] <= size
 
 
@@ -31,7 +33,12 @@ def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> list:
 
 
 def join_unique(left: DataFrame, right: DataFrame, key: str, how: str = "left") -> DataFrame:
-    """Join to a right side with few rows per key, sent to every task where its size allows."""
+    """Join to a right side with few rows per key, sent to every task where its size allows.
+
+    The right side is written first, so that measuring it and joining to it
+    compute it once.
+    """
+    right = stage(right, "joined")
     if fits_broadcast(right):
         return left.join(F.broadcast(right), key, how)
     return join_spread(left, right, key, how)

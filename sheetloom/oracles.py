@@ -38,7 +38,8 @@ FORECAST_CELL = """fx_size_week as (
     select p_size, date_trunc('week', ship_date)::date as monday, cast(sum(l_quantity) as bigint) as n
     from fx_line join part on p_partkey = l_partkey group by all),
 fx_forecast_cell as (
-    select s.p_size, w.col_idx as week, w.monday, w.period, coalesce(q.n, 0) as n, (s.p_size + day(w.monday)) % 6 as kind
+    select s.p_size, w.col_idx as week, w.monday, w.period, coalesce(q.n, 0) as n, (s.p_size + day(w.monday)) % 6 as kind,
+           case when w.monday in (select ship_date from fx_line) then w.monday end as dated
     from (select distinct p_size from part) s cross join fx_week w
     left join fx_size_week q on q.p_size = s.p_size and q.monday = w.monday)"""
 
@@ -202,7 +203,7 @@ def filled(period: str, kind3: str) -> str:
 
 
 def long_forecast(prefix: str, extra: str = '"Date"') -> str:
-    return f"""{FORECAST} select period as "Period", monday as "Date", {SKU} as "SKU", {item_of(prefix)} as "Item",
+    return f"""{FORECAST} select period as "Period", dated as "Date", {SKU} as "SKU", {item_of(prefix)} as "Item",
         {UNSIGNED} as "Forecast_Value" from fx_forecast_cell"""
 
 
@@ -242,11 +243,12 @@ REFRESH = f"""{PLAN}, fx_sheet_week as (
     from fx_line join part on p_partkey = l_partkey group by all),
 plan_cells as (select {PLAN_SHEET} as sheet, p_partkey::varchar as item, period, monday, {SIGNED} as v from fx_plan_cell where p_partkey <> 0),
 sheet_cells as (
-    select h.sheet, s.p_size, w.monday, w.period, coalesce(q.n, 0) as n, (s.p_size + day(w.monday)) % 6 as kind
+    select h.sheet, s.p_size, w.monday, w.period, coalesce(q.n, 0) as n, (s.p_size + day(w.monday)) % 6 as kind,
+           case when w.monday in (select ship_date from fx_line) then w.monday end as dated
     from (select unnest([5, 6, 7, 8]) as sheet) h cross join (select distinct p_size from part) s cross join fx_week w
     left join fx_sheet_week q on q.sheet = h.sheet and q.p_size = s.p_size and q.monday = w.monday),
 forecast_cells as (
-    select sheet, period, monday, {SKU} as sku, case when sheet in (5, 7) then {item_of('600')} else {item_of('200')} end as item, {UNSIGNED} as v from sheet_cells)"""
+    select sheet, period, dated, {SKU} as sku, case when sheet in (5, 7) then {item_of('600')} else {item_of('200')} end as item, {UNSIGNED} as v from sheet_cells)"""
 
 
 def refresh_summary() -> str:
@@ -255,7 +257,7 @@ def refresh_summary() -> str:
     p as (select case when sheet in (0, 2) then 'SAN' when sheet in (1, 3) then 'STER' else 'ALEX' end as loc, *,
         period || '-' || monday || '-' || item || '-' || loc as k from plan_cells where sheet in (select sheet from due)),
     pn as (select loc, v, row_number() over (order by k) as i from p),
-    f as (select case when sheet in (5, 7) then 'SAN' else 'STER' end as loc, *, period || '-' || monday || '-' || item || '-' || loc as k
+    f as (select case when sheet in (5, 7) then 'SAN' else 'STER' end as loc, *, period || coalesce('-' || dated, '') || '-' || item || '-' || loc as k
         from forecast_cells where sheet in (select sheet from due)),
     fn as (select loc, v, row_number() over (order by k, sku, item, v) as i from f)
     select 'plan_fact' as fact, loc as "Location", count(*) as n_rows, min(i) as first_key, max(i) as last_key, sum(i * v)::bigint as weighted, sum(v)::bigint as total from pn group by loc
@@ -265,7 +267,7 @@ def refresh_summary() -> str:
 def source_summary() -> str:
     names = "[" + ", ".join(f"'{t}'" for t in REFRESH_TABLES) + "]"
     cities = "[" + ", ".join(f"'{c}'" for c in REFRESH_CITIES) + "]"
-    return f"""{REFRESH}, both_kinds as (select sheet, monday, v from plan_cells union all select sheet, monday, v from forecast_cells)
+    return f"""{REFRESH}, both_kinds as (select sheet, monday, v from plan_cells union all select sheet, dated, v from forecast_cells)
     select {names}[sheet + 1] as source_table, {cities}[sheet + 1] as city, count(*) as n_rows, count(monday) as n_dated, sum(v)::bigint as total from both_kinds group by sheet"""
 
 
