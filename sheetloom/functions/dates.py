@@ -11,9 +11,14 @@ _SERIAL = r"^\s*([0-9]+)(\.[0-9]*)?\s*$"
 _SLASH = r"(?s)^\s*([0-9]{1,2})/([0-9]{1,2})/%s(?![0-9]).*$"
 
 
+def _serial_digits(c: Column) -> Column:
+    """The whole days of a serial number, empty for other text."""
+    return F.regexp_extract(c, _SERIAL, 1)
+
+
 def serial_date(c: Column) -> Column:
     """Spreadsheet serial number as a date; the time of day is cut off. Not a number: NULL."""
-    days = F.regexp_extract(c, _SERIAL, 1).try_cast("int")
+    days = _serial_digits(c).try_cast("int")
     return F.date_add(F.lit(SERIAL_EPOCH).cast("date"), F.when(days <= LAST_SERIAL, days))
 
 
@@ -40,7 +45,7 @@ def mixed_date(c: Column, repair_year: bool = True) -> Column:
 
     Text after a slash date and a time after an ISO date are ignored.
     """
-    iso = F.when(~c.rlike(_SERIAL), _iso_text(c, repair_year)).try_cast("date")
+    iso = F.when(_serial_digits(c) == "", _iso_text(c, repair_year)).try_cast("date")
     return F.coalesce(serial_date(c), iso)
 
 

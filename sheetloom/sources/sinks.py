@@ -47,9 +47,13 @@ def create_or_replace(
     properties: dict[str, str] | None = None,
     partition_by: list[str] | None = None,
     location: str | None = None,
+    bucket_by: tuple[int, str] | None = None,
 ) -> None:
     """Replace the table with its schema and properties.
 
+    ``bucket_by`` stores rows by a key, so that merges and deletes by that key
+    later read the table without shuffling it.
+
     Table formats with atomic replace do it in one commit through
     ``writeTo().createOrReplace()``; plain file formats go through
     ``saveAsTable``.
@@ -57,9 +61,14 @@ def create_or_replace(
     if fmt not in ("parquet", "orc", "csv", "json"):
         _creator(df, table, fmt, properties or {}, partition_by or [], location).createOrReplace()
         return
+    if bucket_by:
+        df = df.repartition(*bucket_by)
     writer = df.write.mode("overwrite").format(fmt).options(**(properties or {}))
     if partition_by:
         writer = writer.partitionBy(*partition_by)
+    if bucket_by:
+        buckets, key = bucket_by
+        writer = writer.bucketBy(buckets, key).sortBy(key)
     if location is not None:
         writer = writer.option("path", location)
     writer.saveAsTable(table)

@@ -183,6 +183,28 @@ def test_sinks(spark, rows, tmp_path):
         assert list(scan_existing(spark, ["t_over", "t_none"])) == ["t_over"]
 
 
+def test_merging_into_a_bucketed_table_does_not_shuffle_it(spark, rows, tmp_path):
+    target = spark.createDataFrame(TARGET, "id bigint, k string, v double, item string")
+    sinks.create_or_replace(target, "t_buckets", location=str(tmp_path / "buckets"), bucket_by=(8, "k"))
+    incoming = spark.createDataFrame(INCOMING, "k string, v double, item string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        state = upsert_changed(spark.table("t_buckets"), incoming, "k", "v", ["item"])
+        assert state._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+        assert rows(state) == rows(upsert_changed(target, incoming, "k", "v", ["item"]))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_copies_are_counted_once(spark, skewed):
+    """Both branches of the copy numbering read one shuffle."""
+    copies = with_copy_number(skewed, piece=7)
+    copies.collect()
+    plan = copies._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("partial_count") == 1 and "ReusedExchange" in plan
+
+
 def test_publish_a_version_computed_from_the_last(spark, rows, tmp_path):
     first = spark.createDataFrame([(1,), (2,)], "x int")
     sinks.publish_version(first, "t_pub", str(tmp_path))
