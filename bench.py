@@ -1,8 +1,8 @@
 """Time the headline queries and print one JSON line.
 
 Sheets and earlier fact tables that queries start from are written first and
-not timed. Each query then runs twice, all its rows are computed, and the faster
-run counts.
+not timed. Each query then runs, all its rows are computed, and if that took less
+than 15 seconds it runs once more and the faster run counts.
 """
 
 import json
@@ -23,12 +23,16 @@ HEADLINE = [
 ]
 
 
-def prepare(spark, sf_dir: str) -> None:
+AGAIN_BELOW = 15.0
+
+
+def prepare(spark, sf_dir: str, names: list[str]) -> None:
     fixtures.main_plan_sheet(spark, sf_dir)
     fixtures.main_forecast_sheet(spark, sf_dir)
     fixtures.calendar_sheet(spark, sf_dir)
-    for spec in fixtures.refresh_specs(spark, sf_dir):
-        fixtures.refresh_sheet(spark, sf_dir, spec)
+    if "refresh_all" in names:
+        for spec in fixtures.refresh_specs(spark, sf_dir):
+            fixtures.refresh_sheet(spark, sf_dir, spec)
     queries.earlier_plan_fact(spark, sf_dir)
     queries.earlier_forecast_fact(spark, sf_dir)
 
@@ -39,6 +43,11 @@ def run(spark, name: str, sf_dir: str) -> float:
     return time.perf_counter() - start
 
 
+def timed(spark, name: str, sf_dir: str) -> float:
+    first = run(spark, name, sf_dir)
+    return first if first >= AGAIN_BELOW else min(first, run(spark, name, sf_dir))
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cores = int(os.environ.get("BENCH_CPUS", "8"))
@@ -46,9 +55,9 @@ def main() -> None:
     warnings.simplefilter("ignore")
     spark = local_session(cores, "16g", "bench")
     start = time.perf_counter()
-    prepare(spark, sf_dir)
+    prepare(spark, sf_dir, names)
     prepared = time.perf_counter() - start
-    times = {name: round(min(run(spark, name, sf_dir) for _ in range(2)), 3) for name in names}
+    times = {name: round(timed(spark, name, sf_dir), 3) for name in names}
     print(json.dumps({
         "metric": "headline_queries_total",
         "value": round(sum(times.values()), 3),

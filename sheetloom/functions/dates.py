@@ -11,14 +11,14 @@ _SERIAL = r"^\s*([0-9]+)(\.[0-9]*)?\s*$"
 _SLASH = r"(?s)^\s*([0-9]{1,2})/([0-9]{1,2})/%s(?![0-9]).*$"
 
 
-def _serial_digits(c: Column) -> Column:
-    """The whole days of a serial number, empty for other text."""
-    return F.regexp_extract(c, _SERIAL, 1)
+def _whole(digits: Column) -> Column:
+    """Digits as a number. An empty text is set aside first: casting it costs an exception per row."""
+    return F.nullif(digits, F.lit("")).try_cast("int")
 
 
 def serial_date(c: Column) -> Column:
     """Spreadsheet serial number as a date; the time of day is cut off. Not a number: NULL."""
-    days = _serial_digits(c).try_cast("int")
+    days = _whole(F.regexp_extract(c, _SERIAL, 1))
     return F.date_add(F.lit(SERIAL_EPOCH).cast("date"), F.when(days <= LAST_SERIAL, days))
 
 
@@ -45,7 +45,7 @@ def mixed_date(c: Column, repair_year: bool = True) -> Column:
 
     Text after a slash date and a time after an ISO date are ignored.
     """
-    iso = F.when(_serial_digits(c) == "", _iso_text(c, repair_year)).try_cast("date")
+    iso = F.when(~c.rlike(_SERIAL), _iso_text(c, repair_year)).try_cast("date")
     return F.coalesce(serial_date(c), iso)
 
 
@@ -69,8 +69,8 @@ def parse_timestamp_utc(c: Column) -> Column:
     time zone; text without an offset is taken as UTC. No form fits: NULL.
     """
     zone = F.regexp_extract(c, _ISO, 5)
-    hours = F.regexp_extract(zone, r"^[+-]([0-9]{2})", 1).try_cast("int")
-    minutes = F.regexp_extract(zone, r"([0-9]{2})$", 1).try_cast("int")
+    hours = _whole(F.regexp_extract(zone, r"^[+-]([0-9]{2})", 1))
+    minutes = _whole(F.regexp_extract(zone, r"([0-9]{2})$", 1))
     offset = F.coalesce(hours * 60 + minutes, F.lit(0))
     offset = F.when(zone.startswith("-"), -offset).otherwise(offset)
     local = F.concat(F.regexp_extract(c, _ISO, 1), F.regexp_extract(c, _ISO, 2)).try_cast("timestamp_ntz")

@@ -4,13 +4,18 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def _number(text: Column) -> Column:
+    """Text that may be empty or a lone dash as a number; both are set aside first, as casting them costs an exception per row."""
+    return F.nullif(F.nullif(text, F.lit("")), F.lit("-")).try_cast("double")
+
+
 def signed_quantity(c: Column, paren_negative: bool = False) -> Column:
     """Keep digits, point and minus; what is then no number is NULL.
 
     ``(5)`` reads as 5 unless ``paren_negative`` asks for accounting style, and
     ``-0`` as plain zero.
     """
-    value = F.regexp_replace(c, r"[^0-9.\-]", "").try_cast("double") + F.lit(0.0)
+    value = _number(F.regexp_replace(c, r"[^0-9.\-]", "")) + F.lit(0.0)
     if paren_negative:
         value = F.when(c.rlike(r"^\s*\(.*\)\s*$"), -F.abs(value)).otherwise(value)
     return value
@@ -18,7 +23,7 @@ def signed_quantity(c: Column, paren_negative: bool = False) -> Column:
 
 def unsigned_quantity(c: Column) -> Column:
     """Keep digits and point (a sign is lost), round half up to whole units; no number is 0."""
-    value = F.regexp_replace(c, r"[^0-9.]", "").try_cast("double")
+    value = _number(F.regexp_replace(c, r"[^0-9.]", ""))
     return F.coalesce(F.round(value, 0), F.lit(0.0))
 
 
