@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import langid, minhash, toxicity
+from . import decontamination, langid, minhash, packing, toxicity
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -16,6 +16,11 @@ def query(run):
     return run
 
 
+@query
+def op1_packing(spark, sf_dir):
+    return packing.pack(table(spark, sf_dir, "documents")).drop("ids")
+
+
 @query
 def op2_minhash(spark, sf_dir):
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), words=3, num=85, den=100)
@@ -26,6 +31,11 @@ def op3_toxicity(spark, sf_dir):
     return toxicity.score_held_out(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query
+def op6_decontamination(spark, sf_dir):
+    return decontamination.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("spans")
+
+
 @query
 def op8_language_id(spark, sf_dir):
     return langid.predict_held_out(table(spark, sf_dir, "documents"))
