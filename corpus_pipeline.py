@@ -6,7 +6,7 @@ stages rows are written as Parquet and read again. All but the last keep the col
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sheetloom.llm import langid, minhash, toxicity
+from sheetloom.llm import decontamination, langid, minhash, packing, toxicity
 from sheetloom.llm.common import table
 from sheetloom.staging import stage
 
@@ -26,7 +26,23 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return minhash.keep_one(docs)
 
 
-STAGES = [("language_id", language_id), ("toxicity", drop_toxic), ("near_dedup", near_dedup)]
+def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    return decontamination.keep_clean(docs, table(spark, sf_dir, "benchmark"))
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of the training sequences, with their token ids."""
+    return packing.pack(docs)
+
+
+STAGES = [
+    ("language_id", language_id),
+    ("toxicity", drop_toxic),
+    ("near_dedup", near_dedup),
+    ("decontamination", drop_leaks),
+    ("packing", pack),
+]
 ORACLE_SQL = None  # learned models and token packing have no SQL form; tests compare with brute force
 
 
