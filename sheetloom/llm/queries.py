@@ -5,7 +5,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontamination, html_text, imatch, langid, minhash, packing, toxicity, url_reputation
+from . import chat, decontamination, html_text, imatch, langid, minhash, packing, toxicity, url_reputation, warc
+from ..staging import new_path
 from .common import table
 from .oracles import ORACLES
 
@@ -79,3 +80,10 @@ def op10_url_reputation(spark, sf_dir):
 @query
 def op9_html_text(spark, sf_dir):
     return html_text.extract(table(spark, sf_dir, "pages"))
+
+
+@query
+def op7_warc(spark, sf_dir):
+    folder = new_path(spark, "warc")
+    warc.write_archive(table(spark, sf_dir, "pages"), folder)
+    return warc.read_archive(spark, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
