@@ -157,15 +157,11 @@ def main_text(page: str | None, templates: frozenset | set) -> str:
     measure(root)
     template = {id(e) for e in candidates(root) if e.hash in templates}
 
-    def content(element):
-        """The elements that stay, those of main content if there are any."""
-        gone = id(element) in template or is_dropped(element) and not element.has_main
-        return None if gone else element
-
+    # Main content in page order. What wraps the first of it stays, whatever its name; a later wrapper may hold comments or teasers.
     found, todo = [], [root]
     while todo:
-        element = content(todo.pop())
-        if element is None:
+        element = todo.pop()
+        if id(element) in template or is_dropped(element) and (not element.has_main or element.tag in MAIN_NAMES or found):
             continue
         if element.tag in MAIN_NAMES:
             found.append(element)
@@ -188,7 +184,7 @@ def main_text(page: str | None, templates: frozenset | set) -> str:
                 words.append(node)
             elif node.tag == "br":
                 words.append(" ")
-            elif content(node) is not None:
+            elif id(node) not in template and not is_dropped(node):
                 if node.tag in BLOCKS:
                     end_block()
                     todo.append(None)
