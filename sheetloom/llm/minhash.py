@@ -9,9 +9,9 @@ Texts have A-Z lower-cased and are split at ASCII white space; a document's set
 3. It is posted under its coordinate-value pairs, rarest first. Two signatures with at least T equal coordinates
    share one of the first ``POSTED - T + 1`` in that order (prefix); values that nobody else has can't be shared,
    and a signature with fewer than T others is skipped.
-4. In each posting list all members meet the smallest one; pairs with enough equal coordinates are confirmed.
-   Then, in lists that still hold several components, every member outside the first one's component meets all
-   members, block by block: blocks are of bounded size, and only pairs above the match threshold are emitted,
+4. In each posting list all members meet the most central one, whose values are shared most; pairs with enough equal coordinates are confirmed.
+   Then, in lists that still hold several components, every member outside its component meets all
+   members, block by block: blocks are of bounded size, and only links are emitted, after full sets have confirmed them,
    each from the first list that both are in. So a group of copies costs one comparison per copy and list, and no link is lost.
 
 T lies 4.5 standard deviations below the matches expected at the threshold, so about one link in 10^5 at the very
@@ -35,7 +35,7 @@ from .components import components
 
 POSTED = 32
 CHECKED = 256
-BLOCK = 512
+BLOCK = 256
 _random = np.random.default_rng(42)
 _FACTORS = _random.integers(0, 1 << 32, CHECKED, dtype=np.uint32) | np.uint32(1)
 _OFFSETS = _random.integers(0, 1 << 32, CHECKED, dtype=np.uint32)
@@ -90,23 +90,21 @@ def _signatures(docs: DataFrame, key: str, text: str, words: int) -> DataFrame:
 
 
 def _postings(reps: DataFrame, needed: int) -> DataFrame:
-    """``(doc, token)``: the prefix of each signature, rarest values first."""
+    """``(doc, prefix, central)``: the prefix of each signature, rarest values first, and how widely it is shared."""
     tokens = reps.select("doc", F.explode("posted").alias("token"))
     shared = tokens.groupBy("token").agg(F.count("*").alias("df")).filter("df > 1")
     ranked = tokens.join(shared, "token").groupBy("doc").agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("found"))
-    prefix = ranked.filter(F.size("found") >= needed).select("doc", F.slice("found", 1, F.size("found") - needed + 1)["token"].alias("prefix"))
-    return prefix
+    central = F.aggregate("found", F.lit(0).cast("long"), lambda total, x: total + x["df"])
+    return ranked.filter(F.size("found") >= needed).select("doc", F.slice("found", 1, F.size("found") - needed + 1)["token"].alias("prefix"), central.alias("central"))
 
 
 def _equal(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return (left[:, None, :] == right[None, :, :]).sum(axis=2)
 
 
-def _confirm(pairs: DataFrame, docs: DataFrame, key: str, text: str, words: int, num: int, den: int) -> DataFrame:
+def _confirm(pairs: DataFrame, texts: DataFrame, words: int, num: int, den: int) -> DataFrame:
     """The pairs ``(a, b)`` whose full sets are alike enough."""
-    wanted = pairs.select(F.col("a").alias("doc")).union(pairs.select(F.col("b").alias("doc"))).distinct()
-    texts = docs.select(F.col(key).cast("long").alias("doc"), F.col(text).cast("string").alias("content"))
-    texts = stage(texts.join(wanted, "doc", "left_semi").dropDuplicates(["doc"]), "pair-texts")
+    texts = texts.hint("shuffle_merge")  # the same plan at every size
 
     def confirm(frames):
         last, held = None, None
@@ -135,11 +133,15 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     reps = stage(linked.join(classes.select("print", "rep"), "print", "left").filter("rep is null or rep = doc").dropDuplicates(["doc"]).select("doc", "n", "posted", "checked"), "representatives")
 
     prefixes = stage(_postings(reps, posted_needed), "prefixes")
-    postings = prefixes.select("doc", F.explode("prefix").alias("token"))
-    lists = stage(postings.groupBy("token").agg(F.min("doc").alias("first"), F.count("*").alias("members")).filter("members > 1"), "lists")
+    postings = prefixes.select("doc", F.explode("prefix").alias("token"), "central")
+    middle = F.max_by("doc", F.struct("central", -F.col("doc")))
+    lists = stage(postings.groupBy("token").agg(middle.alias("first"), F.count("*").alias("members")).filter("members > 1"), "lists")
+    postings = stage(postings.drop("central").join(lists, "token"), "postings")
+    texts = docs.select(F.col(key).cast("long").alias("doc"), F.col(text).cast("string").alias("content"))
+    texts = stage(texts.join(postings.select("doc").distinct().hint("shuffle_hash"), "doc", "left_semi").dropDuplicates(["doc"]), "texts")
 
-    # Every member of a list meets its smallest member.
-    pairs = postings.join(lists, "token").filter("doc != first").select(F.col("doc").alias("a"), F.col("first").alias("b")).distinct()
+    # Every member of a list meets its most central one.
+    pairs = postings.filter("doc != first").select(F.col("doc").alias("a"), F.col("first").alias("b")).distinct()
     marks = reps.select("doc", "n", "checked")
 
     def enough(frames):
@@ -154,50 +156,56 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
         .filter(F.least("na", "nb") * den >= F.greatest("na", "nb") * num)
         .select("a", "b", "left", "right")
     )
-    stars = stage(_confirm(stage(signed_pairs.mapInPandas(enough, "a long, b long"), "pairs"), docs, key, text, words, num, den), "links")
+    stars = stage(_confirm(stage(signed_pairs.mapInPandas(enough, "a long, b long"), "pairs"), texts, words, num, den), "links")
     found = components(stars)
 
-    # In lists with several components, members outside the first one's component meet all.
-    placed = postings.join(lists, "token").join(found.withColumnRenamed("node", "doc"), "doc", "left").withColumn("component", F.coalesce("component", "doc"))
+    # In lists with several components, members outside the central one's component meet all.
+    placed = postings.join(found.withColumnRenamed("node", "doc"), "doc", "left").withColumn("component", F.coalesce("component", "doc"))
     placed = placed.join(found.select(F.col("node").alias("first"), F.col("component").alias("main")), "first", "left").withColumn("main", F.coalesce("main", "first"))
     outside = placed.filter("component != main").groupBy("token").agg(F.count("*").alias("others"))
-    mixed = placed.join(outside, "token").join(marks, "doc").join(prefixes, "doc")
+    mixed = placed.join(outside, "token").join(marks, "doc").join(prefixes.select("doc", "prefix"), "doc").join(texts.hint("shuffle_merge"), "doc")
     blocks, groups = F.ceil(F.col("members") / BLOCK).cast("int"), F.ceil(F.col("others") / BLOCK).cast("int")
     spot = F.xxhash64("doc")
     every = lambda n: F.sequence(F.lit(0), n - 1)
-    shown = ["token", "doc", "component", "main", "n", "checked", "prefix"]
+    shown = ["token", "doc", "component", "main", "n", "checked", "prefix", "content"]
     asking = mixed.filter("component != main").select(*shown, F.lit(True).alias("asks"), F.pmod(spot, groups).cast("int").alias("g"), F.explode(every(blocks)).alias("k"))
     asked = mixed.select(*shown, F.lit(False).alias("asks"), F.pmod(spot, blocks).cast("int").alias("k"), F.explode(every(groups)).alias("g")).select(asking.columns)
 
     def meet(rows):
-        """The pairs of one block that pass, from rows of one token and block."""
+        """The links of one block, from rows of one token and block; sets are made for signatures that match."""
         ask, told = [r for r in rows if r[4]], [r for r in rows if not r[4]]
         if not ask or not told:
             return
         equal = _equal(np.frombuffer(b"".join(r[3] for r in ask), np.uint8).reshape(-1, CHECKED), np.frombuffer(b"".join(r[3] for r in told), np.uint8).reshape(-1, CHECKED))
+        sets: dict[int, np.ndarray] = {}
         for i, j in zip(*np.nonzero(equal >= checked_needed)):
             x, y = ask[i], told[j]
             if x[1] == y[1] or (y[5] and x[0] <= y[0]):
                 continue
-            if den * min(x[2], y[2]) >= num * max(x[2], y[2]) and min(set(x[6]) & set(y[6])) == x[7]:
+            if den * min(x[2], y[2]) < num * max(x[2], y[2]) or min(set(x[6]) & set(y[6])) != x[7]:
+                continue
+            for row in (x, y):
+                if row[0] not in sets:
+                    sets[row[0]] = shingle_set(row[8], words)
+            common = len(np.intersect1d(sets[x[0]], sets[y[0]], assume_unique=True))
+            if den * common >= num * (x[2] + y[2] - common):
                 yield max(x[0], y[0]), min(x[0], y[0])
 
     def meet_all(frames):
         spot, rows = None, []
         for frame in frames:
             out = []
-            for t, k, g, doc, component, main, n, checked, asks, prefix in zip(*(frame[c] for c in ("token", "k", "g", "doc", "component", "main", "n", "checked", "asks", "prefix"))):
+            for t, k, g, doc, component, main, n, checked, asks, prefix, content in zip(*(frame[c] for c in ("token", "k", "g", "doc", "component", "main", "n", "checked", "asks", "prefix", "content"))):
                 if (t, k, g) != spot:
                     out += meet(rows)
                     spot, rows = (t, k, g), []
-                rows.append((doc, component, n, checked, asks, component != main, prefix, t))
+                rows.append((doc, component, n, checked, asks, component != main, prefix, t, content))
             yield pd.DataFrame(out, columns=["a", "b"])
         yield pd.DataFrame(list(meet(rows)), columns=["a", "b"])
 
     met = asking.union(asked).repartition("token", "k", "g").sortWithinPartitions("token", "k", "g")
-    more = stage(met.mapInPandas(meet_all, "a long, b long").distinct(), "pairs")
-    links = stars if more.isEmpty() else stars.union(_confirm(more, docs, key, text, words, num, den))
-    final = stage(components(links), "components") if links is not stars else found
+    more = stage(met.mapInPandas(meet_all, "a long, b long"), "links")
+    final = found if more.isEmpty() else components(stars.union(more))
 
     whole = signed.select("doc", "n").join(copies, "doc", "left").withColumn("rep", F.coalesce("rep", "doc"))
     whole = whole.join(final.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component_id", F.coalesce("component", "rep"))
