@@ -75,6 +75,11 @@ def as_date_text(d: Column, kind: Column) -> Column:
     )
 
 
+def padded(c: Column, end: str) -> Column:
+    """With white space around it that is no plain blank."""
+    return F.concat(F.lit("\u00a0"), c, F.lit(end))
+
+
 def _per_week(rows: DataFrame, key: str, first, pivot: str | None = None) -> DataFrame:
     """``key`` and a map from week (or from ``pivot``, per week) to the whole quantity."""
     week = (F.datediff(F.trunc("ship_date", "week"), F.lit(first)) / 7).cast("int") + 1
@@ -120,12 +125,13 @@ def plan_sheet(spark: SparkSession, sf_dir: str, spec: SheetSpec, parts: DataFra
     )
     axis = weeks(spark, sf_dir)
     week = F.col("col_idx")
+    day_text = as_date_text(F.col("monday"), week % 3)
     above = axis.agg(
         F.array_sort(F.collect_list(F.struct(
             "col_idx",
-            F.when(week % 50 != 0, F.concat(F.lit(" "), "period")).alias("period"),
+            F.when(week % 50 == 0, None).when(week % 10 == 3, padded(F.col("period"), "\n")).otherwise(F.concat(F.lit(" "), "period")).alias("period"),
             F.lit("Mon").alias("day"),
-            as_date_text(F.col("monday"), week % 3).alias("date"),
+            F.when(week % 5 == 2, padded(day_text, "\t")).otherwise(day_text).alias("date"),
         ))).alias("above")
     )
     heads = [(0, " Period ", "period"), (1, spec.week_label, "day"), (2, "DATE", "date")]
@@ -188,9 +194,9 @@ def forecast_sheet(spark: SparkSession, sf_dir: str, spec: SheetSpec, sold: Data
     none = [None]
     heads = [
         (1, "Forecasts", [None] * SIZES + none),
-        (2, None, [None if s % 3 == 0 else f" {9000 + s}.0" for s in numbers] + none),
+        (2, None, [None if s % 3 == 0 else f"\u00a0{9000 + s}.0\n" if s % 7 == 2 else f" {9000 + s}.0" for s in numbers] + none),
         (3, None, [None] * SIZES + none),
-        (4, "Sku ", [f"SK-{s}" if s % 5 == 0 else f"{s}.0" for s in numbers] + none),
+        (4, "\u00a0Sku\n", [f"SK-{s}" if s % 5 == 0 else f"{s}.0" for s in numbers] + none),
         (5, "Cases / Pallet", ["48"] * SIZES + none),
         (6, "Case Weight", ["12.5"] * SIZES + none),
         (n + 7, "Total Cases", ["1"] * SIZES + none),
@@ -443,14 +449,23 @@ def file_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ingest_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each purchase is an ingestion of its user's file; every tenth user's were lost."""
+    """Each purchase is an ingestion of its user's file, its time written in one of six ways; every tenth user's were lost."""
     user = F.col("user_id").cast("string")
+    kind = F.col("event_id") % 6
+    stamp = (
+        F.when(kind == 0, F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'"))
+        .when(kind == 1, F.date_format(F.timestamp_add("MINUTE", F.lit(330), "ts"), "yyyy-MM-dd'T'HH:mm:ss'+05:30'"))
+        .when(kind == 2, F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"))
+        .when(kind == 3, F.date_format("ts", "yyyyMMdd'T'HHmmss"))
+        .when(kind == 4, F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'0Z'"))
+        .otherwise("garbage")
+    )
     bought = table(spark, sf_dir, "events").filter((F.col("event_type") == "purchase") & (F.col("user_id") % 10 != 0))
     name = F.concat(F.lit("res_"), user)
     return bought.select(
         name.alias("resource"),
-        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("ingestion_date"),
-        F.concat(F.lit("Sharepoint/"), name, F.lit("/"), name, F.lit(".xlsx")).alias("file_path"),
+        stamp.alias("ingestion_date"),
+        F.concat(F.lit("landing/"), name, F.lit("/"), name, F.lit(".xlsx")).alias("file_path"),
     )
 
 

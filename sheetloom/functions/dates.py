@@ -57,7 +57,7 @@ def calendar_date(c: Column) -> Column:
 
 
 # The accepted time stamp forms, tried in this order.
-_ISO = r"^([0-9]{4}-[0-9]{2}-[0-9]{2})([T ][0-9]{2}:[0-9]{2}(:[0-9]{2}(\.[0-9]{1,6})?)?)?(Z|[+-][0-9]{2}:?[0-9]{2})?$"
+_ISO = r"^([0-9]{4}-[0-9]{2}-[0-9]{2})([T ][0-9]{2}:[0-9]{2}(:[0-9]{2}(\.[0-9]+)?)?)?(Z|[+-][0-9]{2}:?[0-9]{2})?$"
 _BASIC = r"^([0-9]{4})([0-9]{2})([0-9]{2})T([0-9]{2})([0-9]{2})([0-9]{2})$"
 _LEADING_DAY = r"(?s)^([0-9]{4})([0-9]{2})([0-9]{2}).*$"
 
@@ -66,14 +66,16 @@ def parse_timestamp_utc(c: Column) -> Column:
     """ISO with ``Z``, offset or neither, ``yyyyMMddTHHmmss``, or a leading ``yyyyMMdd``.
 
     The result is UTC without a zone, so it reads the same under every session
-    time zone; text without an offset is taken as UTC. No form fits: NULL.
+    time zone; text without an offset is taken as UTC. Digits beyond microseconds are
+    cut. No form fits: NULL.
     """
     zone = F.regexp_extract(c, _ISO, 5)
     hours = _whole(F.regexp_extract(zone, r"^[+-]([0-9]{2})", 1))
     minutes = _whole(F.regexp_extract(zone, r"([0-9]{2})$", 1))
     offset = F.coalesce(hours * 60 + minutes, F.lit(0))
     offset = F.when(zone.startswith("-"), -offset).otherwise(offset)
-    local = F.concat(F.regexp_extract(c, _ISO, 1), F.regexp_extract(c, _ISO, 2)).try_cast("timestamp_ntz")
+    clock = F.regexp_replace(F.regexp_extract(c, _ISO, 2), r"(\.[0-9]{6})[0-9]+$", "$1")
+    local = F.concat(F.regexp_extract(c, _ISO, 1), clock).try_cast("timestamp_ntz")
     iso = F.timestamp_add("MINUTE", -offset, local)
     basic = F.when(c.rlike(_BASIC), F.regexp_replace(c, _BASIC, "$1-$2-$3 $4:$5:$6"))
     day = F.when(c.rlike(_LEADING_DAY), F.regexp_replace(c, _LEADING_DAY, "$1-$2-$3"))

@@ -54,6 +54,6 @@ def resource_name(file_name: Column) -> Column:
     return F.replace(file_name, F.lit(".xlsx"), F.lit(""))
 
 
-def object_key(file_name: Column, prefix: str = "Sharepoint") -> Column:
+def object_key(file_name: Column, prefix: str) -> Column:
     """Where a landed file is stored: prefix, resource name, file name."""
     return F.concat_ws("/", F.lit(prefix), resource_name(file_name), file_name)

@@ -17,17 +17,23 @@ def clean_name(name: str | None) -> str:
     return (name or "").strip().translate(str.maketrans(REPLACED, "_" * len(REPLACED)))
 
 
-def unique_names(names: Sequence[str | None]) -> list[str]:
-    """Number repeats from 1, passing over names that are already taken."""
+def unique_names(names: Sequence[str | None], ignore_case: bool = False) -> list[str]:
+    """Number repeats from 1, passing over names that are already taken.
+
+    ``ignore_case`` keeps apart names that Spark would take for one column.
+    """
+    same = str.lower if ignore_case else str
     taken: set[str] = set()
+    last: dict[str, int] = {}
     unique = []
     for name in names:
         base = candidate = name or ""
-        n = 0
-        while candidate in taken:
+        n = last.get(same(base), 0)
+        while same(candidate) in taken:
             n += 1
             candidate = f"{base}_{n}"
-        taken.add(candidate)
+        last[same(base)] = n
+        taken.add(same(candidate))
         unique.append(candidate)
     return unique
 
@@ -71,13 +77,9 @@ def two_row_header(grid: DataFrame, leading: Sequence[str] = LEADING_NAMES, need
     ``need`` top rows come to the driver.
     """
     top, below, *_ = _header_rows(grid, need)
-    names = []
-    for position, c in enumerate(cell_columns(grid)):
-        if position < len(leading):
-            names.append(leading[position])
-        else:
-            names.append(f"{top[c]}_{below[c]}" if top[c] else str(below[c]))
-    return _renamed(grid, names)
+    cells = cell_columns(grid)
+    joined = [f"{top[c]}_{below[c]}" if top[c] else str(below[c]) for c in cells[len(leading):]]
+    return _renamed(grid, [*leading[:len(cells)], *joined])
 
 
 def two_row_header_plain(grid: DataFrame) -> DataFrame:

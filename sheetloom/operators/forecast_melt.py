@@ -12,6 +12,7 @@ from .labels import melt_cells, stacked_rows, strip
 
 # How many rows may hold the headers, and what names the SKU row.
 PREVIEW_ROWS = 25
+NEAR_TOP = 200  # where these rows are looked for first, which spares reading the whole sheet
 SKU = "sku"
 
 
@@ -37,7 +38,10 @@ def find_layout(grid: DataFrame, preview: int = PREVIEW_ROWS) -> Layout:
     preview rows come to the driver, as their positions shape the plan.
     """
     first = cell_columns(grid)[0]
-    head = preview_rows(grid.select(ROW, F.trim(first).alias("label")), preview).collect()
+    labelled = grid.select(ROW, strip(F.col(first)).alias("label"))
+    head = preview_rows(labelled.filter(F.col(ROW) <= NEAR_TOP), preview).collect()
+    if len(head) < preview:
+        head = preview_rows(labelled, preview).collect()
     labels = sorted((row[ROW], row["label"] or "") for row in head)
     sku = next((row for row, label in labels if label.lower() == SKU), None)
     if sku is None:

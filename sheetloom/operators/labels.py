@@ -21,7 +21,8 @@ def label_of(grid: DataFrame) -> Column:
 
 
 def strip(c: Column) -> Column:
-    return F.regexp_replace(c, r"^\s+|\s+$", "")
+    """Without white space of any kind around it, non-breaking blanks too."""
+    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
 
 
 def packed(cells: list[str]) -> Column:

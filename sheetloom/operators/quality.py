@@ -1,7 +1,5 @@
 """Checks on what the reshaping and the fact builds did."""
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,17 +16,21 @@ def reconcile_cells(original: DataFrame, reshaped: DataFrame, keys: list[str]) -
     return both.filter(missing | ~F.col("original").eqNullSafe(F.col("reshaped"))).select(*keys, "original", "reshaped")
 
 
-def row_counts(stages: dict[str, DataFrame]) -> DataFrame:
-    """``stage, n_rows`` for each named frame, in one job."""
-    counts = [df.agg(F.count("*").alias("n_rows")).select(F.lit(name).alias("stage"), "n_rows") for name, df in stages.items()]
-    return reduce(DataFrame.union, counts)
+def _key_counts(rows: DataFrame, key: str) -> DataFrame:
+    """Rows, and rows left when each key stays once: one pass, one shuffle of keys and counts."""
+    per_key = rows.groupBy(key).agg(F.count("*").alias("_n"))
+    return per_key.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("rows_before"), F.count("*").alias("rows_after"))
+
+
+def row_counts(rows: DataFrame, key: str) -> DataFrame:
+    """``stage, n_rows`` of a union and of its deduplication by key."""
+    both = F.array(*[F.struct(F.lit(name).alias("stage"), F.col(c).alias("n_rows")) for name, c in (("union", "rows_before"), ("unique", "rows_after"))])
+    return _key_counts(rows, key).select(F.inline(both))
 
 
-def reconcile_counts(before: DataFrame, after: DataFrame) -> DataFrame:
-    """Rows before and after a step, and whether it kept them all."""
-    n = before.agg(F.count("*").alias("rows_before"))
-    m = after.agg(F.count("*").alias("rows_after"))
-    counts = n.select("rows_before", m.scalar().alias("rows_after"))
+def reconcile_counts(rows: DataFrame, key: str) -> DataFrame:
+    """Rows before and after deduplication by key, and whether it kept them all."""
+    counts = _key_counts(rows, key)
     kept = F.col("rows_before") == F.col("rows_after")
     message = F.when(kept, F.lit("all rows kept")).otherwise(
         F.concat(F.lit("rows changed from "), F.col("rows_before"), F.lit(" to "), F.col("rows_after"))

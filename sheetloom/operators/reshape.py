@@ -6,10 +6,7 @@ from pyspark.sql import functions as F
 from ..functions import placeholder_to_null, placeholder_to_zero, rounded_half_even, trim_code
 from ..sources.sheets import ROW
 from .labels import melt_cells
-from .columns import swap_columns
-
-# A schema cannot hold arbitrarily many columns; this is Spark's own limit for pivots.
-MAX_LABELS = 10_000
+from .columns import unique_names
 
 # Rows of a forecast sheet that are no period.
 EXTRA_ROWS = ["Cases / Pallet", "Case Weight"]
@@ -21,35 +18,45 @@ PERIOD_NAME_PARTS = [
 ]
 
 
+def transpose_long(grid: DataFrame, corner: str = "SKU", was: str = "Period") -> tuple[DataFrame, list[tuple[int, str]]]:
+    """A grid whose first column names its rows, cell by cell: ``row_idx``, the name of its former column under
+    ``was``, that column's code under ``corner``, and ``cell`` as a whole number; and the rows with their names.
+
+    Codes come from the first row named ``corner``. Rows without a name and the extra rows of a forecast sheet are left
+    out. Of rows with one name, in upper or lower case, the later ones are numbered. The names become a schema, or tell rows apart, so they are
+    read on the driver.
+    """
+    first, *cells = [c for c in grid.columns if c != ROW]
+    named = grid.filter(F.col(first).isNotNull() & ~F.col(first).isin(*EXTRA_ROWS))
+    top = sorted((row[ROW], row[first]) for row in named.select(ROW, first).collect())
+    code_at = next((at for at, label in top if label == corner), None)
+    if code_at is None:
+        raise ValueError(f"no row is named {corner}")
+    rest = [(at, label) for at, label in top if at != code_at]
+    unique = unique_names([corner, was, *[label for _, label in rest]], ignore_case=True)[2:]
+    long = melt_cells(named, [F.col(ROW)], cells)
+    long = long.withColumn(was, F.element_at(F.array(*[F.lit(c) for c in cells]), F.col("col_idx")))
+    codes = long.filter(F.col(ROW) == code_at).select(was, trim_code(F.col("cell")).alias(corner))
+    values = long.filter(F.col(ROW) != code_at).select(ROW, was, rounded_half_even(F.col("cell")).alias("cell"))
+    # As many codes as the grid has columns.
+    return values.join(F.broadcast(codes), was), [(at, name) for (at, _), name in zip(rest, unique)]
+
+
 def transpose_wide(grid: DataFrame, corner: str = "SKU", was: str = "Period") -> DataFrame:
     """Flip a grid whose first column names its rows.
 
     Row names become columns, in sheet order, and each former column a row:
     first ``corner``, whose cells are the codes of the former columns, then
-    their names under ``was``. Rows without a name and the extra rows of a
-    forecast sheet are left out, codes are trimmed, values are whole numbers.
-    Row names become the schema, so they are read first, up to as many as Spark
-    allows a pivot.
+    their names under ``was``. For grids too tall to be a schema there is ``transpose_long``.
     """
-    first, *cells = [c for c in grid.columns if c != ROW]
-    named = grid.filter(F.col(first).isNotNull())
-    top = named.select(ROW, first).orderBy(ROW).limit(MAX_LABELS + 1).collect()
-    if len(top) > MAX_LABELS:
-        raise ValueError(f"more than {MAX_LABELS} rows cannot become columns")
-    labels = list(dict.fromkeys(row[first] for row in top))
-    if corner not in labels:
-        raise ValueError(f"no row is named {corner}")
-    values = [label for label in labels if label != corner and label not in EXTRA_ROWS]
-    long = melt_cells(named, [F.col(ROW), F.col(first).alias("_label")], cells)
-    names = F.array(*[F.lit(c) for c in cells])
-    long = long.withColumn(was, F.element_at(names, F.col("col_idx")))
-    codes = long.filter(F.col("_label") == corner).groupBy(was).agg(F.min(F.struct(ROW, "cell")).getField("cell").alias(corner))
-    whole = long.filter(F.col("_label").isin(values)).withColumn("cell", rounded_half_even(F.col("cell")))
-    flipped = codes.withColumn(corner, trim_code(F.col(corner)))
-    if values:
-        flipped = flipped.join(pivot_first(whole, [was], "_label", "cell", ROW, values), was)
-    order = [was, *[label for label in labels if label not in EXTRA_ROWS]]
-    return swap_columns(flipped.selectExpr(*[f"`{c}`" for c in order]), was, corner)
+    long, rows = transpose_long(grid, corner, was)
+    if not rows:
+        first, *cells = [c for c in grid.columns if c != ROW]
+        codes = melt_cells(grid.filter(F.col(first) == corner).orderBy(ROW).limit(1), [], cells)
+        name = F.element_at(F.array(*[F.lit(c) for c in cells]), F.col("col_idx"))
+        return codes.select(trim_code(F.col("cell")).alias(corner), name.alias(was))
+    wide = long.groupBy(corner, was).pivot(ROW, [at for at, _ in rows]).agg(F.first("cell", ignorenulls=True))
+    return wide.toDF(corner, was, *[name for _, name in rows])
 
 
 def pivot_first(long: DataFrame, by: list[str], label: str, value: str, order: str, labels: list) -> DataFrame:

@@ -8,7 +8,6 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from .numbering import max_key, number_rows, number_with_copies
-from .skew import join_spread
 
 
 def dedup_by_key(df: DataFrame, key: str, order: list[Column]) -> DataFrame:
@@ -32,25 +31,19 @@ def duplicate_keys(df: DataFrame, key: str) -> DataFrame:
     return df.groupBy(key).agg(F.count("*").alias("n")).filter(F.col("n") > 1)
 
 
-def rows_with_new_keys(incoming: DataFrame, target: DataFrame, key: str, unique: bool = False) -> DataFrame:
-    """Incoming rows whose key the target does not have.
-
-    ``unique`` says that incoming keys do not repeat, so none can be hot.
-    """
-    known = target.select(key)
-    if unique:
-        return incoming.join(known, key, "left_anti")
-    return join_spread(incoming, known.distinct(), key, "left_anti")
+def rows_with_new_keys(incoming: DataFrame, target: DataFrame, key: str) -> DataFrame:
+    """Incoming rows whose key the target does not have. Spark splits a hot key on the left at run time."""
+    return incoming.join(target.select(key), key, "left_anti")
 
 
 def rows_with_keys_in(target: DataFrame, incoming: DataFrame, key: str) -> DataFrame:
     """Target rows that an incoming key selects for deletion."""
-    return join_spread(target, incoming.select(key).distinct(), key, "left_semi")
+    return target.join(incoming.select(key).distinct(), key, "left_semi")
 
 
 def rows_with_keys_not_in(target: DataFrame, incoming: DataFrame, key: str) -> DataFrame:
     """Target rows that stay when incoming keys are deleted."""
-    return join_spread(target, incoming.select(key).distinct(), key, "left_anti")
+    return target.join(incoming.select(key).distinct(), key, "left_anti")
 
 
 def match_by_key(target: DataFrame, incoming: DataFrame, key: str, columns: list[str]) -> DataFrame:
@@ -79,7 +72,7 @@ def upsert_changed(target: DataFrame, incoming: DataFrame, key: str, value: str,
 
 def insert_new(target: DataFrame, incoming: DataFrame, key: str, number: str) -> DataFrame:
     """Incoming rows with keys the target lacks, numbered on from its highest number."""
-    fresh = rows_with_new_keys(incoming, target, key, unique=True)
+    fresh = rows_with_new_keys(incoming, target, key)
     numbered = number_rows(fresh, [key], number, max_key(target, number).scalar())
     return numbered.select(*target.columns)
 

@@ -135,9 +135,11 @@ def monday_periods() -> list[str]:
 LISTED = """seen as (select 'res_' || user_id as resource, user_id, max(ts) filter (event_type in ('click', 'view')) as m from events group by all),
 listing as (select resource, user_id, m, case user_id % 4 when 0 then strftime(m, '%Y-%m-%dT%H:%M:%SZ') when 1 then strftime(m, '%Y-%m-%dT%H:%M:%S.%f')
     when 2 then strftime(m, '%Y%m%dT%H%M%S') else 'garbage' end as modified from seen),
-entries as (select 'res_' || user_id as resource, ts, strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') as ingestion_date,
-    'Sharepoint/res_' || user_id || '/res_' || user_id || '.xlsx' as file_path from events where event_type = 'purchase' and user_id % 10 <> 0),
-latest as (select resource, max(ts) as t, max(ingestion_date) as last_ingested from entries group by 1),
+entries as (select 'res_' || user_id as resource, case event_id % 6 when 2 then ts when 4 then ts when 5 then null else date_trunc('second', ts) end as t,
+    case event_id % 6 when 0 then strftime(ts, '%Y-%m-%dT%H:%M:%SZ') when 1 then strftime(ts + interval 330 minute, '%Y-%m-%dT%H:%M:%S+05:30')
+        when 2 then strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') when 3 then strftime(ts, '%Y%m%dT%H%M%S') when 4 then strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || '0Z' else 'garbage' end as ingestion_date,
+    'landing/res_' || user_id || '/res_' || user_id || '.xlsx' as file_path from events where event_type = 'purchase' and user_id % 10 <> 0),
+latest as (select resource, t, ingestion_date as last_ingested from (select *, row_number() over (partition by resource order by t desc nulls last, ingestion_date desc) as rn from entries) where rn = 1),
 decided as (select l.resource, l.modified, e.last_ingested,
     case when e.t is null or l.user_id % 4 = 3 or l.m is null then true when l.user_id % 4 = 1 then e.t < l.m
          else e.t < date_trunc('second', l.m) end as is_due from listing l left join latest e using (resource))"""
@@ -184,7 +186,7 @@ def is_period_name(name: str) -> bool:
 
 PLAN_WIDE = ", ".join(f"max(case when col_idx = {i} then t end) as _c{i}" for i in range(1, WEEKS + 1))
 HEAD_WIDE = {
-    "period": ", ".join(f"max(case when col_idx = {i} and col_idx % 50 <> 0 then ' ' || period end)" for i in range(1, WEEKS + 1)),
+    "period": ", ".join(f"max(case when col_idx = {i} then p end)" for i in range(1, WEEKS + 1)),
     "day": ", ".join("'Mon'" for _ in range(WEEKS)),
     "date": ", ".join(f"max(case when col_idx = {i} then d end)" for i in range(1, WEEKS + 1)),
 }
@@ -195,11 +197,16 @@ LONG_PLAN = f"""{PLAN} select p_partkey::varchar as "Item", period as "Period",
     'San Antonio' as "City", 'Texas' as "State" from fx_plan_cell where p_partkey <> 0"""
 
 
-def filled(period: str, kind3: str) -> str:
-    """The earliest melt: the week row, which carries another name here, is an item like any other."""
+PERIOD_CELL = "case when col_idx % 50 = 0 then null when col_idx % 10 = 3 then chr(160) || period || chr(10) else ' ' || period end"
+
+
+def filled(period: str, sku: str, kind3: str) -> str:
+    """The earliest melts: header texts as they stand, only dates with a four-digit year; the week row, which carries another name here, is an item like any other."""
     value = f"case kind when 0 then 0 when 1 then null when 2 then null when 3 then {kind3} when 4 then -n else n end::double"
-    return f"""{PLAN} select p_partkey::varchar as "SKU", {period} as "Period", monday as "Date", {value} as "Value", 'San Antonio' as "City", 'Texas' as "State" from fx_plan_cell
-        union all select 'DofW', {period}, monday, null, 'San Antonio', 'Texas' from (select *, case when col_idx % 50 = 0 then 'Unknown' else period end as p from fx_week) t(col_idx, monday, raw, period)"""
+    return f"""{PLAN}, named as (select col_idx, {period} as p, case when col_idx % 3 = 0 and col_idx % 5 <> 2 then monday end as d
+            from (select col_idx, monday, {PERIOD_CELL} as raw from fx_week))
+        select {sku} as "SKU", p as "Period", d as "Date", {value} as "Value", 'San Antonio' as "City", 'Texas' as "State" from fx_plan_cell join named using (col_idx)
+        union all select 'DofW', p, d, null, 'San Antonio', 'Texas' from named"""
 
 
 def long_forecast(prefix: str, extra: str = '"Date"') -> str:
@@ -251,7 +258,10 @@ forecast_cells as (
     select sheet, period, dated, {SKU} as sku, case when sheet in (5, 7) then {item_of('600')} else {item_of('200')} end as item, {UNSIGNED} as v from sheet_cells)"""
 
 
-def refresh_summary() -> str:
+def refresh_summary(again: bool = False) -> str:
+    """After a first refresh, or after one more in which all forecasts were replaced."""
+    after = " + (select count(*) from f)" if again else ""
+    taken = ", 0::bigint as n_taken" if again else ""
     return f"""{REFRESH}, times as (select user_id % 9 as sheet, max(ts) filter (event_type in ('click', 'view')) as m, max(ts) filter (event_type = 'purchase') as t
         from events group by 1), due as (select sheet from times where m is not null and (t is null or t < m)),
     p as (select case when sheet in (0, 2) then 'SAN' when sheet in (1, 3) then 'STER' else 'ALEX' end as loc, *,
@@ -259,9 +269,9 @@ def refresh_summary() -> str:
     pn as (select loc, v, row_number() over (order by k) as i from p),
     f as (select case when sheet in (5, 7) then 'SAN' else 'STER' end as loc, *, period || coalesce('-' || dated, '') || '-' || item || '-' || loc as k
         from forecast_cells where sheet in (select sheet from due)),
-    fn as (select loc, v, row_number() over (order by k, sku, item, v) as i from f)
-    select 'plan_fact' as fact, loc as "Location", count(*) as n_rows, min(i) as first_key, max(i) as last_key, sum(i * v)::bigint as weighted, sum(v)::bigint as total from pn group by loc
-    union all select 'forecast_fact', loc, count(*), min(i), max(i), sum(i * v)::bigint, sum(v)::bigint from fn group by loc"""
+    fn as (select loc, v, row_number() over (order by k, sku, item, v){after} as i from f)
+    select 'plan_fact' as fact, loc as "Location", count(*) as n_rows, min(i) as first_key, max(i) as last_key, sum(i * v)::bigint as weighted, sum(v)::bigint as total{taken} from pn group by loc
+    union all select 'forecast_fact', loc, count(*), min(i), max(i), sum(i * v)::bigint, sum(v)::bigint{taken} from fn group by loc"""
 
 
 def source_summary() -> str:
@@ -279,7 +289,8 @@ FORECAST_KEYED = f"with {FORECAST_LINE} select {FORECAST_COLUMNS} from fkeyed"
 ORACLES: dict[str, str] = {
     # scans, sources, sinks
     "scan_range": f"""{PLAN}, t as (select p_partkey, col_idx, {CELL_TEXT} as t from fx_plan_cell),
-        w as (select *, {DATE_TEXT % {'kind': 'col_idx % 3', 'd': 'monday'}} as d from fx_week)
+        v as (select *, {DATE_TEXT % {'kind': 'col_idx % 3', 'd': 'monday'}} as t from fx_week),
+        w as (select col_idx, {PERIOD_CELL} as p, case when col_idx % 5 = 2 then chr(160) || t || chr(9) else t end as d from v)
         select p_partkey + 6 as row_idx, {ITEM_TEXT} as _c0, {PLAN_WIDE} from t group by p_partkey
         union all select 2, ' Period ', {HEAD_WIDE['period']} from w union all select 3, 'DofW', {HEAD_WIDE['day']}
         union all select 4, 'DATE', {HEAD_WIDE['date']} from w""",
@@ -294,6 +305,7 @@ ORACLES: dict[str, str] = {
     "skip_missing_sources": PLAN_UNION,
     "sink_create_or_overwrite": f"with {PLAN_LINE}, {ALL} select {PLAN_COLUMNS} from rows",
     "sink_create_or_replace": FORECAST_KEYED,
+    "sink_publish_version": f"with {PLAN_LINE}, {ALL} select layout, {PLAN_COLUMNS} from rows cross join (values ('plain'), ('partitioned'), ('bucketed')) v(layout)",
     "sink_append": f"with {PLAN_LINE}, {EARLIER}, {LATER} select {PLAN_COLUMNS} from earlier union all select {PLAN_COLUMNS} from later",
     "temp_view": f"""with {PLAN_LINE} select "Location", count(*) as n_rows, count(distinct "PDIL") as n_keys from keyed group by 1""",
     # grids
@@ -302,8 +314,7 @@ ORACLES: dict[str, str] = {
     "column_map": f"""{PLAN} select col_idx::int as col_idx, case when col_idx % 50 = 0 then 'Unknown' else period end as period,
         {DATE_TEXT % {'kind': 'col_idx % 3', 'd': 'monday'}} as date_text, monday as date from fx_week""",
     "data_rows": f"""{PLAN}, t as (select p_partkey, col_idx, {CELL_TEXT} as t from fx_plan_cell)
-        select p_partkey + 6 as row_idx, {ITEM_TEXT} as _c0, max(case when col_idx = 1 then t end) as _c1,
-        max(case when col_idx = 2 then t end) as _c2, max(case when col_idx = 3 then t end) as _c3 from t group by p_partkey""",
+        select p_partkey + 6 as row_idx, {ITEM_TEXT} as _c0, {PLAN_WIDE} from t group by p_partkey""",
     "melt_plan": LONG_PLAN,
     "plan_sheet_to_long": LONG_PLAN,
     "attach_site": "select p_partkey, p_name, 'Sterling' as \"City\", 'Virginia' as \"State\" from part",
@@ -317,8 +328,8 @@ ORACLES: dict[str, str] = {
     "melt_forecast": long_forecast("200"),
     "forecast_sheet_to_long": long_forecast("600"),
     "calendar_left_join": long_forecast(""),
-    "melt_stack": filled("replace(period, '-', '_')", "case when n = 0 then 0 end"),
-    "melt_crossjoin": filled("period", "n * 1000"),
+    "melt_stack": filled("coalesce(replace(raw, '-', '_'), 'UNKNOWN_' || (col_idx - 1))", ITEM_TEXT, "case when n = 0 then 0 end"),
+    "melt_crossjoin": filled("raw", "p_partkey::varchar", "n * 1000"),
     "melt_plan_v4": f"""{PLAN} select p_partkey::varchar as sku, replace(period, '-', '_') as period, monday as date, {SIGNED} as value, 'San Antonio' as city, 'Texas' as state from fx_plan_cell
         union all select 'DofW', case when col_idx % 50 = 0 then 'Unknown' else replace(period, '-', '_') end, monday, null, 'San Antonio', 'Texas' from fx_week""",
     "label_cross_join": f"""{PLAN} select p_partkey::varchar as item, col_idx::int as col_idx, {CELL_TEXT} as cell, period, monday as date from fx_plan_cell""",
@@ -366,7 +377,7 @@ ORACLES: dict[str, str] = {
         union all select "Period", "Date", "Item", "Location", "PDIL", 'forecast' from fkeyed""",
     "location_from_name": f"""with {LINE} select l_orderkey, case l_returnflag when 'A' then 'Vert_ALEX_Plan_FY2024' when 'N' then 'Forecast_SAN_FY2024' else 'Other_STER_FY2024' end as source_table,
         case when l_returnflag = 'A' then 'ALEX' else 'Unknown' end as plan_location, case when l_returnflag = 'N' then 'SAN' else 'Unknown' end as forecast_location from fx_line""",
-    "optional_columns": f"""with {PLAN_LINE}, {LATER} select "Period", "Date", "Item", "Planning_Value", "City", "State", "Location" from later""",
+    "optional_columns": f"""with {PLAN_LINE}, {ALL} select "Period", "Date", "Item", "Planning_Value", "City", "State" from rows""",
     "union_sources": PLAN_UNION,
     "parse_timestamp_tolerant": """with e as (select event_id, ts, event_id % 6 as kind from events) select event_id,
         case kind when 0 then strftime(ts, '%Y-%m-%dT%H:%M:%SZ') when 1 then strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') when 2 then strftime(ts, '%Y%m%dT%H%M%S')
@@ -383,7 +394,7 @@ ORACLES: dict[str, str] = {
     "max_key": f"""with {PLAN_LINE}, {EARLIER} select count(distinct "PDIL") as max_key from earlier""",
     "row_counts": f"""with {PLAN_LINE} select 'union' as stage, count(*) as n_rows from keyed union all select 'unique', count(distinct "PDIL") from keyed""",
     "dedup_by_key": f"{UNIQUE} select * from u",
-    "dedup_source_cte": f"with {PLAN_LINE}, {LATER}, {unique('u', 'later')} select * from u",
+    "dedup_source_cte": f"{UNIQUE} select * from u",
     "surrogate_key": f"""{UNIQUE} select row_number() over (order by "PDIL") + 1000 as "PrimaryKey", "PDIL", "Planning_Value" from u""",
     # upserts and facts
     "upsert_changed": f"{MERGE}, {STATE} select {PLAN_FACT} from state",
@@ -395,19 +406,25 @@ ORACLES: dict[str, str] = {
     # ingestion
     "files_to_ingest": f"with {LISTED} select * from decided",
     "last_ingested": f"with {LISTED} select resource, last_ingested from latest",
-    "ledger_append": f"""with {LISTED}, grown as (select resource, ingestion_date, file_path from entries
-        union all select resource, '2024-02-01T00:00:00.000000', 'Sharepoint/' || resource || '/' || resource || '.xlsx' from decided where is_due)
-        select *, ingestion_date = max(ingestion_date) over (partition by resource) as is_current from grown""",
+    "ledger_append": f"""with {LISTED}, grown as (select distinct resource, ingestion_date, t, file_path from entries
+        union all select resource, '2024-02-01T00:00:00.000000', timestamp '2024-02-01', 'landing/' || resource || '/' || resource || '.xlsx' from decided where is_due)
+        select resource, ingestion_date, file_path, row_number() over (partition by resource order by t desc nulls last, ingestion_date desc, file_path desc) = 1 as is_current from grown""",
+    "ledger_history": f"""with {LISTED}, once as (select distinct resource, ingestion_date, t, file_path from entries),
+        placed as (select *, row_number() over (partition by resource order by t desc nulls last, ingestion_date desc, file_path desc) as rn, count(*) over (partition by resource) as n from once)
+        select resource, max(case when rn = 1 then ingestion_date end) as ingestion_date, max(case when rn = 1 then file_path end) as file_path, max(n) as n_entries,
+            max(case when rn = n then ingestion_date end) as first_entry from placed group by resource""",
     "file_manifest": """select 'documents' as source_system, 'doc_' || doc_id || '.txt' as file_name, doc_id::varchar as file_id,
         '2024-01-31T08:00:00Z' as last_modified_datetime, sha256(text) as checksum_sha256, n_chars as download_duration_ms, '2024-02-01T00:00:00' as generated_at_utc from documents""",
     "any_changed": f"with {LISTED} select bool_or(is_due) as any_changed from decided",
-    "resource_name": """select o_orderkey, 'Plan ' || o_custkey as resource, 'Sharepoint/Plan ' || o_custkey || '/Plan ' || o_custkey || '.xlsx' as object_key from orders""",
+    "resource_name": """select o_orderkey, 'Plan ' || o_custkey as resource, 'landing/Plan ' || o_custkey || '/Plan ' || o_custkey || '.xlsx' as object_key from orders""",
     # checks
     "reconcile_cells": f"""{FORECAST}, c as (select {SKU} as "Sku", period as "Period", ({UNSIGNED})::bigint as original,
         case kind when 5 then n when 2 then -n when 4 then n + n % 2 else 0 end::bigint as reshaped from fx_forecast_cell)
         select * from c where original <> reshaped""",
+    "reconcile_round_trip": f"""{FORECAST} select 0::bigint as n_differ, count(*) as n_cells from fx_forecast_cell""",
     "reconcile_counts": f"""{UNIQUE}, c as (select (select count(*) from rows) as rows_before, (select count(*) from u) as rows_after)
         select *, rows_before = rows_after as all_kept, case when rows_before = rows_after then 'all rows kept' else 'rows changed from ' || rows_before || ' to ' || rows_after end as message from c""",
     "merge_conflicts": f"""with {PLAN_LINE} select "PDIL", count(*) as n from keyed group by 1 having count(*) > 1""",
     "refresh_all": refresh_summary(),
+    "refresh_again": refresh_summary(again=True),
 }

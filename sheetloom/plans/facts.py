@@ -1,5 +1,7 @@
 """Long tables to fact tables, first load and refresh."""
 
+import warnings
+
 from pyspark.sql import DataFrame
 
 from ..functions import forecast_key, plan_key
@@ -8,7 +10,9 @@ from ..operators.upsert import (
     dedup_by_key, initial_load, insert_new, largest_first, replace_by_key, upsert_changed,
 )
 from ..sources.tables import forecast_columns, plan_columns, union_sources
+from ..staging import stage
 
+# Names and order of the facts' columns.
 KEY = "PDIL"
 PLAN_FACT = ["PrimaryKey", KEY, "Period", "Date", "Item", "Planning_Value", "Location", "City", "State"]
 FORECAST_FACT = ["IndexKey", KEY, "Period", "Date", "SKU", "Item", "Forecast_Value", "Location"]
@@ -27,15 +31,18 @@ def unique_plans(sources: dict[str, DataFrame]) -> DataFrame:
     return dedup_by_key(rows, KEY, largest_first(rows, "Planning_Value"))
 
 
-def build_fact_planning(sources: dict[str, DataFrame], target: DataFrame | None = None) -> DataFrame:
+def build_fact_planning(sources: dict[str, DataFrame], target: DataFrame | None = None) -> DataFrame | None:
     """The state of the planning fact after taking in ``sources``.
 
     Without a target all keys are numbered. With one, changed values are taken
     over and rows with new keys follow its highest number.
     """
-    incoming = unique_plans(sources)
+    if not sources:
+        warnings.warn("no planning sources, the fact stays as it is", stacklevel=2)
+        return target
     if target is None:
-        return initial_load(incoming, KEY, "PrimaryKey", PLAN_FACT)
+        return initial_load(unique_plans(sources), KEY, "PrimaryKey", PLAN_FACT)
+    incoming = stage(unique_plans(sources), "incoming")  # read by the upsert and by the insert
     kept = upsert_changed(target, incoming, KEY, "Planning_Value", ["Item"])
     return kept.select(*PLAN_FACT).union(insert_new(target.select(*PLAN_FACT), incoming, KEY, "PrimaryKey"))
 
@@ -45,11 +52,14 @@ def keyed_forecasts(sources: dict[str, DataFrame]) -> DataFrame:
     return rows.withColumn(KEY, forecast_key())
 
 
-def build_fact_forecast(sources: dict[str, DataFrame], target: DataFrame | None = None) -> DataFrame:
+def build_fact_forecast(sources: dict[str, DataFrame], target: DataFrame | None = None) -> DataFrame | None:
     """The state of the forecast fact after taking in ``sources``; copies are kept.
 
     With a target, its rows under incoming keys are replaced.
     """
+    if not sources:
+        warnings.warn("no forecast sources, the fact stays as it is", stacklevel=2)
+        return target
     incoming = keyed_forecasts(sources)
     if target is None:
         return number_with_copies(incoming, FORECAST_ORDER, "IndexKey").select(*FORECAST_FACT)

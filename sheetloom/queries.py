@@ -1,5 +1,6 @@
 """Every operator as a query over the given tables: ``(spark, sf_dir) -> DataFrame``."""
 
+import warnings
 from collections.abc import Callable
 from dataclasses import replace
 from functools import reduce
@@ -15,7 +16,7 @@ from .operators.calendar import attach_calendar, monday_calendar
 from .operators.forecast_melt import (
     find_layout, forecast_cells, header_pairs, melt_forecast, preview_rows, rows_from,
 )
-from .operators.labels import column_map, data_rows, find_label_row, rows_at
+from .operators.labels import column_map, data_rows, find_label_row, rows_at, strip
 from .operators.numbering import max_key, number_rows, row_index
 from .operators.plan_melt import attach_site, labelled_cells, melt_plan, melt_plan_filled, melt_plan_lower
 from .operators.upsert import (
@@ -26,7 +27,7 @@ from .plans.facts import (
     FORECAST_FACT, FORECAST_ORDER, KEY, build_fact_forecast, build_fact_planning,
     keyed_forecasts, keyed_plans, unique_plans,
 )
-from .plans.refresh import refresh_all
+from .plans.refresh import long_tables_of, refresh_all
 from .plans.sheets import forecast_sheet_to_long, plan_sheet_to_long, sheet_to_table
 from .sources import sinks
 from .sources.sheets import (
@@ -120,10 +121,11 @@ def scan_inferred_query(spark, sf_dir):
 def source_specs(spark, sf_dir):
     """Each source's long table, written, and what it holds."""
     calendar = fx.calendar_sheet(spark, sf_dir)
+    specs = [replace(s, calendar=fx.calendar_range()) for s in fx.refresh_specs(spark, sf_dir)]
+    tables = long_tables_of(specs, lambda spec: fx.refresh_sheet(spark, sf_dir, spec), calendar)
     parts = []
-    for spec in fx.refresh_specs(spark, sf_dir):
-        spec = replace(spec, calendar=fx.calendar_range())
-        long = stage(sheet_to_table(fx.refresh_sheet(spark, sf_dir, spec), spec, calendar), spec.table)
+    for spec in specs:
+        long = tables[spec.table]
         value = "Planning_Value" if spec.kind == "plan" else "Forecast_Value"
         total = long.agg(F.count("*").alias("n_rows"), F.count("Date").alias("n_dated"), F.sum(value).cast("bigint").alias("total"))
         parts.append(total.select(F.lit(spec.table).alias("source_table"), F.lit(spec.city).alias("city"), "n_rows", "n_dated", "total"))
@@ -161,6 +163,20 @@ def sink_create_or_replace(spark, sf_dir):
     return spark.table(name)
 
 
+@query
+def sink_publish_version(spark, sf_dir):
+    """Two versions of a plain, a partitioned and a bucketed table; what readers see after the second."""
+    first, second = keyed_plans(fx.earlier_plans(spark, sf_dir)), keyed_plans(fx.all_plans(spark, sf_dir))
+    seen = []
+    for layout, how in (("plain", {}), ("partitioned", {"partition_by": ["Location"]}), ("bucketed", {"bucket_by": (8, KEY)})):
+        name, path = _new_table(spark)
+        sinks.publish_version(first, name, path, **how)
+        sinks.publish_version(second, name, path)
+        sinks.drop_old_versions(spark, name, path)
+        seen.append(spark.table(name).select(F.lit(layout).alias("layout"), *second.columns))
+    return reduce(DataFrame.union, seen)
+
+
 @query
 def sink_append(spark, sf_dir):
     name, path = _new_table(spark)
@@ -192,7 +208,7 @@ def column_map_query(spark, sf_dir):
 
 @query
 def data_rows_query(spark, sf_dir):
-    return data_rows(plan_grid(spark, sf_dir), week_label(spark, sf_dir)).select(ROW, "_c0", "_c1", "_c2", "_c3")
+    return data_rows(plan_grid(spark, sf_dir), week_label(spark, sf_dir))
 
 
 @query
@@ -243,7 +259,7 @@ def melt_stack(spark, sf_dir):
 
 @query
 def melt_crossjoin(spark, sf_dir):
-    return melt_plan_filled(plan_grid(spark, sf_dir), "San Antonio", "Texas", period_dash="-", strip_commas=True)
+    return melt_plan_filled(plan_grid(spark, sf_dir), "San Antonio", "Texas", name_blanks=False)
 
 
 @query
@@ -259,7 +275,7 @@ def label_cross_join(spark, sf_dir):
 @query
 def transpose_wide(spark, sf_dir):
     grid = forecast_grid(spark, sf_dir)
-    named = rows_from(grid, find_layout(grid).sku).withColumn("_c0", F.trim("_c0"))
+    named = rows_from(grid, find_layout(grid).sku).withColumn("_c0", strip(F.col("_c0")))
     return reshape.transpose_wide(named, corner="Sku")
 
 
@@ -417,7 +433,7 @@ def location_from_name(spark, sf_dir):
 
 @query
 def optional_columns(spark, sf_dir):
-    return union_sources([plan_columns(df, name) for name, df in fx.later_plans(spark, sf_dir).items()])
+    return union_sources([plan_columns(df, name).drop("Location") for name, df in fx.all_plans(spark, sf_dir).items()])
 
 
 @query
@@ -487,8 +503,7 @@ def max_key_query(spark, sf_dir):
 
 @query
 def row_counts(spark, sf_dir):
-    rows = keyed_plans(fx.all_plans(spark, sf_dir))
-    return quality.row_counts({"union": rows, "unique": dedup_by_key(rows, KEY, largest_first(rows, "Planning_Value"))})
+    return quality.row_counts(keyed_plans(fx.all_plans(spark, sf_dir)), KEY)
 
 
 @query
@@ -499,7 +514,7 @@ def dedup_by_key_query(spark, sf_dir):
 @query
 def dedup_source_cte(spark, sf_dir):
     """The guard in front of a merge: once more over rows that are already unique."""
-    rows = unique_plans(fx.later_plans(spark, sf_dir))
+    rows = unique_plans(fx.all_plans(spark, sf_dir))
     return dedup_by_key(rows, KEY, largest_first(rows, "Planning_Value"))
 
 
@@ -563,10 +578,17 @@ def last_ingested(spark, sf_dir):
 def ledger_append(spark, sf_dir):
     due = files_to_ingest(spark, sf_dir).filter("is_due")
     files = due.select(F.concat("resource", F.lit(".xlsx")).alias("file_name"))
-    entries = ledger.ledger_entries(files, F.lit("2024-02-01T00:00:00.000000"))
+    entries = ledger.ledger_entries(files, F.lit("2024-02-01T00:00:00.000000"), "landing")
     return ledger.ledger_view(ledger.ledger_append(fx.ingest_ledger(spark, sf_dir), entries))
 
 
+@query
+def ledger_history(spark, sf_dir):
+    """Each resource's current entry, how many there are, and the earliest."""
+    history = ledger.ledger_history(fx.ingest_ledger(spark, sf_dir))
+    return history.select("resource", "ingestion_date", "file_path", F.size("history").cast("bigint").alias("n_entries"), F.element_at("history", -1)["ingestion_date"].alias("first_entry"))
+
+
 @query
 def file_manifest(spark, sf_dir):
     files = fx.table(spark, sf_dir, "documents").select(
@@ -589,33 +611,51 @@ def any_changed(spark, sf_dir):
 def resource_name(spark, sf_dir):
     name = F.concat(F.lit("Plan "), F.col("o_custkey").cast("string"), F.lit(".xlsx"))
     return fx.table(spark, sf_dir, "orders").select("o_orderkey", name.alias("file_name")).select(
-        "o_orderkey", fn.resource_name(F.col("file_name")).alias("resource"), fn.object_key(F.col("file_name")).alias("object_key")
+        "o_orderkey", fn.resource_name(F.col("file_name")).alias("resource"), fn.object_key(F.col("file_name"), "landing").alias("object_key")
     )
 
 
 # --- checks
 
 
+def _named_periods(spark, sf_dir):
+    grid = forecast_grid(spark, sf_dir)
+    return rows_from(grid, find_layout(grid).sku).withColumn("_c0", strip(F.col("_c0")))
+
+
+def _flipped_cells(spark, sf_dir):
+    """Period cells of the flipped forecast grid in long form: ``Sku, Period, value``."""
+    long, rows = reshape.transpose_long(_named_periods(spark, sf_dir), corner="Sku", was="Column")
+    names = spark.createDataFrame([r for r in rows if r[1].startswith("F")], f"{ROW} bigint, Period string")
+    return long.filter(F.col("Sku").isNotNull()).join(F.broadcast(names), ROW).select("Sku", "Period", F.col("cell").alias("value"))
+
+
 @query
 def reconcile_cells(spark, sf_dir):
     """Cells of the forecast grid against their signed and unsigned readings: where a sign was lost."""
     grid = forecast_grid(spark, sf_dir)
     layout = find_layout(grid)
     from_start = rows_from(grid, layout.start).filter(fn.is_kept_period(F.trim("_c0")))
-    wide = rows_from(grid, layout.sku).withColumn("_c0", F.trim("_c0"))
-    flipped = reshape.transpose_wide(wide, corner="Sku").filter(F.col("Sku").isNotNull())
-    periods = [c for c in flipped.columns if c.startswith("F")]
-    back = reshape.melt_labels(flipped, ["Sku"], periods, "Period", "value")
     above = header_pairs(grid, layout).select("col_idx", fn.clean_code(F.col("sku")).alias("Sku"))
     cells = reshape.cells_of(from_start, "Period").join(F.broadcast(above), "col_idx")
     original = cells.select("Sku", F.trim("Period").alias("Period"), fn.unsigned_quantity(F.col("cell")).cast("bigint").alias("value"))
-    return quality.reconcile_cells(original, back, ["Sku", "Period"])
+    return quality.reconcile_cells(original, _flipped_cells(spark, sf_dir), ["Sku", "Period"])
+
+
+@query
+def reconcile_round_trip(spark, sf_dir):
+    """Flipped to columns and back again, no cell has changed: how many differ, of how many."""
+    flipped = reshape.transpose_wide(_named_periods(spark, sf_dir), corner="Sku").filter(F.col("Sku").isNotNull())
+    periods = [c for c in flipped.columns if c.startswith("F")]
+    back = reshape.melt_labels(flipped, ["Sku"], periods, "Period", "value")
+    before = _flipped_cells(spark, sf_dir)
+    differ = quality.reconcile_cells(before, back, ["Sku", "Period"]).agg(F.count("*").alias("n_differ"))
+    return before.agg(F.count("*").alias("n_cells")).select(differ.scalar().alias("n_differ"), "n_cells")
 
 
 @query
 def reconcile_counts(spark, sf_dir):
-    rows = keyed_plans(fx.all_plans(spark, sf_dir))
-    return quality.reconcile_counts(rows, dedup_by_key(rows, KEY, largest_first(rows, "Planning_Value")))
+    return quality.reconcile_counts(keyed_plans(fx.all_plans(spark, sf_dir)), KEY)
 
 
 @query
@@ -637,16 +677,8 @@ def forecast_sheet_to_long_query(spark, sf_dir):
     return forecast_sheet_to_long(fx.main_forecast_sheet(spark, sf_dir), fx.calendar_sheet(spark, sf_dir), spec)
 
 
-@query
-def refresh_all_query(spark, sf_dir):
-    """Both facts after a refresh, per location: rows, keys and totals."""
-    specs = [replace(s, calendar=fx.calendar_range()) for s in fx.refresh_specs(spark, sf_dir)]
-    listing, taken = fx.refresh_listing(spark, sf_dir, specs)
-
-    def open_sheet(spec: SheetSpec) -> DataFrame:
-        return fx.refresh_sheet(spark, sf_dir, spec)
-
-    state = refresh_all(specs, open_sheet, fx.calendar_sheet(spark, sf_dir), listing, taken)
+def _summary(spark, state):
+    """Both facts per location: rows, keys and totals."""
     summaries = []
     for fact, number, value in [("plan_fact", "PrimaryKey", "Planning_Value"), ("forecast_fact", "IndexKey", "Forecast_Value")]:
         if state[fact] is not None:
@@ -658,4 +690,35 @@ def refresh_all_query(spark, sf_dir):
     return reduce(DataFrame.union, summaries) if summaries else spark.createDataFrame([], empty)
 
 
+def _refresh(spark, sf_dir, listing=None, taken=None, **state):
+    specs = [replace(s, calendar=fx.calendar_range()) for s in fx.refresh_specs(spark, sf_dir)]
+    first_listing, first_ledger = fx.refresh_listing(spark, sf_dir, specs)
+
+    def open_sheet(spec: SheetSpec) -> DataFrame:
+        return fx.refresh_sheet(spark, sf_dir, spec)
+
+    listing = first_listing if listing is None else listing(first_listing)
+    return refresh_all(specs, open_sheet, fx.calendar_sheet(spark, sf_dir), listing, first_ledger if taken is None else taken, now="2024-06-01T00:00:00Z", **state)
+
+
+@query
+def refresh_all_query(spark, sf_dir):
+    """Both facts after a first refresh, per location: rows, keys and totals."""
+    return _summary(spark, _refresh(spark, sf_dir))
+
+
+@query
+def refresh_again(spark, sf_dir):
+    """Facts after three refreshes: the second finds every workbook taken in before changed again, so plans are upserted and
+    forecasts replaced; the third, with the ledger of the second, takes nothing."""
+    once = _refresh(spark, sf_dir)
+    facts = {k: None if once[k] is None else stage(once[k], k) for k in ("plan_fact", "forecast_fact")}
+    later = lambda listing: listing.filter(F.col("resource").isin(*once["taken"])).withColumn("modified", F.lit("2024-06-02T09:00:00+09:30"))
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore")  # the other workbooks are not listed
+        again = _refresh(spark, sf_dir, later, once["ledger"], long_tables=once["long_tables"], **facts)
+        third = _refresh(spark, sf_dir, lambda listing: later(listing).withColumn("modified", F.lit("2024-05-31")), again["ledger"], plan_fact=again["plan_fact"], forecast_fact=again["forecast_fact"])
+    return _summary(spark, third).withColumn("n_taken", F.lit(len(third["taken"])).cast("bigint"))
+
+
 QUERIES = {name.removesuffix("_query"): run for name, run in QUERIES.items()}

@@ -2,7 +2,7 @@
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -17,6 +17,15 @@ def _creator(df: DataFrame, table: str, fmt: str, properties: dict, partition_by
     return writer
 
 
+def _same_columns(df: DataFrame, table: str) -> list[str]:
+    """The table's columns; a frame with others, or without some of them, would lose data and raises."""
+    columns = df.sparkSession.table(table).columns
+    unknown, missing = set(df.columns) - set(columns), set(columns) - set(df.columns)
+    if unknown or missing or len(df.columns) != len(columns):
+        raise ValueError(f"{table}: unknown columns {sorted(unknown)}, missing columns {sorted(missing)}")
+    return columns
+
+
 def create_or_overwrite(
     df: DataFrame,
     table: str,
@@ -36,8 +45,7 @@ def create_or_overwrite(
     if not df.sparkSession.catalog.tableExists(table):
         _creator(df, table, fmt, properties or {}, partition_by or [], location).create()
         return
-    columns = df.sparkSession.table(table).columns
-    df.select(*columns).write.mode("overwrite").insertInto(table, overwrite=True)
+    df.select(*_same_columns(df, table)).write.mode("overwrite").insertInto(table, overwrite=True)
 
 
 def create_or_replace(
@@ -75,22 +83,71 @@ def create_or_replace(
 
 
 def append(df: DataFrame, table: str) -> None:
-    columns = df.sparkSession.table(table).columns
-    df.select(*columns).write.mode("append").insertInto(table)
+    """Add rows. The frame has exactly the table's columns, in any order."""
+    df.select(*_same_columns(df, table)).write.mode("append").insertInto(table)
 
 
-def publish_version(df: DataFrame, table: str, folder: str, fmt: str = "parquet") -> None:
-    """Make ``df`` the table's content in one step.
+def _layout(spark: SparkSession, table: str) -> tuple[list[str], tuple[int, list[str]] | None, str]:
+    """Partition columns, buckets and location of a table."""
+    partitions = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+    rows = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
+    number = rows.get("Num Buckets")
+    buckets = (int(number), [c.strip(" `") for c in rows["Bucket Columns"].strip("[]").split(",")]) if number else None
+    return partitions, buckets, rows["Location"]
+
+
+def publish_version(df: DataFrame, table: str, folder: str, fmt: str = "parquet", partition_by: list[str] | None = None, bucket_by: tuple[int, str] | None = None, change_schema: bool = False) -> None:
+    """Make ``df`` the table's content.
 
     The rows, which may be computed from the table itself, are first written to
-    a new folder below ``folder``; then the table is pointed there. Readers see the old or the
-    new version, never a mixture, and a failed write leaves the old one.
+    a new folder below ``folder``, with the partitions and buckets of the table, or, if it is new, with those
+    asked for. Then an unpartitioned table is pointed there in one step: readers see the old or the new
+    version. A partitioned one, whose catalog entry lists its partitions, changes names with the new version,
+    for which there is no table of that name for a moment. A failed write leaves the old version. A changed schema raises unless
+    ``change_schema`` asks for it. Old folders stay for readers that still use them, until ``drop_old_versions``.
     """
     spark = df.sparkSession
-    path = f"{folder.rstrip('/')}/version-{uuid.uuid4().hex}"
-    df.write.format(fmt).save(path)
-    if spark.catalog.tableExists(table):
+    exists = spark.catalog.tableExists(table)
+    buckets = (bucket_by[0], [bucket_by[1]]) if bucket_by else None
+    changed = False
+    if exists:
+        partition_by, buckets, _ = _layout(spark, table)
+        old = spark.table(table)
+        changed = sorted(old.dtypes) != sorted(df.dtypes)
+        if changed and not change_schema:
+            raise ValueError(f"{table} has the columns {old.dtypes}, not {df.dtypes}")
+        if not changed:
+            df = df.select(*old.columns)
+    version = uuid.uuid4().hex
+    path, fresh = f"{folder.rstrip('/')}/version-{version}", f"{table}_{version}"
+    writer = (df.repartition(buckets[0], *buckets[1]) if buckets else df).write.format(fmt).option("path", path)
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    if buckets:
+        writer = writer.bucketBy(buckets[0], *buckets[1]).sortBy(*buckets[1])
+    writer.saveAsTable(fresh)
+    if exists and not partition_by and not changed:
         spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
-        spark.catalog.refreshTable(table)
+        spark.sql(f"DROP TABLE {fresh}")  # its files stay, as it does not own them
+    elif exists:
+        spark.sql(f"ALTER TABLE {table} RENAME TO {fresh}_old")
+        try:
+            spark.sql(f"ALTER TABLE {fresh} RENAME TO {table}")
+        except Exception:
+            spark.sql(f"ALTER TABLE {fresh}_old RENAME TO {table}")
+            raise
+        spark.sql(f"DROP TABLE {fresh}_old")
     else:
-        spark.catalog.createTable(table, path=path, source=fmt)
+        spark.sql(f"ALTER TABLE {fresh} RENAME TO {table}")
+    spark.catalog.refreshTable(table)
+
+
+def drop_old_versions(spark: SparkSession, table: str, folder: str) -> int:
+    """Delete the versions below ``folder`` that the table no longer uses, and say how many there were."""
+    current = _layout(spark, table)[2].rstrip("/").rsplit("/", 1)[-1]
+    top = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    store = top.getFileSystem(spark._jsc.hadoopConfiguration())
+    old = [f.getPath() for f in store.listStatus(top) if f.getPath().getName().startswith("version-") and f.getPath().getName() != current]
+    for path in old:
+        store.delete(path, True)
+    return len(old)

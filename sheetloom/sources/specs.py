@@ -16,6 +16,11 @@ class SheetSpec:
     city: str | None = None
     state: str | None = None
     calendar: str | None = None
+    workbook: str | None = None  # the resource that listing and ledger know it by; the table's name if not given
+
+    @property
+    def resource(self) -> str:
+        return self.workbook or self.table
 
     def resized(self, columns: int) -> "SheetSpec":
         """The same place on the sheet, ``columns`` wide and open at the bottom."""

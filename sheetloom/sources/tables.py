@@ -33,7 +33,15 @@ def short_name(table: str) -> str:
     return table.split(".")[-1]
 
 
+def kind_of(table: str) -> str | None:
+    """Plan or forecast, by the table's name."""
+    name = short_name(table)
+    return "plan" if name.startswith("Vert_") else "forecast" if name.startswith("Forecast_") else None
+
+
 def union_sources(frames: list[DataFrame]) -> DataFrame:
+    if not frames:
+        raise ValueError("no sources")
     return reduce(DataFrame.unionByName, frames)
 
 

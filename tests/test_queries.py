@@ -7,6 +7,8 @@ import pyarrow as pa
 import pytest
 
 from __spark_entry__ import oracle_sql, queries
+from sheetloom.oracles import ORACLES
+from sheetloom.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(SF).exists(), reason="no test data")
@@ -31,14 +33,15 @@ def table(arrow: pa.Table):
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(queries()) and set(oracle_sql()) <= set(queries())
 
 
 @pytest.mark.filterwarnings("ignore")
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, con, name):
-    names, got = table(queries()[name](spark, SF).toArrow())
-    expected_names, expected = table(con.execute(oracle_sql()[name]).to_arrow_table())
+    names, got = table(QUERIES[name](spark, SF).toArrow())
+    expected_names, expected = table(con.execute(ORACLES[name]).to_arrow_table())
     assert names == expected_names
     assert len(got) == len(expected)
     assert got == expected

@@ -54,7 +54,7 @@ CASES = [
     (fn.plan_location, [("Vert_SAN_Plan_FY2026", "SAN"), ("Forecast_SAN_FY2026", "Unknown"), ("", "Unknown")]),
     (fn.forecast_location, [("Forecast_STER_FY2025", "STER"), ("Vert_SAN_Plan_FY2026", "Unknown")]),
     (fn.resource_name, [("Plan 26.xlsx", "Plan 26"), ("notes.txt", "notes.txt")]),
-    (fn.object_key, [("Plan.xlsx", "Sharepoint/Plan/Plan.xlsx")]),
+    (lambda c: fn.object_key(c, "landing"), [("Plan.xlsx", "landing/Plan/Plan.xlsx")]),
     (lambda c: fn.fill_item_prefix(F.lit(" "), c, "San Antonio"), [("7", "6007"), (None, None)]),
     (lambda c: fn.fill_item_prefix(c, F.lit("7"), "STER"), [(None, "2007"), ("", "2007"), ("x", "x")]),
     (lambda c: fn.fill_item_prefix(c, F.lit("7"), "Alexandria"), [(None, None), ("", "")]),

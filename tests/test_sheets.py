@@ -1,3 +1,4 @@
+import time
 from datetime import date
 
 import pytest
@@ -133,6 +134,30 @@ def test_transpose_and_back(sheet, rows):
         reshape.transpose_wide(grid, corner="none")
 
 
+def test_transpose_keeps_rows_of_one_name(sheet, rows):
+    grid = sheet([["SKU", "1", "2"], ["F1", "10", "20"], ["f1", "11", "21"], ["F1", "12", "22"], ["SKU", "13", "23"], ["Period", "14", "24"]])
+    wide = reshape.transpose_wide(grid)
+    assert wide.columns == ["SKU", "Period", "F1", "f1_1", "F1_2", "SKU_1", "Period_1"]
+    assert rows(wide) == [("1", "_c1", 10, 11, 12, 13, 14), ("2", "_c2", 20, 21, 22, 23, 24)]
+    assert rows(reshape.transpose_wide(grid.filter("row_idx = 1"))) == [("1", "_c1"), ("2", "_c2")]
+
+
+def test_white_space_of_every_kind(spark, sheet, rows):
+    nb = "\u00a0"
+    plan = scan_range(sheet([["Period", f"{nb}F26-01\t", "F26-02"], ["Date", f"{nb}1/5/2026\n", "46034"], ["7", "1", "2"]]), "A1:C")
+    assert [(r["period"], str(r["date"])) for r in column_map(plan, None).orderBy("col_idx").collect()] == [("F26-01", "2026-01-05"), ("F26-02", "2026-01-12")]
+    forecast = scan_range(sheet([[None, f"{nb}9.0{nb}"], [f"SKU\n{nb}", "\t1.0"], [f"{nb}F26-01", "2"]]), "A1:B")
+    layout = find_layout(forecast)
+    assert (layout.sku, layout.item, layout.start) == (2, 1, 3)
+    assert rows(header_pairs(forecast, layout)) == [(1, "9.0", "1.0")]
+
+
+def test_many_blank_headings():
+    start = time.perf_counter()
+    assert columns.unique_names([None] * 16_000)[-1] == "_15999"
+    assert time.perf_counter() - start < 0.5
+
+
 def test_names(sheet):
     assert columns.clean_name(" a b.c-d/e ") == "a_b_c_d_e" and columns.clean_name(None) == ""
     assert columns.unique_names(["a", "a", "a_1"]) == ["a", "a_1", "a_1_1"]

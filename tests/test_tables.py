@@ -4,14 +4,14 @@ from pyspark.sql import functions as F
 
 from sheetloom import staging
 from sheetloom.operators import skew
-from sheetloom.operators.ledger import files_to_ingest, last_ingested, ledger_append, ledger_view
+from sheetloom.operators.ledger import files_to_ingest, last_ingested, ledger_append, ledger_history, ledger_view
 from sheetloom.operators.numbering import number_rows, number_with_copies, row_index, with_copy_number
 from sheetloom.operators.quality import reconcile_cells, reconcile_counts
 from sheetloom.operators.upsert import (
     dedup_by_key, insert_new, largest_first, replace_by_key, rows_with_keys_in, rows_with_keys_not_in, upsert_changed,
 )
 from sheetloom.plans.facts import build_fact_forecast, build_fact_planning
-from sheetloom.plans.refresh import refresh_all
+from sheetloom.plans.refresh import publish_long_tables, refresh_all
 from sheetloom.sources import sinks
 from sheetloom.sources.specs import SheetSpec
 from sheetloom.sources.tables import plan_columns, scan_existing
@@ -165,7 +165,8 @@ def test_reconcile(spark, rows):
     left = spark.createDataFrame([("a", 1), ("b", None), ("c", 3), ("d", None)], schema)
     right = spark.createDataFrame([("a", 1), ("b", None), ("c", 4), ("e", None)], schema)
     assert rows(reconcile_cells(left, right, ["k"])) == [("c", 3, 4), ("d", None, None), ("e", None, None)]
-    assert tuple(reconcile_counts(left, right.limit(2)).first()) == (4, 2, False, "rows changed from 4 to 2")
+    assert tuple(reconcile_counts(left.union(right), "k").first()) == (8, 5, False, "rows changed from 8 to 5")
+    assert tuple(reconcile_counts(left, "k").first()) == (4, 4, True, "all rows kept")
 
 
 def test_sinks(spark, rows, tmp_path):
@@ -210,6 +211,84 @@ def test_publish_a_version_computed_from_the_last(spark, rows, tmp_path):
     sinks.publish_version(first, "t_pub", str(tmp_path))
     sinks.publish_version(spark.table("t_pub").union(first.filter("x = 2")), "t_pub", str(tmp_path))
     assert rows(spark.table("t_pub")) == [(1,), (2,), (2,)]
+    assert sinks.drop_old_versions(spark, "t_pub", str(tmp_path)) == 1
+    assert rows(spark.table("t_pub")) == [(1,), (2,), (2,)]
+
+
+@pytest.mark.parametrize("how", [{}, {"partition_by": ["site"]}, {"bucket_by": (4, "x")}])
+def test_publish_keeps_the_layout(spark, rows, tmp_path, how):
+    name = f"t_layout_{'_'.join(how) or 'plain'}"
+    for values in ([(1, "a"), (2, "b")], [(9, "a")], [(7, "c"), (9, "b")]):
+        sinks.publish_version(spark.createDataFrame(values, "x int, site string"), name, str(tmp_path), **how)
+        assert rows(spark.table(name).select("x", "site")) == values
+    partitions, buckets, _ = sinks._layout(spark, name)
+    assert (partitions, buckets) == (how.get("partition_by", []), (4, ["x"]) if "bucket_by" in how else None)
+    assert rows(spark.table(name).join(spark.createDataFrame([(9,)], "x int"), "x"), "site") == [("b",)]
+    changed = spark.createDataFrame([(1, "a", 2)], "x int, site string, y int")
+    with pytest.raises(ValueError):
+        sinks.publish_version(changed, name, str(tmp_path))
+    sinks.publish_version(changed, name, str(tmp_path), change_schema=True)
+    assert rows(spark.table(name).select("x", "site", "y")) == [(1, "a", 2)]
+
+
+def test_merging_after_publishing_shuffles_one_side(spark, rows, tmp_path):
+    target = spark.createDataFrame(TARGET, "id bigint, k string, v double, item string")
+    incoming = spark.createDataFrame(INCOMING, "k string, v double, item string")
+    for _ in range(2):
+        sinks.publish_version(target, "t_again", str(tmp_path), bucket_by=(8, "k"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        state = upsert_changed(spark.table("t_again"), incoming, "k", "v", ["item"])
+        assert state._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_sinks_refuse_to_lose_columns(spark, tmp_path):
+    one = spark.createDataFrame([(1, "a")], "x int, site string")
+    sinks.create_or_overwrite(one, "t_strict", location=str(tmp_path / "strict"))
+    for wrong in (one.withColumn("extra", F.lit(1)), one.select("x")):
+        for write in (sinks.append, sinks.create_or_overwrite):
+            with pytest.raises(ValueError):
+                write(wrong, "t_strict")
+    sinks.append(one.select("site", "x"), "t_strict")
+    assert spark.table("t_strict").count() == 2
+
+
+def test_latest_is_by_time(spark, rows):
+    times = ["2026-03-01T00:00:00", "20260101T000000", "garbage", "2026-03-01T09:00:00.1234567+09:30"]
+    ledger = spark.createDataFrame([("a", t, "p") for t in times] + [("b", "2026-01-01T00:00:00Z", p) for p in ("p", "q", "q")] + [("c", "garbage", "p")], "resource string, ingestion_date string, file_path string")
+    assert rows(last_ingested(ledger)) == [("a", times[0]), ("b", "2026-01-01T00:00:00Z"), ("c", "garbage")]
+    assert rows(ledger_view(ledger).filter("is_current"), "resource", "file_path") == [("a", "p"), ("b", "q"), ("c", "p")]
+    history = {r["resource"]: [h["ingestion_date"] for h in r["history"]] for r in ledger_history(ledger).collect()}
+    assert history["a"] == [times[0], times[3], times[1], times[2]]
+
+
+def test_no_sources_stop_quietly(spark):
+    fact = spark.range(1)
+    with pytest.warns(UserWarning, match="no planning sources"):
+        assert build_fact_planning({}, fact) is fact
+    with pytest.warns(UserWarning, match="no forecast sources"):
+        assert build_fact_forecast({}, None) is None
+
+
+def test_refresh_by_workbook(spark, sheet, rows):
+    plan = sheet([["Period", "F26-01"], ["Date", "1/5/26"], ["7", "1"]])
+    spec = SheetSpec("plan", "Vert_SAN_Plan_FY2026", "p", "A1:B", "DoW", "San Antonio", "Texas", workbook="Master Plan")
+    listing = spark.createDataFrame([("Master Plan", "2026-01-02")], "resource string, modified string")
+    ledger = spark.createDataFrame([], "resource string, ingestion_date string")
+    last_year = spark.createDataFrame([("F25-01", None, "8", 2.0)], "Period string, Date date, Item string, Planning_Value double")
+    once = refresh_all([spec], lambda s: plan, None, listing, ledger, long_tables={"Vert_SAN_Plan_FY2025": last_year}, now="2026-01-03")
+    assert once["taken"] == [spec.table] and rows(once["plan_fact"], "PDIL") == [("F25-01-8-SAN",), ("F26-01-2026-01-05-7-SAN",)]
+    assert rows(once["ledger"]) == [("Master Plan", "2026-01-03")]
+    again = refresh_all([spec], lambda s: plan, None, listing, once["ledger"], long_tables=once["long_tables"], plan_fact=once["plan_fact"])
+    assert again["taken"] == [] and again["plan_fact"] is once["plan_fact"]
+    with pytest.warns(UserWarning, match="no workbook"):
+        refresh_all([spec], lambda s: plan, None, listing.limit(0), ledger)
+    publish_long_tables({"t_long_plan": once["long_tables"][spec.table]}, [spec])
+    assert spark.table("t_long_plan").count() == 1
+    spark.sql("DROP TABLE t_long_plan")
 
 
 def test_refresh_takes_only_what_is_due(spark, sheet, rows):
