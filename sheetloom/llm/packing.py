@@ -224,6 +224,6 @@ def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int =
             yield pieces(current, held)
 
     tokenized = rows.mapInPandas(tokenize, "shard long, doc long, ids binary, terms binary, times binary")
-    by_shard = tokenized.repartition("shard").sortWithinPartitions("shard", "doc")
+    by_shard = tokenized.repartition(int((first + spread).max()), "shard").sortWithinPartitions("shard", "doc")
     packed = by_shard.mapInPandas(pack_all, "doc long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids binary")
     return packed.withColumnRenamed("doc", key)
