@@ -9,8 +9,6 @@ from ..staging import stage
 # Copies of one row beyond this number are numbered in pieces of this size.
 COPIES_PER_PIECE = 100_000
 
-_POSITION_BITS = 33  # how monotonically_increasing_id splits into partition and position
-
 
 def with_copy_number(df: DataFrame, piece: int = COPIES_PER_PIECE) -> DataFrame:
     """Tell copies of a row apart by a number from 1.
@@ -38,18 +36,14 @@ def number_rows(df: DataFrame, order: list[str | Column], number: str, after: Co
     with it. A row's number is then its position plus the number of rows in all
     earlier partitions, of which there are only as many as partitions.
     """
-    place = F.monotonically_increasing_id()
-    placed = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_place", place)
-    split = placed.select(
-        *df.columns,
-        F.shiftright("_place", _POSITION_BITS).cast("int").alias("_part"),
-        F.col("_place").bitwiseAND(F.lit((1 << _POSITION_BITS) - 1)).alias("_pos"),
-    )
-    staged = stage(split, number)
+    placed = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    # Running ids follow each other without gaps within a partition.
+    placed = placed.withColumns({"_part": F.spark_partition_id(), "_place": F.monotonically_increasing_id()})
+    staged = stage(placed, number)
     earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = staged.groupBy("_part").agg(F.count("*").alias("_rows"))
-    offsets = sizes.select("_part", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_offset"))
-    value = F.col("_offset") + F.col("_pos") + 1
+    sizes = staged.groupBy("_part").agg(F.count("*").alias("_rows"), F.min("_place").alias("_first"))
+    offsets = sizes.select("_part", "_first", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_offset"))
+    value = F.col("_offset") + F.col("_place") - F.col("_first") + 1
     if after is not None:
         value = value + after
     numbered = staged.join(F.broadcast(offsets), "_part")
