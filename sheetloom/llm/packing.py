@@ -16,7 +16,10 @@ remainder, then to the order of ids. An empty table gives no sequences. Only the
 
 import base64
 import re
+import sys
+import types
 import zlib
+from array import array
 from math import ceil
 
 import numpy as np
@@ -33,12 +36,22 @@ ROUTES = 4096
 SHARD_CHARS = 4_000_000
 COMMON = 0.25
 K1, B = 1.2, 0.75
-_CACHED = 300_000
-_WORD = re.compile(r"\w+")
-_BEFORE_BLANK = re.compile(r" (?:\s|$)")
+_CACHED = 400_000
+_BATCH = 64  # neighbours that are ranked at a time
+_BASE = 0x5851F42D4C957F2D
+_INVERSE = pow(_BASE, -1, 1 << 64)
+_IN_WORD = np.array([c >= 128 or c == 95 or chr(c).isalnum() for c in range(256)])
 _BLANK = re.compile(r" (?=\S)")
 
 
+def _worker_wide(name: str, make):
+    """An object that stays in a Python worker from task to task."""
+    held = sys.modules.setdefault("_packing_caches", types.ModuleType("_packing_caches")).__dict__
+    if name not in held:
+        held[name] = make()
+    return held[name]
+
+
 class Tokens:
     """Ids of a text as 16-bit numbers, as ``tokenizers`` gives them.
 
@@ -53,11 +66,16 @@ class Tokens:
             ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
         self.json_path = json_path
         self.full = None
-        encode = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+        encoding = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+        encode, encode_word = encoding.encode_ordinary, encoding._encode_single_piece
 
         class Cache(dict):
             def __missing__(self, piece):
-                self[piece] = found = np.array(encode(" " + piece), np.uint16).tobytes()
+                if not piece or piece[0].isspace():
+                    raise KeyError(piece)  # after this blank no piece begins
+                # A blank and letters are one piece of the vocabulary's pattern and need no splitting.
+                ids = encode_word(b" " + piece.encode()) if piece.isalpha() else encode(" " + piece)
+                self[piece] = found = array("H", ids).tobytes()
                 return found
 
         self.first = lambda piece: np.array(encode(piece), np.uint16).tobytes()
@@ -72,21 +90,43 @@ class Tokens:
             return np.array(self.full.encode(text, add_special_tokens=False).ids, np.uint16).tobytes()
         if len(self.cache) > _CACHED:
             self.cache.clear()
-        pieces = _BLANK.split(text) if _BEFORE_BLANK.search(text) else text.split(" ")
-        return self.first(pieces[0]) + b"".join(map(self.cache.__getitem__, pieces[1:]))
-
-
-def term_hashes(text: str | None) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets of a text's terms and how often each occurs."""
-    words: dict[int, int] = {}
-    mask = (1 << TERM_BITS) - 1
-    counts: dict[str, int] = {}
-    for w in _WORD.findall((text or "").lower()):
-        counts[w] = counts.get(w, 0) + 1
-    for w, n in counts.items():
-        h = zlib.crc32(w.encode("utf-8", "surrogatepass")) & mask
-        words[h] = words.get(h, 0) + n
-    return np.fromiter(words, np.int64, len(words)), np.fromiter(words.values(), np.int64, len(words))
+        pieces = text.split(" ")
+        try:
+            return self.first(pieces[0]) + b"".join(map(self.cache.__getitem__, pieces[1:]))
+        except KeyError:
+            pieces = _BLANK.split(text)
+            return self.first(pieces[0]) + b"".join(map(self.cache.__getitem__, pieces[1:]))
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """At least ``n`` powers of the hash's base, modulo 2^64, and their inverses."""
+    held = _worker_wide("powers", dict)
+    if held.get("n", 0) < n:
+        n = max(2 * n, 1 << 15)
+        ones = np.ones(1, np.uint64)
+        held["powers"] = tuple(np.cumprod(np.concatenate((ones, np.full(n, x, np.uint64)))) for x in (_BASE, _INVERSE))
+        held["n"] = n
+    return held["powers"]
+
+
+def term_hashes(text: str | None) -> np.ndarray:
+    """Buckets of a text's words, in order and with repeats.
+
+    A word is a lower-cased run of ASCII letters, digits, ``_`` and characters beyond ASCII. Its hash is
+    a polynomial in its bytes, found for all words at once from running sums.
+    """
+    data = np.frombuffer((text or "").lower().encode("utf-8", "surrogatepass"), np.uint8)
+    inside = np.zeros(len(data) + 2, bool)
+    inside[1:-1] = _IN_WORD[data]
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    if not len(edges):
+        return np.empty(0, np.int64)
+    powers, inverses = _powers(len(data))
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(data * powers[:len(data)], out=sums[1:])
+    hashed = (sums[edges[1::2]] - sums[edges[::2]]) * inverses[edges[::2]]
+    hashed = (hashed ^ (hashed >> np.uint64(32))) * np.uint64(0x9E3779B97F4A7C15)
+    return (hashed >> np.uint64(64 - TERM_BITS)).astype(np.int64)
 
 
 def route_of(terms: np.ndarray) -> int:
@@ -111,16 +151,18 @@ def shard_plan(chars: np.ndarray, shard_chars: int) -> tuple[np.ndarray, np.ndar
     return first, spread
 
 
-def pack_shard(lengths: np.ndarray, terms: list[np.ndarray], counts: list[np.ndarray], idf: np.ndarray, window: int = WINDOW) -> list[list[tuple[int, int, int]]]:
-    """Windows of ``(document, start, length)``; documents by position."""
+def pack_shard(lengths: np.ndarray, terms: list[np.ndarray], counts: list[np.ndarray], idf: np.ndarray, window: int = WINDOW, sizes: np.ndarray | None = None, mean: float | None = None) -> list[list[tuple[int, int, int]]]:
+    """Windows of ``(document, start, length)``; documents by position. ``sizes`` are their numbers of words and ``mean``
+    that of all documents; else those of the terms given."""
     windows = [[(d, k * window, window)] for d, n in enumerate(lengths) for k in range(n // window)]
     start, left = (lengths // window) * window, lengths % window
     # Inverted index, each posting with its BM25 weight.
     owner = np.repeat(np.arange(len(terms)), [len(t) for t in terms])
     term = np.concatenate(terms) if terms else np.empty(0, np.int64)
     tf = np.concatenate(counts).astype(float) if counts else np.empty(0)
-    size = np.bincount(owner, tf, len(terms)) if len(owner) else np.zeros(len(terms))
-    weight = idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * size[owner] / max(size.mean() if len(size) else 0, 1e-9)))
+    size = sizes if sizes is not None else np.bincount(owner, tf, len(terms))
+    mean = max(mean if mean is not None else size.mean() if len(size) else 0, 1e-9)
+    weight = idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * size[owner] / mean))
     order = np.lexsort((owner, term))
     owner, term, weight = owner[order], term[order], weight[order]
     seeds = np.lexsort((np.arange(len(left)), -left))
@@ -133,23 +175,35 @@ def pack_shard(lengths: np.ndarray, terms: list[np.ndarray], counts: list[np.nda
         seed = seeds[ahead]
         content, space = [(int(seed), int(start[seed]), int(left[seed]))], window - int(left[seed])
         left[seed] = 0
-        ranked = np.empty(0, np.int64)
-        if space:
-            lo, hi = np.searchsorted(term, terms[seed], "left"), np.searchsorted(term, terms[seed], "right")
-            at = np.concatenate([np.arange(a, b) for a, b in zip(lo, hi)]) if len(lo) else np.empty(0, np.int64)
-            score = np.bincount(owner[at], weight[at], len(left)) if len(at) else np.zeros(len(left))
-            ranked = np.flatnonzero((score > 0) & (left > 0))
-            ranked = ranked[np.lexsort((ranked, -left[ranked], -score[ranked]))]
-        tried = 0  # everything in ranked before this does not fit
-        while space and tried < len(ranked):
-            fits = np.flatnonzero(left[ranked[tried:]] <= space)
-            if not len(fits):
+        near = np.empty(0, np.int64)
+        if space and len(terms[seed]):
+            wanted = np.unique(terms[seed])
+            lo, hi = np.searchsorted(term, wanted, "left"), np.searchsorted(term, wanted, "right")
+            many = hi - lo
+            at = np.repeat(lo - np.concatenate(([0], np.cumsum(many)[:-1])), many) + np.arange(many.sum())
+            score = np.bincount(owner[at], weight[at], len(left))
+            near = np.flatnonzero((score > 0) & (left > 0))
+        ranked = near
+        # Neighbours from the best on, a batch at a time: whole ones while they fit, or one of the batch to be cut.
+        while space and len(near):
+            best_first = np.lexsort((near, -left[near], -score[near])) if len(near) <= _BATCH else None
+            if best_first is None:
+                top = np.argpartition(-score[near], _BATCH - 1)[:_BATCH]
+                batch = near[top]
+                near = np.delete(near, top)
+                batch = batch[np.lexsort((batch, -left[batch], -score[batch]))]
+            else:
+                batch, near = near[best_first], near[:0]
+            for best in batch:
+                if left[best] <= space:
+                    content.append((int(best), int(start[best]), int(left[best])))
+                    space -= int(left[best])
+                    left[best] = 0
+                    if not space:
+                        break
+            ranked = batch[left[batch] > 0]
+            if len(ranked):
                 break
-            best = ranked[tried + fits[0]]
-            tried += int(fits[0]) + 1
-            content.append((int(best), int(start[best]), int(left[best])))
-            space -= int(left[best])
-            left[best] = 0
         while space:  # cut the best neighbour, or else what comes next
             waiting = ranked[left[ranked] > 0]
             if len(waiting):
@@ -168,8 +222,8 @@ def pack_shard(lengths: np.ndarray, terms: list[np.ndarray], counts: list[np.nda
         windows.append(content)
 
 
-def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int = WINDOW, end_id: int = END_ID, tokenizer: str = "byte_bpe_50k", shard_chars: int = SHARD_CHARS) -> DataFrame:
-    """``(key, start, length, ids_crc32, doc_tokens, sequence_id, offset, ids)`` for every piece."""
+def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int = WINDOW, end_id: int = END_ID, tokenizer: str = "byte_bpe_50k", shard_chars: int = SHARD_CHARS, with_ids: bool = True) -> DataFrame:
+    """``(key, start, length, ids_crc32, doc_tokens, sequence_id, offset)`` for every piece, and its ``ids`` unless they are not wanted."""
     import public_tokenizers
 
     paths = public_tokenizers.path(f"{tokenizer}.json"), public_tokenizers.path(f"{tokenizer}.tiktoken"), public_tokenizers.PATTERN
@@ -177,44 +231,45 @@ def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int =
     terms_size = 1 << TERM_BITS
 
     def statistics(content):
-        found, _ = term_hashes(content)
-        return np.append(found, [terms_size + route_of(found), terms_size + ROUTES]), np.append(np.ones(len(found), np.int64), [len(content) + 1, 1])
+        found = term_hashes(content)
+        return np.append(found, [terms_size + route_of(found), terms_size + ROUTES, terms_size + ROUTES + 1]), np.append(np.ones(len(found), np.int64), [len(content) + 1, 1, len(found)])
 
-    totals = count_buckets(rows, "content", statistics, terms_size + ROUTES + 1)
-    df, n = totals[:terms_size], max(int(totals[-1]), 1)
+    totals = count_buckets(rows, "content", statistics, terms_size + ROUTES + 2)
+    df, n = totals[:terms_size], max(int(totals[-2]), 1)
+    mean = int(totals[-1]) / n
     idf = np.where((df > 1) & ((df <= COMMON * n) | (n < 8)), np.log(1 + (n - df + 0.5) / (df + 0.5)), 0).astype(np.float32)
     first, spread = shard_plan(totals[terms_size:terms_size + ROUTES], shard_chars)
 
     def tokenize(frames):
-        tokens = Tokens(*paths)
+        tokens = _worker_wide("|".join(paths), lambda: Tokens(*paths))
         for frame in frames:
             out = []
             for doc, content in zip(frame["doc"], frame["content"]):
                 content = content or ""
-                found, times = term_hashes(content)
+                found, times = np.unique(term_hashes(content), return_counts=True)
                 route = route_of(found)
                 shard = int(first[route]) + zlib.crc32(str(doc).encode()) % int(spread[route])
                 useful = idf[found] > 0
-                out.append((shard, doc, tokens.encode(content), found[useful].astype(np.int32).tobytes(), np.minimum(times[useful], 65535).astype(np.uint16).tobytes()))
-            yield pd.DataFrame(out, columns=["shard", "doc", "ids", "terms", "times"]).astype({"doc": "Int64"})
+                out.append((shard, doc, tokens.encode(content), found[useful].astype(np.int32).tobytes(), np.minimum(times[useful], 65535).astype(np.uint16).tobytes(), int(times.sum())))
+            yield pd.DataFrame(out, columns=["shard", "doc", "ids", "terms", "times", "words"]).astype({"doc": "Int64"})
 
     def pieces(shard, held):
         ids = [np.append(np.frombuffer(r[1], np.uint16), np.uint16(end_id)) for r in held]
         terms = [np.frombuffer(r[2], np.int32).astype(np.int64) for r in held]
-        windows = pack_shard(np.array([len(x) for x in ids], np.int64), terms, [np.frombuffer(r[3], np.uint16) for r in held], idf, window)
+        windows = pack_shard(np.array([len(x) for x in ids], np.int64), terms, [np.frombuffer(r[3], np.uint16) for r in held], idf, window, np.array([r[4] for r in held]), mean)
         out = []
         for k, content in enumerate(windows):
             offset = 0
             for d, start, length in content:
                 piece = ids[d][start:start + length].astype("<u4").tobytes()
-                out.append((held[d][0], start, length, zlib.crc32(piece), len(ids[d]), (shard << 32) + k, offset, piece))
+                out.append((held[d][0], start, length, zlib.crc32(piece), len(ids[d]), (shard << 32) + k, offset, piece if with_ids else None))
                 offset += length
         return pd.DataFrame(out, columns=["doc", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids"]).astype({"doc": "Int64"})
 
     def pack_all(frames):
         current, held = None, []
         for frame in frames:
-            for row in zip(frame["shard"], frame["doc"], frame["ids"], frame["terms"], frame["times"]):
+            for row in zip(frame["shard"], frame["doc"], frame["ids"], frame["terms"], frame["times"], frame["words"]):
                 if row[0] != current:
                     if held:
                         yield pieces(current, held)
@@ -223,7 +278,7 @@ def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int =
         if held:
             yield pieces(current, held)
 
-    tokenized = rows.mapInPandas(tokenize, "shard long, doc long, ids binary, terms binary, times binary")
+    tokenized = rows.mapInPandas(tokenize, "shard long, doc long, ids binary, terms binary, times binary, words long")
     by_shard = tokenized.repartition(int((first + spread).max()), "shard").sortWithinPartitions("shard", "doc")
     packed = by_shard.mapInPandas(pack_all, "doc long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids binary")
     return packed.withColumnRenamed("doc", key)

@@ -21,7 +21,7 @@ def query(run):
 
 @query
 def op1_packing(spark, sf_dir):
-    return packing.pack(table(spark, sf_dir, "documents")).drop("ids")
+    return packing.pack(table(spark, sf_dir, "documents"), with_ids=False).drop("ids")
 
 
 @query
