@@ -6,8 +6,8 @@ terms, so alike documents meet; a crowded route is split by document id. Each sh
 largest unused one seeds a window, its neighbours by BM25 fill the window while they fit whole, and the best one that
 doesn't fit is cut to fill it exactly, its rest staying available. Only the last window of a shard is padded.
 
-Term frequencies over all documents (hashed terms), document counts and mean length give the BM25 weights; terms
-in over a quarter of all documents or in one alone carry none. Token ids come from ``tokenizers`` or, where that gives the same ids,
+Document frequencies (of hashed terms), the number of documents and their mean length, all over the whole table, give
+the BM25 weights; terms in over a quarter of all documents or in one alone carry none. Token ids come from ``tokenizers`` or, where that gives the same ids,
 from ``tiktoken`` with the same vocabulary, word by word with a cache of bounded size.
 
 A null or empty text is its end id alone. Repeated rows are packed one by one. Ties in score go to the longer
