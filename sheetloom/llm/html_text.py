@@ -31,11 +31,13 @@ LINK_SHARE = 0.5
 
 # What HTML says about elements, and names that sites give to what is no content.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript template iframe svg math object".split())
+RAW = frozenset("script style textarea title noscript template iframe".split())
+TO_THE_END = frozenset("script style textarea title".split())  # without an end tag they hold the rest of the page
+FOREIGN = frozenset(("svg", "math"))
 BLOCKS = frozenset("address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul caption".split())
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}, "body": {"head"}}
 SCOPES = frozenset("article aside body div footer form header html main nav ol section table td th ul button".split())
-DROPPED_TAGS = frozenset("head nav footer aside form button select option input script style textarea title noscript template iframe svg math object dialog menu".split())
+DROPPED_TAGS = frozenset("head nav footer aside form button select option input script style textarea title noscript template iframe svg dialog menu".split())
 DROPPED_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
 DROPPED_NAMES = frozenset("ad ads advert adverts advertisement adsense banner sponsor sponsored promo promotion sidebar menu nav navbar navigation breadcrumb breadcrumbs footer masthead cookie cookies consent gdpr notice notices newsletter subscribe signup login popup modal overlay share sharing social related recommended comment comments disqus replies respond pagination pager toolbar".split())
 MAIN_NAMES = frozenset(("article", "main"))
@@ -52,6 +54,16 @@ class Element:
         self.tag, self.attributes, self.children = tag, attributes, []
 
 
+def foreign_at(stack: list[Element]) -> int:
+    """Where on the stack the innermost ``svg`` or ``math`` element is, 0 for nowhere."""
+    for k in range(len(stack) - 1, 0, -1):
+        if stack[k].tag in FOREIGN:
+            return k
+        if stack[k].tag in BLOCKS:
+            break
+    return 0
+
+
 def parse(page: str) -> Element:
     """The element tree; children are elements and decoded texts."""
     root = Element("html")
@@ -68,6 +80,10 @@ def parse(page: str) -> Element:
                     del stack[k:]
                     break
         elif tag and tag not in ("html",):
+            foreign = foreign_at(stack)
+            if foreign and tag in BLOCKS and not any(e.tag in ("foreignobject", "annotation-xml") for e in stack[foreign:]):
+                del stack[foreign:]  # a block ends a drawing or formula that was left open
+                foreign = 0
             closes = CLOSES.get(tag, {"p"} if tag in BLOCKS else ())
             for k in range(len(stack) - 1, 0, -1):
                 if stack[k].tag in closes or tag in BLOCKS and stack[k].tag == "p":
@@ -77,13 +93,13 @@ def parse(page: str) -> Element:
                     break
             element = Element(tag, match[3])
             stack[-1].children.append(element)
-            if tag in RAW:
+            if match[3].endswith("/") and (foreign or tag in FOREIGN):
+                pass  # the slash closes an element here; HTML ignores it elsewhere
+            elif tag in RAW:
                 end = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(page, at)
-                at = end.end() if end else len(page)
-            elif tag not in VOID and not match[3].endswith("/"):
+                at = end.end() if end else len(page) if tag in TO_THE_END else at
+            elif tag not in VOID:
                 stack.append(element)
-            elif match[3].endswith("/") and tag not in VOID:
-                stack.append(element)  # HTML ignores the slash
         match = _TOKEN.search(page, at)
     if at < len(page):
         stack[-1].children.append(html.unescape(page[at:]))

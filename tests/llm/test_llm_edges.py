@@ -239,6 +239,17 @@ def test_html():
     assert html_text.main_text("<div>" * 5000 + "deep", set()) == "deep"
 
 
+@pytest.mark.parametrize("page, text", [
+    ("<article><p>one</p><svg width=1 /><p>two</p></article>", "one\ntwo"),
+    ("<article><p>one <svg><title/><path d='M0'/><text>drawn</text></svg> two</p><svg></svg><p>three</p></article>", "one two\nthree"),
+    ("<p>let <math><mi>x</mi><mo>=</mo><mn>1</mn></math> be</p><math/><p>two</p>", "let x=1 be\ntwo"),
+    ("<p>a<object data=x>fallback</object></p><svg><g><p>left open</p>", "afallback\nleft open"),
+    ("<p>a<noscript><p>b<iframe src=x><p>c", "a\nb\nc"),
+])
+def test_html_elements_end_where_they_end(page, text):
+    assert html_text.main_text(page, set()) == text
+
+
 def test_html_templates(spark):
     pages = [(k, f"http://H{h}.example.com/{k}", f"<div class=x><p>Welcome to us</p></div><p>Own text {k}</p><div>{'same on some' if k < 3 else k}</div>") for h in (1, 2) for k in range(20)]
     pages += [(99, None, None), (98, "http://h1.example.com/", None), (97, "http://rare.example.com", "<p>Welcome to us</p>")]
