@@ -1,8 +1,10 @@
 """Main text of web pages by site template removal.
 
 Every page is parsed into elements. The subtrees of block elements are hashed (tags and text, white space apart) and
-counted once a page for each host in Spark; a subtree that recurs on at least ``MIN_PAGES`` pages and ``MIN_SHARE`` of a host's pages is
-template, and is deleted from that host's pages. Elements that markup itself names as no content
+counted in Spark for each host; one that stands beside at least ``MIN_PAGES`` different texts is
+template, and is deleted from that host's pages. What stands beside it is one block of the rest of the page, drawn by a hash with a
+chance that follows its length: copies of a page draw the same and count once, near copies mostly so. A page on which less
+than a fifth of the text is beside a subtree says nothing about it, unless the subtree is mostly links. Elements that markup itself names as no content
 (menus, forms, adverts, comments of readers and so on: ``DROPPED_TAGS``, ``DROPPED_ROLES``, ``DROPPED_NAMES``) go too, as on hosts
 with few pages nothing recurs. What an ``article`` or ``main`` element holds is text of the page, and
 is template only if it is mostly links; if a page has such an element, only its content counts.
@@ -15,6 +17,8 @@ of further columns only those asked for are kept.
 
 import html
 import re
+from itertools import accumulate
+from math import log
 
 import numpy as np
 import pandas as pd
@@ -22,11 +26,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.skew import join_unique
+from ..staging import stage
 from .url_reputation import host_of
 
 MIN_PAGES = 5
-MIN_SHARE = 0.1
+MOST = 4  # times the rest of the page
 LINK_SHARE = 0.5
 
 # What HTML says about elements, and names that sites give to what is no content.
@@ -48,7 +52,7 @@ _NAME = re.compile(r"[a-z0-9]+")
 
 
 class Element:
-    __slots__ = ("tag", "attributes", "children", "hash", "has_main", "chars", "link_chars")
+    __slots__ = ("tag", "attributes", "children", "hash", "has_main", "chars", "link_chars", "first", "end")
 
     def __init__(self, tag: str, attributes: str = ""):
         self.tag, self.attributes, self.children = tag, attributes, []
@@ -160,10 +164,43 @@ def candidates(root: Element):
         todo += [(c, inside) for c in element.children if isinstance(c, Element)]
 
 
-def subtree_hashes(page: str | None) -> list[int]:
+def text_hash(text: str) -> int:
+    return xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass"))
+
+
+def draws(root: Element) -> list[tuple[float, int]]:
+    """Each text of the page, in order, with its lot; the least lot of some texts is drawn, in proportion to their lengths.
+
+    Elements are told which texts they hold.
+    """
+    lots, todo = [], [(root, False)]
+    while todo:
+        node, done = todo.pop()
+        if done:
+            node.end = len(lots)
+        elif isinstance(node, Element):
+            node.first = len(lots)
+            todo.append((node, True))
+            todo += [(c, False) for c in reversed(node.children)]
+        elif text := " ".join(node.split()):
+            found = text_hash(text)
+            lots.append((-log((found + 1) / (2 ** 64 + 1)) / len(text), found))
+    return lots
+
+
+def evidence(page: str | None) -> list[tuple[int, int]]:
+    """``(subtree, beside)``: what may be template, and what was drawn from the rest of the page."""
     root = parse(page or "")
     measure(root)
-    return list({e.hash for e in candidates(root)})
+    lots = draws(root)
+    nothing = (float("inf"), 0)
+    before, after = list(accumulate(lots, min, initial=nothing)), list(accumulate(reversed(lots), min, initial=nothing))[::-1]
+    out = {}
+    for e in candidates(root):
+        rest = root.chars - e.chars
+        if rest and (e.chars <= MOST * rest or e.link_chars >= LINK_SHARE * e.chars):
+            out[e.hash] = min(before[e.first], after[e.end])[1] - (1 << 63)
+    return list(out.items())
 
 
 def main_text(page: str | None, templates: frozenset | set) -> str:
@@ -209,28 +246,34 @@ def main_text(page: str | None, templates: frozenset | set) -> str:
     return "\n".join(blocks)
 
 
-def host_templates(pages: DataFrame, url: str = "url", page: str = "html", min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
-    """``(host, templates)``. A host has at most ``1 / min_share`` times as many as a page has subtrees."""
-    def hashes(frames):
+def page_templates(pages: DataFrame, url: str = "url", page: str = "html", min_pages: int = MIN_PAGES) -> DataFrame:
+    """``(host_hash, page_hash, templates)`` for the pages that hold template subtrees. Equal pages of a host are one."""
+    def subtrees(frames):
         for frame in frames:
-            lists = [subtree_hashes(p) for p in frame["page"]]
+            lists = [evidence(p) for p in frame["page"]]
             sizes = [len(x) for x in lists]
-            yield pd.DataFrame({"host": np.repeat(frame["host"].to_numpy(object), sizes), "subtree": np.array([h for x in lists for h in x], np.int64)})
+            flat = np.array([x for found in lists for x in found], np.int64).reshape(-1, 2)
+            yield pd.DataFrame({"host_hash": np.repeat(frame["host_hash"].to_numpy(), sizes), "page_hash": np.repeat(frame["page_hash"].to_numpy(), sizes), "subtree": flat[:, 0], "beside": flat[:, 1]})
+
+    hosted = _hashed(pages.select(host_of(F.col(url)).alias("host"), F.col(page).cast("string").alias("page"))).select("host_hash", "page_hash", "page")
+    found = stage(hosted.mapInPandas(subtrees, "host_hash long, page_hash long, subtree long, beside long"), "subtrees")
+    templates = found.groupBy("host_hash", "subtree").agg(F.countDistinct("beside").alias("n")).filter(F.col("n") >= min_pages).select("host_hash", "subtree")
+    # Adaptive execution splits the subtrees that a large host has on all its pages, as templates have one row each.
+    return found.drop("beside").join(templates, ["host_hash", "subtree"]).groupBy("host_hash", "page_hash").agg(F.collect_set("subtree").alias("templates"))
+
 
-    hosted = pages.select(host_of(F.col(url)).alias("host"), F.col(page).alias("page"))
-    counted = hosted.mapInPandas(hashes, "host string, subtree long").groupBy("host", "subtree").agg(F.count("*").alias("n")).filter(F.col("n") >= min_pages)
-    sizes = hosted.groupBy("host").agg(F.count("*").alias("pages"))
-    return counted.join(sizes, "host").filter(F.col("n") >= min_share * F.col("pages")).groupBy("host").agg(F.collect_list("subtree").alias("templates"))
+def _hashed(hosted: DataFrame) -> DataFrame:
+    return hosted.withColumn("host_hash", F.xxhash64("host")).withColumn("page_hash", F.xxhash64(F.coalesce("page", F.lit(""))))
 
 
-def extract(pages: DataFrame, key: str = "page_id", url: str = "url", page: str = "html", min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
+def extract(pages: DataFrame, key: str = "page_id", url: str = "url", page: str = "html", min_pages: int = MIN_PAGES) -> DataFrame:
     """``(key, url, text, n_chars)`` for every page."""
-    hosted = pages.select(F.col(key), F.col(url), host_of(F.col(url)).alias("host"), F.col(page).cast("string").alias("__page"))
-    joined = join_unique(hosted, host_templates(pages, url, page, min_pages, min_share), "host")
+    hosted = _hashed(pages.select(F.col(key).alias("__key"), F.col(url).alias("__url"), host_of(F.col(url)).alias("host"), F.col(page).cast("string").alias("page")))
+    joined = hosted.join(page_templates(pages, url, page, min_pages), ["host_hash", "page_hash"], "left")
 
     @F.pandas_udf("string")
     def text_of(contents: pd.Series, templates: pd.Series) -> pd.Series:
         return pd.Series([main_text(c, frozenset() if t is None else frozenset(t)) for c, t in zip(contents, templates)], dtype=object)
 
-    found = joined.withColumn("text", text_of("__page", "templates"))
-    return found.select(key, url, "text", F.length("text").cast("long").alias("n_chars"))
+    found = joined.withColumn("text", text_of("page", "templates"))
+    return found.select(F.col("__key").alias(key), F.col("__url").alias(url), "text", F.length("text").cast("long").alias("n_chars"))

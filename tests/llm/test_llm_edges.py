@@ -262,6 +262,20 @@ def test_html_templates(spark):
     assert html_text.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+def test_html_copies_are_no_template(spark):
+    """Six copies of an article keep it, though each has a menu that goes; a notice on 5 % of a large host's pages goes."""
+    story = "".join(f"<p>Paragraph {w} tells what happened there in some detail.</p>" for w in ("one", "two", "three", "four"))
+    menu = "<div><ul><li>Start page</li><li>All news</li></ul></div>"
+    words = [f"{chr(97 + k % 26)}{chr(97 + k // 26)}" for k in range(200)]
+    pages = [(k, f"http://copies.example.com/?session={k}", f"<body>{menu}<div>{story}</div></body>") for k in range(6)]
+    pages += [(100 + k, f"http://copies.example.com/{k}", f"<body>{menu}<div><p>Story {w} is another one.</p></div></body>") for k, w in enumerate(words[:8])]
+    pages += [(1000 + k, f"http://large.example.com/{k}", f"<body>{'<div>Section notice</div>' if k < 10 else ''}<p>Page {w} says {w} and {w}.</p></body>") for k, w in enumerate(words)]
+    texts = {r["page_id"]: r["text"] for r in html_text.extract(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert all(texts[k].count("\n") == 3 and texts[k].startswith("Paragraph one") for k in range(6))
+    assert all(texts[100 + k] == f"Story {w} is another one." for k, w in enumerate(words[:8]))
+    assert all(texts[1000 + k] == f"Page {w} says {w} and {w}." for k, w in enumerate(words))
+
+
 def test_url_rules_and_reputation(spark):
     urls = {
         1: "http://EXAMPLE.net/en/x", 2: "http://a.example.net/fr/", 3: "https://b.example.com/de/1?q", 4: "https://b.example.com/den", 5: "x://y.org/fr/#z",
