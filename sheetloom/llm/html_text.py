@@ -6,8 +6,9 @@ template, and is deleted from that host's pages. What stands beside it is one bl
 chance that follows its length: copies of a page draw the same and count once, near copies mostly so. A page on which less
 than a fifth of the text is beside a subtree says nothing about it, unless the subtree is mostly links. Elements that markup itself names as no content
 (menus, forms, adverts, comments of readers and so on: ``DROPPED_TAGS``, ``DROPPED_ROLES``, ``DROPPED_NAMES``) go too, as on hosts
-with few pages nothing recurs. What an ``article`` or ``main`` element holds is text of the page, and
-is template only if it is mostly links; if a page has such an element, only its content counts.
+with few pages nothing recurs. In ``article`` and ``main`` elements real text recurs as well (headings, licence lines), so what is not
+mostly links must there stand beside as many different texts as ``MAIN_SHARE`` of the host's different pages with such elements too. If
+what is left of these elements is at least half of what is left of the page, only they count, else the whole page does.
 
 Blocks are what block elements bound; character references are decoded, white space becomes one space, and
 blocks are joined by line feeds. Elements left open are closed as browsers do. Null and empty pages, and pages without text outside templates, have
@@ -31,7 +32,9 @@ from .url_reputation import host_of
 
 MIN_PAGES = 5
 MOST = 4  # times the rest of the page
+MAIN_SHARE = 0.5
 LINK_SHARE = 0.5
+_INSIDE = 0x2545F4914F6CDD1D  # marks the hash of a subtree in main content
 
 # What HTML says about elements, and names that sites give to what is no content.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -154,13 +157,15 @@ def measure(root: Element) -> None:
 
 
 def candidates(root: Element):
-    """Block elements that may be template: outside main content, or mostly links."""
+    """``(element, mark, inside)`` of the block elements that may be template, their hashes marked if they are in main content or hold
+    such and are not mostly links."""
     todo = [(root, False)]
     while todo:
         element, inside = todo.pop()
         inside |= element.tag in MAIN_NAMES
-        if element.tag in BLOCKS and element.chars and not element.has_main and (not inside or element.link_chars >= LINK_SHARE * element.chars):
-            yield element
+        if element.tag in BLOCKS and element.chars:
+            strict = (inside or element.has_main) and element.link_chars < LINK_SHARE * element.chars
+            yield element, element.hash ^ _INSIDE if strict else element.hash, strict
         todo += [(c, inside) for c in element.children if isinstance(c, Element)]
 
 
@@ -188,19 +193,20 @@ def draws(root: Element) -> list[tuple[float, int]]:
     return lots
 
 
-def evidence(page: str | None) -> list[tuple[int, int]]:
-    """``(subtree, beside)``: what may be template, and what was drawn from the rest of the page."""
+def evidence(page: str | None, page_hash: int = 0) -> list[tuple[int, int, int]]:
+    """``(subtree, beside, kind)``: what may be template, and what was drawn from the rest of the page. Kind 1 is for main content;
+    a page that has such also gives its own hash, as kind 2."""
     root = parse(page or "")
     measure(root)
     lots = draws(root)
     nothing = (float("inf"), 0)
     before, after = list(accumulate(lots, min, initial=nothing)), list(accumulate(reversed(lots), min, initial=nothing))[::-1]
-    out = {}
-    for e in candidates(root):
+    out = {(0, 2): page_hash} if root.has_main else {}
+    for e, mark, inside in candidates(root):
         rest = root.chars - e.chars
         if rest and (e.chars <= MOST * rest or e.link_chars >= LINK_SHARE * e.chars):
-            out[e.hash] = min(before[e.first], after[e.end])[1] - (1 << 63)
-    return list(out.items())
+            out[mark, int(inside)] = min(before[e.first], after[e.end])[1] - (1 << 63)
+    return [(mark, beside, kind) for (mark, kind), beside in out.items()]
 
 
 def main_text(page: str | None, templates: frozenset | set) -> str:
@@ -208,10 +214,10 @@ def main_text(page: str | None, templates: frozenset | set) -> str:
         return ""
     root = parse(page)
     measure(root)
-    template = {id(e) for e in candidates(root) if e.hash in templates}
+    template = {id(e) for e, mark, _ in candidates(root) if mark in templates}
 
     # Main content in page order. What wraps the first of it stays, whatever its name; a later wrapper may hold comments or teasers.
-    found, todo = [], [root]
+    found, wraps, todo = [], set(), [root]
     while todo:
         element = todo.pop()
         if id(element) in template or is_dropped(element) and (not element.has_main or element.tag in MAIN_NAMES or found):
@@ -219,47 +225,57 @@ def main_text(page: str | None, templates: frozenset | set) -> str:
         if element.tag in MAIN_NAMES:
             found.append(element)
         else:
+            if element.has_main:
+                wraps.add(id(element))
             todo += [c for c in reversed(element.children) if isinstance(c, Element)]
-    blocks, words = [], []
-
-    def end_block():
-        if text := " ".join("".join(words).split()):
-            blocks.append(text)
-        words.clear()
-
-    for start in found or [root]:
-        todo = [start]
-        while todo:
-            node = todo.pop()
-            if node is None:
-                end_block()
-            elif isinstance(node, str):
-                words.append(node)
-            elif node.tag == "br":
-                words.append(" ")
-            elif id(node) not in template and not is_dropped(node):
-                if node.tag in BLOCKS:
+
+    def text_in(starts: list[Element]) -> str:
+        blocks, words = [], []
+
+        def end_block():
+            if text := " ".join("".join(words).split()):
+                blocks.append(text)
+            words.clear()
+
+        for start in starts:
+            todo = [start]
+            while todo:
+                node = todo.pop()
+                if node is None:
                     end_block()
-                    todo.append(None)
-                todo += reversed(node.children)
-        end_block()
-    return "\n".join(blocks)
+                elif isinstance(node, str):
+                    words.append(node)
+                elif node.tag == "br":
+                    words.append(" ")
+                elif id(node) not in template and (id(node) in wraps or not is_dropped(node)):
+                    if node.tag in BLOCKS:
+                        end_block()
+                        todo.append(None)
+                    todo += reversed(node.children)
+            end_block()
+        return "\n".join(blocks)
+
+    main, whole = text_in(found), text_in([root])
+    return main if 2 * len(main) >= len(whole) else whole
 
 
 def page_templates(pages: DataFrame, url: str = "url", page: str = "html", min_pages: int = MIN_PAGES) -> DataFrame:
     """``(host_hash, page_hash, templates)`` for the pages that hold template subtrees. Equal pages of a host are one."""
     def subtrees(frames):
         for frame in frames:
-            lists = [evidence(p) for p in frame["page"]]
+            lists = [evidence(p, h) for p, h in zip(frame["page"], frame["page_hash"])]
             sizes = [len(x) for x in lists]
-            flat = np.array([x for found in lists for x in found], np.int64).reshape(-1, 2)
-            yield pd.DataFrame({"host_hash": np.repeat(frame["host_hash"].to_numpy(), sizes), "page_hash": np.repeat(frame["page_hash"].to_numpy(), sizes), "subtree": flat[:, 0], "beside": flat[:, 1]})
+            flat = np.array([x for found in lists for x in found], np.int64).reshape(-1, 3)
+            yield pd.DataFrame({"host_hash": np.repeat(frame["host_hash"].to_numpy(), sizes), "page_hash": np.repeat(frame["page_hash"].to_numpy(), sizes), "subtree": flat[:, 0], "beside": flat[:, 1], "kind": flat[:, 2]})
 
     hosted = _hashed(pages.select(host_of(F.col(url)).alias("host"), F.col(page).cast("string").alias("page"))).select("host_hash", "page_hash", "page")
-    found = stage(hosted.mapInPandas(subtrees, "host_hash long, page_hash long, subtree long, beside long"), "subtrees")
-    templates = found.groupBy("host_hash", "subtree").agg(F.countDistinct("beside").alias("n")).filter(F.col("n") >= min_pages).select("host_hash", "subtree")
+    found = stage(hosted.mapInPandas(subtrees, "host_hash long, page_hash long, subtree long, beside long, kind long"), "subtrees")
+    counted = found.groupBy("host_hash", "subtree", "kind").agg(F.countDistinct("beside").alias("n"))
+    sizes = counted.filter("kind = 2").select("host_hash", F.col("n").alias("pages"))
+    enough = counted.filter((F.col("kind") < 2) & (F.col("n") >= min_pages)).join(sizes, "host_hash", "left")
+    templates = enough.filter((F.col("kind") == 0) | (F.col("n") >= MAIN_SHARE * F.col("pages"))).select("host_hash", "subtree", "kind")
     # Adaptive execution splits the subtrees that a large host has on all its pages, as templates have one row each.
-    return found.drop("beside").join(templates, ["host_hash", "subtree"]).groupBy("host_hash", "page_hash").agg(F.collect_set("subtree").alias("templates"))
+    return found.drop("beside").join(templates, ["host_hash", "subtree", "kind"]).groupBy("host_hash", "page_hash").agg(F.collect_set("subtree").alias("templates"))
 
 
 def _hashed(hosted: DataFrame) -> DataFrame:

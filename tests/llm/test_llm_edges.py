@@ -276,6 +276,16 @@ def test_html_copies_are_no_template(spark):
     assert all(texts[1000 + k] == f"Page {w} says {w} and {w}." for k, w in enumerate(words))
 
 
+def test_html_recurrence_in_main_content(spark):
+    """A notice in the main element of all pages goes, a heading on some of them stays; teasers are not the page."""
+    words = [f"{chr(97 + k % 26)}{chr(97 + k // 26)}" for k in range(40)]
+    pages = [(k, f"http://wrapped.example.com/{k}", f"<main><div>We value what you read</div><p>Page {w} tells of {w}.</p>{'<h2>Sources</h2>' if k < 12 else ''}<p>End of {w}.</p></main>") for k, w in enumerate(words)]
+    pages += [(100, "http://teasers.example.com/", "<body><div><p>The story itself, which is much longer than all that follows.</p></div><article>Read on</article></body>")]
+    texts = {r["page_id"]: r["text"] for r in html_text.extract(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert all(texts[k] == f"Page {w} tells of {w}.\n" + ("Sources\n" if k < 12 else "") + f"End of {w}." for k, w in enumerate(words))
+    assert texts[100].startswith("The story itself")
+
+
 def test_url_rules_and_reputation(spark):
     urls = {
         1: "http://EXAMPLE.net/en/x", 2: "http://a.example.net/fr/", 3: "https://b.example.com/de/1?q", 4: "https://b.example.com/den", 5: "x://y.org/fr/#z",
