@@ -34,7 +34,9 @@ MIN_PAGES = 5
 MOST = 4  # times the rest of the page
 MAIN_SHARE = 0.5
 LINK_SHARE = 0.5
+MIN_NAMED = 2  # different texts beside a subtree whose name says that it is no content
 _INSIDE = 0x2545F4914F6CDD1D  # marks the hash of a subtree in main content
+_NAMED = 0x1B873593CC9E2D51  # of one with such a name
 
 # What HTML says about elements, and names that sites give to what is no content.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -47,6 +49,9 @@ SCOPES = frozenset("article aside body div footer form header html main nav ol s
 DROPPED_TAGS = frozenset("head nav footer aside form button select option input script style textarea title noscript template iframe svg dialog menu".split())
 DROPPED_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
 DROPPED_NAMES = frozenset("ad ads advert adverts advertisement adsense banner sponsor sponsored promo promotion sidebar menu nav navbar navigation breadcrumb breadcrumbs footer masthead cookie cookies consent gdpr notice notices newsletter subscribe signup login popup modal overlay share sharing social related recommended comment comments disqus replies respond pagination pager toolbar".split())
+WHOLE_NAMES = DROPPED_NAMES | frozenset("share-buttons share-links social-links social-share related-posts related-articles post-navigation comments-area comment-list comment-body cookie-notice cookie-banner newsletter-signup".split())
+NO_TEXT = frozenset("head script style textarea title noscript template iframe svg select option input button".split())
+TEXT_TAGS = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre dt dd li td th figcaption caption".split())
 MAIN_NAMES = frozenset(("article", "main"))
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>", re.S)
@@ -55,7 +60,7 @@ _NAME = re.compile(r"[a-z0-9]+")
 
 
 class Element:
-    __slots__ = ("tag", "attributes", "children", "hash", "has_main", "chars", "link_chars", "first", "end")
+    __slots__ = ("tag", "attributes", "children", "hash", "has_main", "chars", "link_chars", "first", "end", "inside", "whole")
 
     def __init__(self, tag: str, attributes: str = ""):
         self.tag, self.attributes, self.children = tag, attributes, []
@@ -113,8 +118,28 @@ def parse(page: str) -> Element:
     return root
 
 
-def is_dropped(element: Element) -> bool:
-    """Whether markup itself says that this is no content."""
+def names_no_content(element: Element) -> int:
+    """2 if a class of the element is a name of what is no content, 1 if a piece of a class or id is, 0 if none."""
+    level = 0
+    if "class" in element.attributes.lower() or "id" in element.attributes.lower():
+        for name, a, b, c, _ in _ATTRIBUTE.findall(element.attributes):
+            name, text = name.lower(), (a or b or c).lower()
+            if name == "class" and not WHOLE_NAMES.isdisjoint(text.split()):
+                return 2
+            if name in ("class", "id") and not DROPPED_NAMES.isdisjoint(_NAME.findall(text)):
+                level = 1
+    return level
+
+
+def is_dropped(element: Element, templates: frozenset | set = frozenset()) -> bool:
+    """Whether markup says that this is no content. What holds most of the text of the page, or of its main element, is content
+    unless it is mostly links. A name alone is enough only if it is a whole class of a container outside main content; else
+    the element must also be mostly links or recur on the host, and in main content ids and pieces of names say nothing."""
+    if element.tag in NO_TEXT:
+        return True
+    links = element.link_chars >= LINK_SHARE * element.chars and element.chars > 0
+    if 2 * element.chars > element.whole and not links:
+        return False
     if element.tag in DROPPED_TAGS:
         return True
     if element.tag == "header":
@@ -127,13 +152,15 @@ def is_dropped(element: Element) -> bool:
             return True
         if name == "role" and text.strip() in DROPPED_ROLES:
             return True
-        if name in ("class", "id") and not DROPPED_NAMES.isdisjoint(_NAME.findall(text)):
-            return True
-    return False
+    level = names_no_content(element)
+    if level == 2 and not element.inside and element.tag not in TEXT_TAGS:
+        return True
+    return level > element.inside and (links or element.hash ^ _NAMED in templates)
 
 
 def measure(root: Element) -> None:
-    """Hash, text length and link share of every element, children first."""
+    """Hash, text length and link share of every element, children first; then whether it is in main content, and how much text
+    its main element or else the page has."""
     order, todo = [], [root]
     while todo:
         element = todo.pop()
@@ -153,20 +180,30 @@ def measure(root: Element) -> None:
                 element.chars += len(text)
         if element.tag == "a":
             element.link_chars = element.chars
+        elif element.tag in NO_TEXT:
+            element.chars = element.link_chars = 0
         element.hash = xxhash.xxh3_64_intdigest("\n".join(parts).encode("utf-8", "surrogatepass")) - (1 << 63)
+    root.inside, root.whole = False, root.chars
+    for element in order:
+        starts = element.tag in MAIN_NAMES and not element.inside
+        inside, whole = (True, element.chars) if starts else (element.inside, element.whole)
+        for child in element.children:
+            if isinstance(child, Element):
+                child.inside, child.whole = inside, whole
 
 
 def candidates(root: Element):
-    """``(element, mark, inside)`` of the block elements that may be template, their hashes marked if they are in main content or hold
-    such and are not mostly links."""
-    todo = [(root, False)]
+    """``(element, mark, kind)`` of the block elements that may be template, their hashes marked and of kind 1 if they are in main
+    content or hold such and are not mostly links; and of elements whose name says that they are no content, as kind 3."""
+    todo = [root]
     while todo:
-        element, inside = todo.pop()
-        inside |= element.tag in MAIN_NAMES
+        element = todo.pop()
         if element.tag in BLOCKS and element.chars:
-            strict = (inside or element.has_main) and element.link_chars < LINK_SHARE * element.chars
-            yield element, element.hash ^ _INSIDE if strict else element.hash, strict
-        todo += [(c, inside) for c in element.children if isinstance(c, Element)]
+            strict = (element.inside or element.has_main) and element.link_chars < LINK_SHARE * element.chars
+            yield element, element.hash ^ _INSIDE if strict else element.hash, int(strict)
+        if element.chars and names_no_content(element) > element.inside:
+            yield element, element.hash ^ _NAMED, 3
+        todo += [c for c in element.children if isinstance(c, Element)]
 
 
 def text_hash(text: str) -> int:
@@ -194,18 +231,18 @@ def draws(root: Element) -> list[tuple[float, int]]:
 
 
 def evidence(page: str | None, page_hash: int = 0) -> list[tuple[int, int, int]]:
-    """``(subtree, beside, kind)``: what may be template, and what was drawn from the rest of the page. Kind 1 is for main content;
-    a page that has such also gives its own hash, as kind 2."""
+    """``(subtree, beside, kind)``: what may be template, and what was drawn from the rest of the page. Kinds are those of ``candidates``;
+    a page that has main content also gives its own hash, as kind 2."""
     root = parse(page or "")
     measure(root)
     lots = draws(root)
     nothing = (float("inf"), 0)
     before, after = list(accumulate(lots, min, initial=nothing)), list(accumulate(reversed(lots), min, initial=nothing))[::-1]
     out = {(0, 2): page_hash} if root.has_main else {}
-    for e, mark, inside in candidates(root):
+    for e, mark, kind in candidates(root):
         rest = root.chars - e.chars
         if rest and (e.chars <= MOST * rest or e.link_chars >= LINK_SHARE * e.chars):
-            out[mark, int(inside)] = min(before[e.first], after[e.end])[1] - (1 << 63)
+            out[mark, kind] = min(before[e.first], after[e.end])[1] - (1 << 63)
     return [(mark, beside, kind) for (mark, kind), beside in out.items()]
 
 
@@ -214,13 +251,13 @@ def main_text(page: str | None, templates: frozenset | set) -> str:
         return ""
     root = parse(page)
     measure(root)
-    template = {id(e) for e, mark, _ in candidates(root) if mark in templates}
+    template = {id(e) for e, mark, kind in candidates(root) if kind != 3 and mark in templates}
 
     # Main content in page order. What wraps the first of it stays, whatever its name; a later wrapper may hold comments or teasers.
     found, wraps, todo = [], set(), [root]
     while todo:
         element = todo.pop()
-        if id(element) in template or is_dropped(element) and (not element.has_main or element.tag in MAIN_NAMES or found):
+        if id(element) in template or is_dropped(element, templates) and (not element.has_main or element.tag in MAIN_NAMES or found):
             continue
         if element.tag in MAIN_NAMES:
             found.append(element)
@@ -247,7 +284,7 @@ def main_text(page: str | None, templates: frozenset | set) -> str:
                     words.append(node)
                 elif node.tag == "br":
                     words.append(" ")
-                elif id(node) not in template and (id(node) in wraps or not is_dropped(node)):
+                elif id(node) not in template and (id(node) in wraps or not is_dropped(node, templates)):
                     if node.tag in BLOCKS:
                         end_block()
                         todo.append(None)
@@ -272,8 +309,8 @@ def page_templates(pages: DataFrame, url: str = "url", page: str = "html", min_p
     found = stage(hosted.mapInPandas(subtrees, "host_hash long, page_hash long, subtree long, beside long, kind long"), "subtrees")
     counted = found.groupBy("host_hash", "subtree", "kind").agg(F.countDistinct("beside").alias("n"))
     sizes = counted.filter("kind = 2").select("host_hash", F.col("n").alias("pages"))
-    enough = counted.filter((F.col("kind") < 2) & (F.col("n") >= min_pages)).join(sizes, "host_hash", "left")
-    templates = enough.filter((F.col("kind") == 0) | (F.col("n") >= MAIN_SHARE * F.col("pages"))).select("host_hash", "subtree", "kind")
+    enough = counted.filter((F.col("kind") != 2) & (F.col("n") >= F.when(F.col("kind") == 3, MIN_NAMED).otherwise(min_pages))).join(sizes, "host_hash", "left")
+    templates = enough.filter((F.col("kind") != 1) | (F.col("n") >= MAIN_SHARE * F.col("pages"))).select("host_hash", "subtree", "kind")
     # Adaptive execution splits the subtrees that a large host has on all its pages, as templates have one row each.
     return found.drop("beside").join(templates, ["host_hash", "subtree", "kind"]).groupBy("host_hash", "page_hash").agg(F.collect_set("subtree").alias("templates"))
 

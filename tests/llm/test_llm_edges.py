@@ -286,6 +286,17 @@ def test_html_recurrence_in_main_content(spark):
     assert texts[100].startswith("The story itself")
 
 
+@pytest.mark.parametrize("page, text", [
+    ('<article><p>One.</p><section id="related-work"><h2 id="navigation">Two</h2></section><p class="notice">Three.</p><section id="social-impact">Four</section></article>', "One.\nTwo\nThree.\nFour"),
+    ('<body><div class="content no-sidebar"><p>All the text</p></div><div class="ad">Buy</div></body>', "All the text"),
+    ('<body class="menu-closed"><div class="with-sidebar"><p>All the text</p></div></body>', "All the text"),
+    ('<form id="aspnetForm"><div><h2 id="navigation">Finding it</h2><p>All the text</p></div></form>', "Finding it\nAll the text"),
+    ('<article><p>The text of it.</p><div class="related"><a href="/a">Other</a></div></article>', "The text of it."),
+])
+def test_html_names_alone_drop_no_text(page, text):
+    assert html_text.main_text(page, set()) == text
+
+
 def test_url_rules_and_reputation(spark):
     urls = {
         1: "http://EXAMPLE.net/en/x", 2: "http://a.example.net/fr/", 3: "https://b.example.com/de/1?q", 4: "https://b.example.com/den", 5: "x://y.org/fr/#z",
