@@ -18,6 +18,7 @@ of further columns only those asked for are kept.
 
 import html
 import re
+import zlib
 from itertools import accumulate
 from math import log
 
@@ -322,11 +323,17 @@ def _hashed(hosted: DataFrame) -> DataFrame:
 def extract(pages: DataFrame, key: str = "page_id", url: str = "url", page: str = "html", min_pages: int = MIN_PAGES) -> DataFrame:
     """``(key, url, text, n_chars)`` for every page."""
     hosted = _hashed(pages.select(F.col(key).alias("__key"), F.col(url).alias("__url"), host_of(F.col(url)).alias("host"), F.col(page).cast("string").alias("page")))
+
+    @F.pandas_udf("binary")
+    def pressed(contents: pd.Series) -> pd.Series:  # pages are shuffled, and shuffles compress less
+        return contents.map(lambda c: None if c is None else zlib.compress(c.encode(), 1))
+
+    hosted = hosted.withColumn("page", pressed("page"))
     joined = hosted.join(page_templates(pages, url, page, min_pages), ["host_hash", "page_hash"], "left")
 
     @F.pandas_udf("string")
     def text_of(contents: pd.Series, templates: pd.Series) -> pd.Series:
-        return pd.Series([main_text(c, frozenset() if t is None else frozenset(t)) for c, t in zip(contents, templates)], dtype=object)
+        return pd.Series([main_text(c and zlib.decompress(c).decode(), frozenset() if t is None else frozenset(t)) for c, t in zip(contents, templates)], dtype=object)
 
     found = joined.withColumn("text", text_of("page", "templates"))
     return found.select(F.col("__key").alias(key), F.col("__url").alias(url), "text", F.length("text").cast("long").alias("n_chars"))
