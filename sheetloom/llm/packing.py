@@ -1,8 +1,10 @@
 """Lexical retrieval packing: related documents share training windows.
 
 Documents are tokenized and end with an id of their own. Whole windows of a long document stand alone; what
-remains of each document is packed. Documents are dealt to shards of bounded size by a min-hash of their
-terms, so alike documents meet; a crowded route is split by document id. Each shard holds a BM25 inverted index over its remainders: the
+remains of each document is packed. Every document is posted to a shard of bounded size in each of ``TREES`` orders, which sort by the
+terms with the least of random lots, rare terms first; there its best neighbour by BM25 is found. Documents that are joined by best
+neighbours form groups, and groups in the first order fill the shards that are packed; a group larger than a shard is cut in that
+order too. Each shard holds a BM25 inverted index over its remainders: the
 largest unused one seeds a window, its neighbours by BM25 fill the window while they fit whole, and the best one that
 doesn't fit is cut to fill it exactly, its rest staying available. Only the last window of a shard is padded.
 
@@ -20,19 +22,23 @@ import sys
 import types
 import zlib
 from array import array
-from math import ceil
 
 import numpy as np
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.skew import fits_broadcast
+from ..staging import stage
 from .common import count_buckets
+from .components import components
 
 WINDOW = 2048
 END_ID = 1
 TERM_BITS = 18
-ROUTES = 4096
+TREES = 3
+COORDINATES = 3
 SHARD_CHARS = 4_000_000
 COMMON = 0.25
 K1, B = 1.2, 0.75
@@ -129,26 +135,44 @@ def term_hashes(text: str | None) -> np.ndarray:
     return (hashed >> np.uint64(64 - TERM_BITS)).astype(np.int64)
 
 
-def route_of(terms: np.ndarray) -> int:
-    if not len(terms):
-        return 0
-    return int(((terms.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(20)).min() % np.uint64(ROUTES))
+def lots_of(idf: np.ndarray, tree: int) -> np.ndarray:
+    """A lot for each term in a tree; the rarer a term, the better its chance of the least one. Terms that carry nothing have none."""
+    hashed = (np.arange(1, len(idf) + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) ^ np.uint64(0xD1B54A32D192ED03 * (tree + 1) % (1 << 64))
+    hashed = (hashed ^ (hashed >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+    even = ((hashed >> np.uint64(11)).astype(float) + 1) / (1 << 53)
+    return np.where(idf > 0, -np.log(even) / np.maximum(idf, 1e-9) ** 2, np.inf)
 
 
-def shard_plan(chars: np.ndarray, shard_chars: int) -> tuple[np.ndarray, np.ndarray]:
-    """For each route its first shard and over how many shards it is spread; small neighbours share one."""
-    first, spread = np.zeros(ROUTES, np.int64), np.ones(ROUTES, np.int64)
-    shard, filled = 0, 0
-    for route in range(ROUTES):
-        if chars[route] > shard_chars:
-            shard += filled > 0
-            first[route], spread[route] = shard, ceil(chars[route] / shard_chars)
-            shard, filled = shard + spread[route], 0
-            continue
-        if filled + chars[route] > shard_chars:
-            shard, filled = shard + 1, 0
-        first[route], filled = shard, filled + chars[route]
-    return first, spread
+def coordinates(found: np.ndarray, lots: np.ndarray) -> int:
+    """The ``COORDINATES`` terms with the least lots, as one number: documents in its order stand beside those they share most of them with."""
+    mine = lots[found]
+    least = found[np.argsort(mine, kind="stable")[:COORDINATES]] if len(found) else found
+    key = 0
+    for k in range(COORDINATES):
+        key = key << TERM_BITS | (int(least[k]) if k < len(least) else 0)
+    return key
+
+
+class Postings:
+    """An inverted index, each posting with its BM25 weight."""
+
+    def __init__(self, terms: list[np.ndarray], counts: list[np.ndarray], idf: np.ndarray, sizes: np.ndarray | None = None, mean: float | None = None):
+        self.n = len(terms)
+        owner = np.repeat(np.arange(len(terms)), [len(t) for t in terms])
+        term = np.concatenate(terms) if terms else np.empty(0, np.int64)
+        tf = np.concatenate(counts).astype(float) if counts else np.empty(0)
+        size = sizes if sizes is not None else np.bincount(owner, tf, len(terms))
+        mean = max(mean if mean is not None else size.mean() if len(size) else 0, 1e-9)
+        weight = idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * size[owner] / mean))
+        order = np.lexsort((owner, term))
+        self.owner, self.term, self.weight = owner[order], term[order], weight[order]
+
+    def scores(self, wanted: np.ndarray) -> np.ndarray:
+        """Of all documents for these distinct terms."""
+        lo, hi = np.searchsorted(self.term, wanted, "left"), np.searchsorted(self.term, wanted, "right")
+        many = hi - lo
+        at = np.repeat(lo - np.concatenate(([0], np.cumsum(many)[:-1])), many) + np.arange(many.sum())
+        return np.bincount(self.owner[at], self.weight[at], self.n)
 
 
 def pack_shard(lengths: np.ndarray, terms: list[np.ndarray], counts: list[np.ndarray], idf: np.ndarray, window: int = WINDOW, sizes: np.ndarray | None = None, mean: float | None = None) -> list[list[tuple[int, int, int]]]:
@@ -156,15 +180,7 @@ def pack_shard(lengths: np.ndarray, terms: list[np.ndarray], counts: list[np.nda
     that of all documents; else those of the terms given."""
     windows = [[(d, k * window, window)] for d, n in enumerate(lengths) for k in range(n // window)]
     start, left = (lengths // window) * window, lengths % window
-    # Inverted index, each posting with its BM25 weight.
-    owner = np.repeat(np.arange(len(terms)), [len(t) for t in terms])
-    term = np.concatenate(terms) if terms else np.empty(0, np.int64)
-    tf = np.concatenate(counts).astype(float) if counts else np.empty(0)
-    size = sizes if sizes is not None else np.bincount(owner, tf, len(terms))
-    mean = max(mean if mean is not None else size.mean() if len(size) else 0, 1e-9)
-    weight = idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * size[owner] / mean))
-    order = np.lexsort((owner, term))
-    owner, term, weight = owner[order], term[order], weight[order]
+    index = Postings(terms, counts, idf, sizes, mean)
     seeds = np.lexsort((np.arange(len(left)), -left))
     ahead = 0
     while True:
@@ -177,11 +193,7 @@ def pack_shard(lengths: np.ndarray, terms: list[np.ndarray], counts: list[np.nda
         left[seed] = 0
         near = np.empty(0, np.int64)
         if space and len(terms[seed]):
-            wanted = np.unique(terms[seed])
-            lo, hi = np.searchsorted(term, wanted, "left"), np.searchsorted(term, wanted, "right")
-            many = hi - lo
-            at = np.repeat(lo - np.concatenate(([0], np.cumsum(many)[:-1])), many) + np.arange(many.sum())
-            score = np.bincount(owner[at], weight[at], len(left))
+            score = index.scores(np.unique(terms[seed]))
             near = np.flatnonzero((score > 0) & (left > 0))
         ranked = near
         # Neighbours from the best on, a batch at a time: whole ones while they fit, or one of the batch to be cut.
@@ -232,26 +244,79 @@ def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int =
 
     def statistics(content):
         found = term_hashes(content)
-        return np.append(found, [terms_size + route_of(found), terms_size + ROUTES, terms_size + ROUTES + 1]), np.append(np.ones(len(found), np.int64), [len(content) + 1, 1, len(found)])
+        return np.append(found, [terms_size, terms_size + 1, terms_size + 2]), np.append(np.ones(len(found), np.int64), [len(content) + 1, 1, len(found)])
 
-    totals = count_buckets(rows, "content", statistics, terms_size + ROUTES + 2)
-    df, n = totals[:terms_size], max(int(totals[-2]), 1)
+    totals = count_buckets(rows, "content", statistics, terms_size + 3)
+    df, n, chars = totals[:terms_size], max(int(totals[-2]), 1), int(totals[-3])
     mean = int(totals[-1]) / n
     idf = np.where((df > 1) & ((df <= COMMON * n) | (n < 8)), np.log(1 + (n - df + 0.5) / (df + 0.5)), 0).astype(np.float32)
-    first, spread = shard_plan(totals[terms_size:terms_size + ROUTES], shard_chars)
+    shards = max(1, -(-4 * chars // (3 * shard_chars))) if chars > shard_chars else 1  # aims at three quarters, as ranges are uneven
+
+    def described(frame, lots):
+        """``(doc, content, terms, times, words, node)``; nodes are in the order of the first tree, and equal for equal rows."""
+        for doc, content in zip(frame["doc"], frame["content"]):
+            content = content or ""
+            found, times = np.unique(term_hashes(content), return_counts=True)
+            useful = idf[found] > 0
+            mine = found[useful]
+            node = coordinates(mine, lots) >> TERM_BITS * (COORDINATES - 2) << 27 | zlib.crc32(content.encode("utf-8", "surrogatepass"), zlib.crc32(str(doc).encode())) >> 5
+            yield doc, content, mine, np.minimum(times[useful], 65535).astype(np.uint16), int(times.sum()), node
+
+    def post(frames):
+        lots = [lots_of(idf, t) for t in range(TREES)]
+        for frame in frames:
+            out = []
+            for _, content, mine, times, words, node in described(frame, lots[0]):
+                if len(mine):
+                    held = mine.astype(np.int32).tobytes(), times.tobytes()
+                    out += [(t, coordinates(mine, lots[t]), node, len(content), *held, words) for t in range(TREES)]
+            yield pd.DataFrame(out, columns=["tree", "key", "node", "chars", "terms", "times", "words"])
+
+    def best_of(held):
+        nodes = np.array([r[0] for r in held], np.int64)
+        terms = [np.frombuffer(r[2], np.int32).astype(np.int64) for r in held]
+        index = Postings(terms, [np.frombuffer(r[3], np.uint16) for r in held], idf, np.array([r[4] for r in held]), mean)
+        out = []
+        for node, wanted in zip(nodes, terms):
+            score = index.scores(wanted)
+            score[nodes == node] = 0
+            best = int(score.argmax())
+            if score[best] > 0:
+                out.append((node, nodes[best], float(score[best])))
+        return pd.DataFrame(out, columns=["node", "best", "score"])
+
+    def search(frames):
+        tree, filled, held = None, 0, []
+        for frame in frames:
+            for t, node, size, terms, times, words in zip(frame["tree"], frame["node"], frame["chars"], frame["terms"], frame["times"], frame["words"]):
+                if held and (t != tree or filled + size > most):
+                    yield best_of(held)
+                    filled, held = 0, []
+                tree, filled = t, filled + size
+                held.append((node, size, terms, times, words))
+        if held:
+            yield best_of(held)
+
+    most = 3 * shard_chars // 2
+
+    def groups():
+        """``(node, place, within)``: documents and their best neighbours, of all trees, share the place of the first of them. A range of
+        places ends inside a group, by ``within``, only if the group has about half of a shard's documents or more."""
+        posted = rows.mapInPandas(post, "tree int, key long, node long, chars long, terms binary, times binary, words long")
+        ranges = posted.repartitionByRange(TREES * shards, "tree", "key", "node").sortWithinPartitions("tree", "key", "node")
+        found = ranges.mapInPandas(search, "node long, best long, score double")
+        nearest = found.groupBy("node").agg(F.max_by("best", F.struct("score", "best")).alias("best"))
+        linked = components(nearest.select(F.col("node").alias("a"), F.col("best").alias("b"))).select("node", F.col("component").alias("place"))
+        whole = linked.union(linked.select(F.col("place").alias("node"), "place").distinct())
+        large = whole.groupBy("place").agg((F.count("*") * F.lit(2 * chars / n) > shard_chars).alias("large"))
+        return stage(whole.join(large, "place").select("node", "place", F.when(F.col("large"), F.col("node")).otherwise(0).alias("within")), "places")
 
     def tokenize(frames):
         tokens = _worker_wide("|".join(paths), lambda: Tokens(*paths))
+        lots = lots_of(idf, 0)
         for frame in frames:
-            out = []
-            for doc, content in zip(frame["doc"], frame["content"]):
-                content = content or ""
-                found, times = np.unique(term_hashes(content), return_counts=True)
-                route = route_of(found)
-                shard = int(first[route]) + zlib.crc32(str(doc).encode()) % int(spread[route])
-                useful = idf[found] > 0
-                out.append((shard, doc, tokens.encode(content), found[useful].astype(np.int32).tobytes(), np.minimum(times[useful], 65535).astype(np.uint16).tobytes(), int(times.sum())))
-            yield pd.DataFrame(out, columns=["shard", "doc", "ids", "terms", "times", "words"]).astype({"doc": "Int64"})
+            out = [(node, doc, tokens.encode(content), mine.astype(np.int32).tobytes(), times.tobytes(), words, len(content) + 1) for doc, content, mine, times, words, node in described(frame, lots)]
+            yield pd.DataFrame(out, columns=["node", "doc", "ids", "terms", "times", "words", "chars"]).astype({"doc": "Int64"})
 
     def pieces(shard, held):
         ids = [np.append(np.frombuffer(r[1], np.uint16), np.uint16(end_id)) for r in held]
@@ -262,23 +327,38 @@ def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int =
             offset = 0
             for d, start, length in content:
                 piece = ids[d][start:start + length].astype("<u4").tobytes()
-                out.append((held[d][0], start, length, zlib.crc32(piece), len(ids[d]), (shard << 32) + k, offset, piece if with_ids else None))
+                out.append((held[d][0], start, length, zlib.crc32(piece), len(ids[d]), (shard << 24) + k, offset, piece if with_ids else None))
                 offset += length
         return pd.DataFrame(out, columns=["doc", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids"]).astype({"doc": "Int64"})
 
     def pack_all(frames):
-        current, held = None, []
+        shard = TaskContext.get().partitionId() << 20
+        held, group, place, filled, size = [], [], None, 0, 0
         for frame in frames:
-            for row in zip(frame["shard"], frame["doc"], frame["ids"], frame["terms"], frame["times"], frame["words"]):
-                if row[0] != current:
-                    if held:
-                        yield pieces(current, held)
-                    current, held = row[0], []
-                held.append((None if pd.isna(row[1]) else row[1], *row[2:]))
-        if held:
-            yield pieces(current, held)
-
-    tokenized = rows.mapInPandas(tokenize, "shard long, doc long, ids binary, terms binary, times binary, words long")
-    by_shard = tokenized.repartition(int((first + spread).max()), "shard").sortWithinPartitions("shard", "doc")
+            for row in zip(frame["place"], frame["doc"], frame["ids"], frame["terms"], frame["times"], frame["words"], frame["chars"]):
+                if row[0] != place or filled + size + row[6] > most:
+                    # A group that doesn't fit begins a shard; one larger than a shard is cut in the order of its content.
+                    if row[0] == place and held:
+                        yield pieces(shard, held)
+                        shard, held, filled = shard + 1, [], 0
+                    if row[0] != place or size + row[6] > most:
+                        held, group, filled, size = held + group, [], filled + size, 0
+                    if held and filled + row[6] > most:
+                        yield pieces(shard, held)
+                        shard, held, filled = shard + 1, [], 0
+                    place = row[0]
+                group.append((None if pd.isna(row[1]) else row[1], *row[2:6]))
+                size += row[6]
+        if held or group:
+            yield pieces(shard, held + group)
+
+    tokenized = rows.mapInPandas(tokenize, "node long, doc long, ids binary, terms binary, times binary, words long, chars long")
+    if shards > 1:
+        places = groups()
+        tokenized = tokenized.join(F.broadcast(places) if fits_broadcast(places) else places, "node", "left")
+    else:
+        tokenized = tokenized.withColumn("place", F.lit(0).cast("long")).withColumn("within", F.lit(0).cast("long"))
+    placed = tokenized.withColumn("place", F.coalesce("place", "node")).withColumn("within", F.coalesce("within", "node"))
+    by_shard = placed.repartitionByRange(shards, "place", "within").sortWithinPartitions("place", "node", "doc")
     packed = by_shard.mapInPandas(pack_all, "doc long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids binary")
     return packed.withColumnRenamed("doc", key)

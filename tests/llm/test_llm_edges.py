@@ -164,6 +164,31 @@ def test_neighbours_fill_a_window():
     assert windows[0] == [(0, 0, 6), (2, 0, 4)]
 
 
+@pytest.mark.parametrize("n", [400, 1600])
+def test_best_neighbours_share_a_shard(spark, n):
+    """Against brute force, with about as many shards as a hundredth of the documents; copies are always together."""
+    random = np.random.default_rng(5)
+    common = [f"usual{k}" for k in range(60)]
+    texts = [" ".join([f"topic{k // 4}x{w}" for w in random.choice(40, 16, False)] + list(random.choice(common, 40))) for k in range(n)]
+    texts += texts[:20]
+    sets = [np.unique(packing.term_hashes(t), return_counts=True) for t in texts]
+    df = np.bincount(np.concatenate([s[0] for s in sets]), minlength=1 << packing.TERM_BITS)
+    idf = np.where((df > 1) & (df <= packing.COMMON * len(texts)), np.log(1 + (len(texts) - df + 0.5) / (df + 0.5)), 0)
+    index = packing.Postings([s[0] for s in sets], [s[1] for s in sets], idf)
+    best = []
+    for k, (terms, _) in enumerate(sets):
+        score = index.scores(terms)
+        score[k] = 0
+        best.append(int(score.argmax()))
+    rows = packing.pack(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), window=64, shard_chars=sum(map(len, texts)) * 100 // len(texts)).collect()
+    shards = {}
+    for r in rows:
+        shards.setdefault(r["doc_id"], set()).add(r["sequence_id"] >> 24)
+    assert len(set.union(*shards.values())) >= n // 200
+    assert np.mean([shards[k] == shards[b] for k, b in enumerate(best)]) >= 0.85
+    assert all(shards[k] == shards[n + k] for k in range(20))
+
+
 @pytest.mark.parametrize("text", ["", " ", "  a  b ", "a \n\n b\t c", "x\u00a0y  z", "don't  stop'll", "<|endoftext|> a", "Äé ß 12345 !!! \u3000 end ", "a " * 50 + "\x1c b", "\U0001F600 ok"])
 def test_tokens_are_those_of_the_library(text):
     import public_tokenizers
