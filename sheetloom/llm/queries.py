@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontamination, html_text, imatch, langid, minhash, packing, toxicity, url_reputation, warc
+from . import chat, decontamination, html_text, imatch, langid, minhash, packing, pieces, toxicity, url_reputation, warc
 from ..staging import new_path
 from .common import table
 from .oracles import ORACLES
@@ -87,3 +87,15 @@ def op7_warc(spark, sf_dir):
     folder = new_path(spark, "warc")
     warc.write_archive(table(spark, sf_dir, "pages"), folder)
     return warc.read_archive(spark, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query
+def op13_pieces(spark, sf_dir):
+    encoded = pieces.encode(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    decoded = encoded.withColumn("decoded", pieces.decode(F.col("ids")))
+    return decoded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
