@@ -2,6 +2,14 @@
 
 ORACLES: dict[str, str] = {}
 
+
+def crc32_sql(number: str) -> str:
+    """The CRC-32 of a whole number's decimal text, bit by bit."""
+    step = "xor(c >> 1, case when c & 1 = 1 then 3988292384 else 0 end)"
+    byte = f"list_reduce(list_prepend(xor(c, b), [0::bigint, 0, 0, 0, 0, 0, 0, 0]), lambda c, z: {step})"
+    codes = f"list_transform(string_split(cast({number} as varchar), ''), lambda d: cast(ascii(d) as bigint))"
+    return f"xor(list_reduce(list_prepend(4294967295::bigint, {codes}), lambda c, b: {byte}), 4294967295)"
+
 ORACLES["op5_chat"] = r"""
 with said as (
   select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
@@ -91,3 +99,61 @@ select page_id, host, path, rule,
             when r.site in (select site from blocked) then 'block' else 'allow' end as verdict
 from ruled r
 """
+
+_FIELD = "coalesce(strlen({0}) || ':' || {0}, '-')"
+
+
+def _leaf(n_chars: str) -> str:
+    fields = ("cast(doc_id as varchar)", "source", "lang", f"cast({n_chars} as varchar)", "text")
+    return "sha256(" + " || ".join(_FIELD.format(f) for f in fields) + ")"
+
+
+ORACLES["op12_merkle"] = f"""
+with recursive leaves as (
+  select doc_id, lang, {_leaf('n_chars')} as leaf,
+         case when {crc32_sql('doc_id')} % 7 = 0 then {_leaf('n_chars + 1')} else {_leaf('n_chars')} end as used,
+         row_number() over (partition by lang order by doc_id nulls first, {_leaf('n_chars')}) - 1 as place
+  from documents
+),
+nodes as (
+  select lang, 0 as level, place, leaf as hash, count(*) over (partition by lang) as n from leaves
+  union all
+  select lang, level + 1, place // 2, sha256(string_agg(hash, '' order by place)), (any_value(n) + 1) // 2
+  from nodes where n > 1 group by lang, level, place // 2
+),
+subroots as (
+  select lang, hash, row_number() over (order by lang nulls first) - 1 as place, count(*) over () as n from nodes where n = 1
+),
+upper_nodes as (
+  select 0 as level, place, hash, n from subroots
+  union all
+  select level + 1, place // 2, sha256(string_agg(hash, '' order by place)), (any_value(n) + 1) // 2
+  from upper_nodes where n > 1 group by level, place // 2
+),
+inner_fold as (
+  select l.doc_id, l.lang, l.leaf, l.place as leaf_place, 0 as level, l.place, l.used as hash, '' as proof from leaves l
+  union all
+  select f.doc_id, f.lang, f.leaf, f.leaf_place, f.level + 1, f.place // 2,
+         sha256(case when f.place % 2 = 1 then s.hash || f.hash else f.hash || coalesce(s.hash, '') end), f.proof || coalesce(s.hash, '')
+  from inner_fold f
+  join (select lang, level, max(n) as n from nodes group by all) w on w.lang is not distinct from f.lang and w.level = f.level and w.n > 1
+  left join nodes s on s.lang is not distinct from f.lang and s.level = f.level and s.place = xor(f.place, 1)
+),
+top as (
+  select f.*, r.hash as subroot, r.place as seat from subroots r
+  join (select lang, max(level) as level from nodes group by lang) h on h.lang is not distinct from r.lang
+  join inner_fold f on f.lang is not distinct from r.lang and f.level = h.level
+),
+outer_fold as (
+  select doc_id, leaf, leaf_place, lang, subroot, 0 as level, seat, hash, proof from top
+  union all
+  select f.doc_id, f.leaf, f.leaf_place, f.lang, f.subroot, f.level + 1, f.seat // 2,
+         sha256(case when f.seat % 2 = 1 then s.hash || f.hash else f.hash || coalesce(s.hash, '') end), f.proof || coalesce(s.hash, '')
+  from outer_fold f
+  join (select level, max(n) as n from upper_nodes group by all) w on w.level = f.level and w.n > 1
+  left join upper_nodes s on s.level = f.level and s.place = xor(f.seat, 1)
+)
+select doc_id, leaf, subroot, (select hash from upper_nodes where n = 1) as root, sha256(proof) as proof_sha256,
+       hash as folded_root, hash = (select hash from upper_nodes where n = 1) as verified
+from outer_fold where level = (select max(level) from upper_nodes)
+"""

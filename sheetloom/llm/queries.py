@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontamination, html_text, imatch, langid, minhash, packing, pieces, toxicity, url_reputation, warc
+from . import chat, decontamination, html_text, imatch, langid, merkle, minhash, packing, pieces, toxicity, url_reputation, warc
 from ..staging import new_path
 from .common import table
 from .oracles import ORACLES
@@ -89,6 +89,15 @@ def op7_warc(spark, sf_dir):
     return warc.read_archive(spark, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+@query
+def op12_merkle(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    rows = merkle.manifest(docs, where=tampered, changes={"n_chars": F.try_add(F.col("n_chars"), F.lit(1))})
+    proof = F.sha2(F.array_join("proof", ""), 256).alias("proof_sha256")
+    return rows.select("doc_id", "leaf", "subroot", "root", proof, "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
 @query
 def op13_pieces(spark, sf_dir):
     encoded = pieces.encode(table(spark, sf_dir, "documents").select("doc_id", "text"))
