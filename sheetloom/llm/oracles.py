@@ -157,3 +157,44 @@ select doc_id, leaf, subroot, (select hash from upper_nodes where n = 1) as root
        hash as folded_root, hash = (select hash from upper_nodes where n = 1) as verified
 from outer_fold where level = (select max(level) from upper_nodes)
 """
+
+ORACLES["op11_prefix_trie"] = f"""
+with turns as (
+  select conv_id, coalesce(role, '') as role, coalesce(text, '') as text,
+         row_number() over (partition by conv_id order by turn nulls first, coalesce(role, ''), coalesce(text, '')) - 1 as place
+  from conversations where conv_id is not null
+),
+convs as (
+  select conv_id, count(*) as n, conv_id - conv_id % 20 as donor, {crc32_sql('conv_id')} % 4 as h from turns group by conv_id
+),
+rebuilt as (
+  select c.conv_id, t.place, t.role, t.text from convs c join turns t on t.conv_id = c.donor and t.place < c.h
+  union all
+  select c.conv_id, least(c.h, coalesce(d.n, 0)) + t.place - c.h, t.role, t.text
+  from convs c left join convs d on d.conv_id = c.donor join turns t on t.conv_id = c.conv_id and t.place >= c.h
+),
+lists as (
+  select c.conv_id, coalesce(list(sha256(r.role || chr(0) || r.text) order by r.place) filter (r.place is not null), []) as said,
+         coalesce(list(len(regexp_extract_all(r.text, '[^\\x20\\x09-\\x0D]+')) order by r.place) filter (r.place is not null), []) as words
+  from convs c left join rebuilt r using (conv_id) group by c.conv_id
+),
+steps as (
+  select conv_id, depth, sha256(array_to_string(said[1:depth], ',')) as key, sha256(array_to_string(said[1:depth - 1], ',')) as above,
+         case when depth = 0 then 0 else words[depth] end as words, depth = len(said) as is_end
+  from lists, unnest(range(0, len(said) + 1)) as u(depth)
+),
+nodes as (
+  select key, depth, any_value(above) as above, min(conv_id) as conv_id, count(*) as n_convs, any_value(words) as words,
+         sha256(coalesce(string_agg(cast(conv_id as varchar), ',' order by conv_id) filter (is_end), '')) as ends_sha256
+  from steps group by key, depth
+),
+children as (select above as key, depth - 1 as depth, count(*) as n_children from nodes where depth > 0 group by all),
+known as (select n.*, coalesce(c.n_children, 0) as n_children from nodes n left join children c using (key, depth)),
+sums as (
+  select s.key, s.depth, sum(case when u.n_children = 0 then 1 else 0 end) as n_leaves, sum((u.n_convs - 1) * u.words) as saved_tokens
+  from known u join steps s on s.conv_id = u.conv_id and s.depth <= u.depth group by all
+)
+select k.conv_id, k.depth, p.conv_id as parent_conv_id, k.n_convs, k.n_children, cast(s.n_leaves as bigint) as n_leaves,
+       cast(s.saved_tokens as bigint) as saved_tokens, k.ends_sha256
+from known k join sums s using (key, depth) left join nodes p on p.key = k.above and p.depth = k.depth - 1
+"""

@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontamination, html_text, imatch, langid, merkle, minhash, packing, pieces, toxicity, url_reputation, warc
+from . import chat, decontamination, html_text, imatch, langid, merkle, minhash, packing, pieces, prefix_trie, toxicity, url_reputation, warc
 from ..staging import new_path
 from .common import table
 from .oracles import ORACLES
@@ -89,6 +89,11 @@ def op7_warc(spark, sf_dir):
     return warc.read_archive(spark, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+@query
+def op11_prefix_trie(spark, sf_dir):
+    return prefix_trie.rebuilt_trie(table(spark, sf_dir, "conversations"))
+
+
 @query
 def op12_merkle(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
