@@ -12,6 +12,7 @@ conversation's id belong to none. A text counts its words, runs of anything but
 
 import hashlib
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -92,10 +93,13 @@ def digest_of_ids(members: DataFrame) -> DataFrame:
     """
     def chunks(frames):
         for frame in frames:
-            for (conv_id, depth), ids in frame.groupby(["conv_id", "depth"], sort=False)["conv"]:
-                for start in range(0, len(ids), IDS_A_CHUNK):
-                    some = ids.iloc[start:start + IDS_A_CHUNK]
-                    yield pd.DataFrame({"conv_id": [conv_id], "depth": [depth], "first": [some.iloc[0]], "ids": [",".join(map(str, some))]})
+            conv_id, depth, ids = frame["conv_id"].to_numpy(), frame["depth"].to_numpy(), frame["conv"].to_numpy()
+            same = (conv_id[1:] == conv_id[:-1]) & (depth[1:] == depth[:-1])
+            starts = np.append(0, np.flatnonzero(~same) + 1) if len(ids) else np.empty(0, np.int64)
+            cuts = [c for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(ids)]) for c in range(a, b, IDS_A_CHUNK)]
+            spelled = list(map(str, ids.tolist()))
+            joined = [",".join(spelled[a:b]) for a, b in zip(cuts, [*cuts[1:], len(ids)])]
+            yield pd.DataFrame({"conv_id": conv_id[cuts], "depth": depth[cuts], "first": ids[cuts], "ids": joined})
 
     def hashes(frames):
         node, running = None, None
