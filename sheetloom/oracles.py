@@ -391,6 +391,9 @@ ORACLES: dict[str, str] = {
     "anti_new_rows": f"""{MERGE} select {PLAN_COLUMNS} from later where "PDIL" not in (select "PDIL" from t)""",
     "semi_delete": f"""{REPLACE} select "IndexKey", {FORECAST_COLUMNS} from t where "PDIL" in (select "PDIL" from s)""",
     "merge_match": f"""{MERGE} select t."PDIL", t."PrimaryKey", t."Planning_Value", s."Planning_Value" as "new_Planning_Value", s."Item" as "new_Item" from t join s using ("PDIL")""",
+    "merge_classes": f"""{MERGE} select "PDIL", case when t."PrimaryKey" is null then 'new' when s."PDIL" is null then 'untouched'
+        when s."Planning_Value" <> t."Planning_Value" or (s."Planning_Value" is not null and t."Planning_Value" is null) then 'changed' else 'same' end as merge_class,
+        t."PrimaryKey", t."Planning_Value" as old_value, s."Planning_Value" as new_value from t full join s using ("PDIL")""",
     "max_key": f"""with {PLAN_LINE}, {EARLIER} select count(distinct "PDIL") as max_key from earlier""",
     "row_counts": f"""with {PLAN_LINE} select 'union' as stage, count(*) as n_rows from keyed union all select 'unique', count(distinct "PDIL") from keyed""",
     "dedup_by_key": f"{UNIQUE} select * from u",

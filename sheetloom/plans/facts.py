@@ -5,12 +5,10 @@ import warnings
 from pyspark.sql import DataFrame
 
 from ..functions import forecast_key, plan_key
+from ..operators.merge import merge_delta
 from ..operators.numbering import number_with_copies
-from ..operators.upsert import (
-    dedup_by_key, initial_load, insert_new, largest_first, replace_by_key, upsert_changed,
-)
+from ..operators.upsert import dedup_by_key, initial_load, largest_first, replace_by_key
 from ..sources.tables import forecast_columns, plan_columns, union_sources
-from ..staging import stage
 
 # Names and order of the facts' columns.
 KEY = "PDIL"
@@ -35,16 +33,16 @@ def build_fact_planning(sources: dict[str, DataFrame], target: DataFrame | None
     """The state of the planning fact after taking in ``sources``.
 
     Without a target all keys are numbered. With one, changed values are taken
-    over and rows with new keys follow its highest number.
+    over and rows with new keys follow its highest number; both come from one join
+    with it.
     """
     if not sources:
         warnings.warn("no planning sources, the fact stays as it is", stacklevel=2)
         return target
     if target is None:
         return initial_load(unique_plans(sources), KEY, "PrimaryKey", PLAN_FACT)
-    incoming = stage(unique_plans(sources), "incoming")  # read by the upsert and by the insert
-    kept = upsert_changed(target, incoming, KEY, "Planning_Value", ["Item"])
-    return kept.select(*PLAN_FACT).union(insert_new(target.select(*PLAN_FACT), incoming, KEY, "PrimaryKey"))
+    delta = merge_delta(target, unique_plans(sources), KEY, "Planning_Value", ("Item",), "PrimaryKey")
+    return delta.apply(target.select(*PLAN_FACT), "PrimaryKey")
 
 
 def keyed_forecasts(sources: dict[str, DataFrame]) -> DataFrame:

@@ -17,6 +17,7 @@ from .operators.forecast_melt import (
     find_layout, forecast_cells, header_pairs, melt_forecast, preview_rows, rows_from,
 )
 from .operators.labels import column_map, data_rows, find_label_row, rows_at, strip
+from .operators.merge import CLASS, classify
 from .operators.numbering import max_key, number_rows, row_index
 from .operators.plan_melt import attach_site, labelled_cells, melt_plan, melt_plan_filled, melt_plan_lower
 from .operators.upsert import (
@@ -496,6 +497,13 @@ def merge_match(spark, sf_dir):
     return match_by_key(target, unique_plans(fx.later_plans(spark, sf_dir)), KEY, ["Planning_Value", "Item"])
 
 
+@query
+def merge_classes(spark, sf_dir):
+    """The fate of every key in one full outer join, with both values."""
+    found = classify(earlier_plan_fact(spark, sf_dir), unique_plans(fx.later_plans(spark, sf_dir)), KEY, "Planning_Value", ("PrimaryKey",))
+    return found.select(KEY, CLASS, F.col("_old_PrimaryKey").alias("PrimaryKey"), F.col("_old_Planning_Value").alias("old_value"), F.col("Planning_Value").alias("new_value"))
+
+
 @query
 def max_key_query(spark, sf_dir):
     return max_key(earlier_plan_fact(spark, sf_dir), "PrimaryKey")
