@@ -403,9 +403,11 @@ ORACLES: dict[str, str] = {
     "upsert_changed": f"{MERGE}, {STATE} select {PLAN_FACT} from state",
     "insert_new": f"{MERGE}, {STATE} select {PLAN_FACT} from fresh",
     "fact_planning": f"{MERGE}, {STATE} select {PLAN_FACT} from state union all select {PLAN_FACT} from fresh",
+    "fact_planning_by_file": f"{MERGE}, {STATE} select {PLAN_FACT} from state union all select {PLAN_FACT} from fresh",
     "initial_load": f"""{UNIQUE} select row_number() over (order by "PDIL") as "PrimaryKey", * from u""",
     "replace_by_key": REPLACED,
     "fact_forecast": REPLACED,
+    "fact_forecast_by_file": REPLACED,
     # ingestion
     "files_to_ingest": f"with {LISTED} select * from decided",
     "last_ingested": f"with {LISTED} select resource, last_ingested from latest",
@@ -430,4 +432,5 @@ ORACLES: dict[str, str] = {
     "merge_conflicts": f"""with {PLAN_LINE} select "PDIL", count(*) as n from keyed group by 1 having count(*) > 1""",
     "refresh_all": refresh_summary(),
     "refresh_again": refresh_summary(again=True),
+    "refresh_store": refresh_summary(again=True),
 }
