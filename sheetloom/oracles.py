@@ -334,6 +334,8 @@ ORACLES: dict[str, str] = {
         union all select 'DofW', case when col_idx % 50 = 0 then 'Unknown' else replace(period, '-', '_') end, monday, null, 'San Antonio', 'Texas' from fx_week""",
     "label_cross_join": f"""{PLAN} select p_partkey::varchar as item, col_idx::int as col_idx, {CELL_TEXT} as cell, period, monday as date from fx_plan_cell""",
     "transpose_wide": transposed(),
+    "transpose_tiles": f"""{FORECAST} select {SKU} as "Sku", '_c' || p_size as "Column", period as "Period",
+        (case kind when 5 then n when 2 then -n when 4 then n + n % 2 else 0 end)::bigint as cell from fx_forecast_cell""",
     "pivot_first": f"""with {LINE}, f as (select l_orderkey, l_linenumber, l_quantity, row_number() over (partition by l_orderkey, l_linenumber
         order by l_partkey, l_suppkey, ship_date, l_quantity) as rn from fx_line)
         select l_orderkey, {", ".join(f"max(case when l_linenumber = {i} then l_quantity end) as line_{i}" for i in range(1, 8))} from f where rn = 1 group by 1""",

@@ -282,6 +282,14 @@ def transpose_wide(spark, sf_dir):
     return reshape.transpose_wide(named, corner="Sku")
 
 
+@query
+def transpose_tiles(spark, sf_dir):
+    """The flipped forecast grid, cell by cell out of its tiles."""
+    tiles = reshape.transpose_tiles(_named_periods(spark, sf_dir), corner="Sku", was="Column")
+    cells = tiles.filter(F.col("Sku").isNotNull()).select("Sku", "Column", F.explode(F.arrays_zip("names", "cells")).alias("x"))
+    return cells.select("Sku", "Column", F.col("x.names").alias("Period"), F.col("x.cells").alias("cell")).filter(F.col("Period").startswith("F"))
+
+
 @query
 def pivot_first(spark, sf_dir):
     """Per order and line number the value of its first part."""
@@ -665,9 +673,8 @@ def _named_periods(spark, sf_dir):
 
 def _flipped_cells(spark, sf_dir):
     """Period cells of the flipped forecast grid in long form: ``Sku, Period, value``."""
-    long, rows = reshape.transpose_long(_named_periods(spark, sf_dir), corner="Sku", was="Column")
-    names = spark.createDataFrame([r for r in rows if r[1].startswith("F")], f"{ROW} bigint, Period string")
-    return long.filter(F.col("Sku").isNotNull()).join(F.broadcast(names), ROW).select("Sku", "Period", F.col("cell").alias("value"))
+    long = reshape.transpose_long(_named_periods(spark, sf_dir), corner="Sku", was="Column", label="Period")
+    return long.filter(F.col("Sku").isNotNull() & F.col("Period").startswith("F")).select("Sku", "Period", F.col("cell").alias("value"))
 
 
 @query

@@ -2,6 +2,7 @@ import time
 from datetime import date
 
 import pytest
+from pyspark.sql import functions as F
 
 from sheetloom.operators import columns, reshape
 from sheetloom.operators.calendar import monday_calendar
@@ -142,6 +143,33 @@ def test_transpose_keeps_rows_of_one_name(sheet, rows):
     assert rows(reshape.transpose_wide(grid.filter("row_idx = 1"))) == [("1", "_c1"), ("2", "_c2")]
 
 
+def test_row_names_pass_over_names_that_rows_have(sheet, rows):
+    labels = ["SKU", "F", "f", "F_1", "F", "F_3", "F_1", "g_1", "g_2", "SKU_1", "F_1_1", "Period"]
+    grid = sheet([[label, str(i)] for i, label in enumerate(labels)])
+    long = reshape.transpose_long(grid)
+    names = [r["name"] for r in long.orderBy("row_idx").collect()]
+    assert names == ["F", "f_2", "F_1", "F_4", "F_3", "F_1_2", "g_1", "g_2", "SKU_1", "F_1_1", "Period_1"]
+    assert len({n.lower() for n in names}) == len(names)
+    assert reshape.transpose_wide(grid).columns == ["SKU", "Period", *names]
+
+
+def test_transpose_in_tiles(spark, sheet, rows):
+    grid = sheet([["SKU", *[str(c) for c in range(7)]], *[[f"F{i}", *[str(i * 10 + c) if (i + c) % 5 else None for c in range(7)]] for i in range(23)], [None, "9"]])
+    tiles = reshape.transpose_tiles(grid, height=4, width=3)
+    assert tiles.count() == 6 * 7 and tiles.agg(F.max(F.size("cells"))).first()[0] == 4
+    cells = tiles.select(F.explode(F.arrays_zip("names", "cells")).alias("x"), "Period", "SKU").select("x.names", "Period", "SKU", "x.cells")
+    assert rows(cells) == rows(reshape.transpose_long(grid), "name", "Period", "SKU", "cell")
+    one = reshape.transpose_tiles(grid.filter("row_idx < 4"), height=1, width=1)
+    assert one.filter("Period = '_c7'").orderBy("row_block").select("names", "cells").collect() == [(["F0"], [6]), (["F1"], [16])]
+
+
+def test_a_tall_grid_flips(spark):
+    tall = spark.range(300_000).selectExpr("id + 2 as row_idx", "if(id % 3 = 0, 'same', concat('n', id)) as _c0", "cast(id as string) as _c1")
+    top = spark.createDataFrame([(1, "SKU", "5")], "row_idx long, _c0 string, _c1 string")
+    long = reshape.transpose_long(tall.union(top))
+    assert tuple(long.agg(F.count("*"), F.countDistinct("name"), F.sum("cell")).first()) == (300_000, 300_000, 299_999 * 150_000)
+
+
 def test_white_space_of_every_kind(spark, sheet, rows):
     nb = "\u00a0"
     plan = scan_range(sheet([["Period", f"{nb}F26-01\t", "F26-02"], ["Date", f"{nb}1/5/2026\n", "46034"], ["7", "1", "2"]]), "A1:C")
