@@ -422,12 +422,17 @@ ORACLES: dict[str, str] = {
             max(case when rn = n then ingestion_date end) as first_entry from placed group by resource""",
     "file_manifest": """select 'documents' as source_system, 'doc_' || doc_id || '.txt' as file_name, doc_id::varchar as file_id,
         '2024-01-31T08:00:00Z' as last_modified_datetime, sha256(text) as checksum_sha256, n_chars as download_duration_ms, '2024-02-01T00:00:00' as generated_at_utc from documents""",
+    "file_manifest_stream": """select 'documents' as source_system, doc_id % 16 as part, sha256(string_agg(text || chr(10), '' order by doc_id)) as checksum_sha256,
+        '2024-02-01T00:00:00' as generated_at_utc from documents group by doc_id % 16""",
     "any_changed": f"with {LISTED} select bool_or(is_due) as any_changed from decided",
     "resource_name": """select o_orderkey, 'Plan ' || o_custkey as resource, 'landing/Plan ' || o_custkey || '/Plan ' || o_custkey || '.xlsx' as object_key from orders""",
     # checks
     "reconcile_cells": f"""{FORECAST}, c as (select {SKU} as "Sku", period as "Period", ({UNSIGNED})::bigint as original,
         case kind when 5 then n when 2 then -n when 4 then n + n % 2 else 0 end::bigint as reshaped from fx_forecast_cell)
         select * from c where original <> reshaped""",
+    "reconcile_digests": f"""{FORECAST}, c as (select {SKU} as "Sku", period as "Period", ({UNSIGNED})::bigint as original,
+        case kind when 5 then n when 2 then -n when 4 then n + n % 2 else 0 end::bigint as reshaped from fx_forecast_cell)
+        select * from c where original <> reshaped""",
     "reconcile_round_trip": f"""{FORECAST} select 0::bigint as n_differ, count(*) as n_cells from fx_forecast_cell""",
     "reconcile_counts": f"""{UNIQUE}, c as (select (select count(*) from rows) as rows_before, (select count(*) from u) as rows_after)
         select *, rows_before = rows_after as all_kept, case when rows_before = rows_after then 'all rows kept' else 'rows changed from ' || rows_before || ' to ' || rows_after end as message from c""",

@@ -650,6 +650,17 @@ def file_manifest(spark, sf_dir):
     return ledger.file_manifest(files, "documents")
 
 
+@query
+def file_manifest_stream(spark, sf_dir):
+    """Documents written to 16 files, which are read back in chunks: rows and checksum of each."""
+    docs = fx.table(spark, sf_dir, "documents").select("doc_id", "text", F.pmod("doc_id", F.lit(16)).alias("part"))
+    folder = new_path(spark, "files")
+    docs.repartitionByRange(16, "part").sortWithinPartitions("part", "doc_id").select("part", "text").write.partitionBy("part").text(folder)
+    found = ledger.stream_manifest(ledger.list_files(spark, folder), "documents", "2024-02-01T00:00:00")
+    part = F.regexp_extract("file_id", "part=([0-9]+)/", 1).cast("bigint")
+    return found.select("source_system", part.alias("part"), "checksum_sha256", "generated_at_utc")
+
+
 @query
 def any_changed(spark, sf_dir):
     return ledger.any_changed(files_to_ingest(spark, sf_dir))
@@ -677,16 +688,27 @@ def _flipped_cells(spark, sf_dir):
     return long.filter(F.col("Sku").isNotNull() & F.col("Period").startswith("F")).select("Sku", "Period", F.col("cell").alias("value"))
 
 
-@query
-def reconcile_cells(spark, sf_dir):
-    """Cells of the forecast grid against their signed and unsigned readings: where a sign was lost."""
+def _signed_and_flipped(spark, sf_dir):
     grid = forecast_grid(spark, sf_dir)
     layout = find_layout(grid)
     from_start = rows_from(grid, layout.start).filter(fn.is_kept_period(F.trim("_c0")))
     above = header_pairs(grid, layout).select("col_idx", fn.clean_code(F.col("sku")).alias("Sku"))
     cells = reshape.cells_of(from_start, "Period").join(F.broadcast(above), "col_idx")
     original = cells.select("Sku", F.trim("Period").alias("Period"), fn.unsigned_quantity(F.col("cell")).cast("bigint").alias("value"))
-    return quality.reconcile_cells(original, _flipped_cells(spark, sf_dir), ["Sku", "Period"])
+    return original, _flipped_cells(spark, sf_dir)
+
+
+@query
+def reconcile_cells(spark, sf_dir):
+    """Cells of the forecast grid against their signed and unsigned readings: where a sign was lost."""
+    return quality.reconcile_cells(*_signed_and_flipped(spark, sf_dir), ["Sku", "Period"])
+
+
+@query
+def reconcile_digests(spark, sf_dir):
+    """As ``reconcile_cells``, with digests of row blocks and rows before any cell is joined."""
+    original, flipped = _signed_and_flipped(spark, sf_dir)
+    return quality.reconcile_by_digest(original, flipped, ["Sku", "Period"])
 
 
 @query
@@ -696,7 +718,7 @@ def reconcile_round_trip(spark, sf_dir):
     periods = [c for c in flipped.columns if c.startswith("F")]
     back = reshape.melt_labels(flipped, ["Sku"], periods, "Period", "value")
     before = _flipped_cells(spark, sf_dir)
-    differ = quality.reconcile_cells(before, back, ["Sku", "Period"]).agg(F.count("*").alias("n_differ"))
+    differ = quality.reconcile_by_digest(before, back, ["Sku", "Period"]).agg(F.count("*").alias("n_differ"))
     return before.agg(F.count("*").alias("n_cells")).select(differ.scalar().alias("n_differ"), "n_cells")
 
 
