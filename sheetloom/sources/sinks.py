@@ -5,6 +5,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..staging import stage
+
 
 def _creator(df: DataFrame, table: str, fmt: str, properties: dict, partition_by: list[str], location: str | None):
     writer = df.writeTo(table).using(fmt)
@@ -18,11 +20,16 @@ def _creator(df: DataFrame, table: str, fmt: str, properties: dict, partition_by
 
 
 def _same_columns(df: DataFrame, table: str) -> list[str]:
-    """The table's columns; a frame with others, or without some of them, would lose data and raises."""
-    columns = df.sparkSession.table(table).columns
+    """The table's columns; a frame with others, without some of them or with another type would lose data and raises."""
+    there = df.sparkSession.table(table)
+    columns = there.columns
     unknown, missing = set(df.columns) - set(columns), set(columns) - set(df.columns)
     if unknown or missing or len(df.columns) != len(columns):
         raise ValueError(f"{table}: unknown columns {sorted(unknown)}, missing columns {sorted(missing)}")
+    types = dict(there.dtypes)
+    other = [f"{c} {t}, not {types[c]}" for c, t in df.dtypes if t != types[c]]
+    if other:
+        raise ValueError(f"{table}: {'; '.join(other)}")
     return columns
 
 
@@ -38,14 +45,18 @@ def create_or_overwrite(
     """Create the table, or replace all its rows and keep its schema.
 
     ``partitions`` evens out the files written; ``partition_by`` splits the
-    table into folders that later scans can skip.
+    table into folders that later scans can skip. The new rows of a table that exists are all
+    computed and written aside before its old ones go, so they may come from the table itself.
     """
+    exists = df.sparkSession.catalog.tableExists(table)
+    if exists:
+        df = stage(df.select(*_same_columns(df, table)), "overwrite")
     if partitions is not None:
         df = df.repartition(partitions)
-    if not df.sparkSession.catalog.tableExists(table):
+    if not exists:
         _creator(df, table, fmt, properties or {}, partition_by or [], location).create()
         return
-    df.select(*_same_columns(df, table)).write.mode("overwrite").insertInto(table, overwrite=True)
+    df.write.mode("overwrite").insertInto(table, overwrite=True)
 
 
 def create_or_replace(
@@ -63,23 +74,41 @@ def create_or_replace(
     later read the table without shuffling it.
 
     Table formats with atomic replace do it in one commit through
-    ``writeTo().createOrReplace()``; plain file formats go through
-    ``saveAsTable``.
+    ``writeTo().createOrReplace()``. Of plain file formats a new table is written beside the old one, below
+    ``location`` if there is one, and takes its name when it is complete: a failed write leaves the old table, and
+    the rows may come from it.
     """
     if fmt not in ("parquet", "orc", "csv", "json"):
         _creator(df, table, fmt, properties or {}, partition_by or [], location).createOrReplace()
         return
     if bucket_by:
         df = df.repartition(*bucket_by)
-    writer = df.write.mode("overwrite").format(fmt).options(**(properties or {}))
+    version = uuid.uuid4().hex
+    fresh = f"{table}_{version}"
+    writer = df.write.format(fmt).options(**(properties or {}))
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if bucket_by:
         buckets, key = bucket_by
         writer = writer.bucketBy(buckets, key).sortBy(key)
     if location is not None:
-        writer = writer.option("path", location)
-    writer.saveAsTable(table)
+        writer = writer.option("path", f"{location.rstrip('/')}/version-{version}")
+    writer.saveAsTable(fresh)
+    _take_name(df.sparkSession, table, fresh)
+
+
+def _take_name(spark: SparkSession, table: str, fresh: str) -> None:
+    """Give the complete table ``fresh`` the name ``table``; for a moment there may be no table of that name."""
+    if not spark.catalog.tableExists(table):
+        spark.sql(f"ALTER TABLE {fresh} RENAME TO {table}")
+        return
+    spark.sql(f"ALTER TABLE {table} RENAME TO {fresh}_old")
+    try:
+        spark.sql(f"ALTER TABLE {fresh} RENAME TO {table}")
+    except Exception:
+        spark.sql(f"ALTER TABLE {fresh}_old RENAME TO {table}")
+        raise
+    spark.sql(f"DROP TABLE {fresh}_old")
 
 
 def append(df: DataFrame, table: str) -> None:
@@ -129,16 +158,8 @@ def publish_version(df: DataFrame, table: str, folder: str, fmt: str = "parquet"
     if exists and not partition_by and not changed:
         spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
         spark.sql(f"DROP TABLE {fresh}")  # its files stay, as it does not own them
-    elif exists:
-        spark.sql(f"ALTER TABLE {table} RENAME TO {fresh}_old")
-        try:
-            spark.sql(f"ALTER TABLE {fresh} RENAME TO {table}")
-        except Exception:
-            spark.sql(f"ALTER TABLE {fresh}_old RENAME TO {table}")
-            raise
-        spark.sql(f"DROP TABLE {fresh}_old")
     else:
-        spark.sql(f"ALTER TABLE {fresh} RENAME TO {table}")
+        _take_name(spark, table, fresh)
     spark.catalog.refreshTable(table)
 
 

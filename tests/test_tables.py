@@ -184,6 +184,25 @@ def test_sinks(spark, rows, tmp_path):
         assert list(scan_existing(spark, ["t_over", "t_none"])) == ["t_over"]
 
 
+def test_sinks_keep_the_old_table_until_the_new_one_is_complete(spark, rows, tmp_path):
+    one = spark.createDataFrame([(1, "a"), (2, "b")], "x int, site string")
+    broken = one.withColumn("x", F.when(F.col("x") == 2, F.raise_error(F.lit("broken"))).otherwise(F.col("x")).cast("int"))
+    for location in (None, str(tmp_path / "safe")):
+        name = "t_safe_located" if location else "t_safe"
+        sinks.create_or_replace(one, name, location=location)
+        for write in (sinks.create_or_replace, sinks.create_or_overwrite):
+            with pytest.raises(Exception, match="broken"):
+                write(broken, name)
+            assert rows(spark.table(name)) == [(1, "a"), (2, "b")]
+            write(spark.table(name).withColumn("x", F.col("x") + F.lit(1)), name)  # rows of the table itself
+            assert rows(spark.table(name), "x") == [(2,), (3,)]
+            write(one, name)
+        for write in (sinks.append, sinks.create_or_overwrite):
+            with pytest.raises(ValueError, match="x string, not int"):
+                write(one.withColumn("x", F.lit("7")), name)
+        spark.sql(f"DROP TABLE {name}")
+
+
 def test_merging_into_a_bucketed_table_does_not_shuffle_it(spark, rows, tmp_path):
     target = spark.createDataFrame(TARGET, "id bigint, k string, v double, item string")
     sinks.create_or_replace(target, "t_buckets", location=str(tmp_path / "buckets"), bucket_by=(8, "k"))
