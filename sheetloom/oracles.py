@@ -422,6 +422,13 @@ ORACLES: dict[str, str] = {
             max(case when rn = n then ingestion_date end) as first_entry from placed group by resource""",
     "file_manifest": """select 'documents' as source_system, 'doc_' || doc_id || '.txt' as file_name, doc_id::varchar as file_id,
         '2024-01-31T08:00:00Z' as last_modified_datetime, sha256(text) as checksum_sha256, n_chars as download_duration_ms, '2024-02-01T00:00:00' as generated_at_utc from documents""",
+    "due_by_content": """select doc_id::varchar as path, case when doc_id % 7 = 3 then 'new' when doc_id % 11 = 4 then 'removed' when doc_id % 5 = 0 then 'changed' else 'same' end as fate,
+        doc_id % 11 <> 4 and (doc_id % 7 = 3 or doc_id % 5 = 0) as is_due from documents where doc_id % 7 <> 3 or doc_id % 11 <> 4""",
+    "file_history": """with d as (select doc_id::varchar as path, n_chars as length, sha256(text) as one, sha256(text || '!') as two,
+            doc_id % 7 <> 3 as early, doc_id % 11 <> 4 as late, doc_id % 5 = 0 as edited from documents)
+        select path, length, one as checksum, '2024-01-01' as valid_from, case when not late or edited then '2024-01-02' end as valid_to from d where early
+        union all select path, length, case when edited then two else one end, '2024-01-02', case when not early or edited then '2024-01-03' end from d where late and (not early or edited)
+        union all select path, length, one, '2024-01-03', null from d where early and (not late or edited)""",
     "file_manifest_stream": """select 'documents' as source_system, doc_id % 16 as part, sha256(string_agg(text || chr(10), '' order by doc_id)) as checksum_sha256,
         '2024-02-01T00:00:00' as generated_at_utc from documents group by doc_id % 16""",
     "any_changed": f"with {LISTED} select bool_or(is_due) as any_changed from decided",

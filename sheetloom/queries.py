@@ -650,6 +650,32 @@ def file_manifest(spark, sf_dir):
     return ledger.file_manifest(files, "documents")
 
 
+def _two_listings(spark, sf_dir):
+    """Documents as files, seen twice: some come, some go, some are touched and every fifth has another content."""
+    docs = fx.table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("path"), F.col("n_chars").alias("length"), "doc_id", "text")
+    sum_of = lambda text: F.sha2(text, 256).alias("checksum")
+    edited = F.when(F.col("doc_id") % 5 == 0, F.concat("text", F.lit("!"))).otherwise(F.col("text"))
+    first = docs.filter("doc_id % 7 <> 3").select("path", "length", sum_of(F.col("text")))
+    return first, docs.filter("doc_id % 11 <> 4").select("path", "length", sum_of(edited))
+
+
+@query
+def due_by_content(spark, sf_dir):
+    first, second = _two_listings(spark, sf_dir)
+    nothing = spark.createDataFrame([], ledger.FILE_HISTORY)
+    return ledger.due_by_content(ledger.seen_files(nothing, first, "2024-01-01"), second)
+
+
+@query
+def file_history(spark, sf_dir):
+    """The files' history after a first listing, another, and the first once more."""
+    first, second = _two_listings(spark, sf_dir)
+    history = spark.createDataFrame([], ledger.FILE_HISTORY)
+    for at, listing in (("2024-01-01", first), ("2024-01-02", second), ("2024-01-03", first)):
+        history = ledger.seen_files(history, listing, at)
+    return history
+
+
 @query
 def file_manifest_stream(spark, sf_dir):
     """Documents written to 16 files, which are read back in chunks: rows and checksum of each."""
