@@ -267,6 +267,7 @@ def test_merging_after_publishing_shuffles_one_side(spark, rows, tmp_path):
 def test_sinks_refuse_to_lose_columns(spark, tmp_path):
     one = spark.createDataFrame([(1, "a")], "x int, site string")
     sinks.create_or_overwrite(one, "t_strict", location=str(tmp_path / "strict"))
+    assert list((tmp_path / "strict").glob("part-*"))
     for wrong in (one.withColumn("extra", F.lit(1)), one.select("x")):
         for write in (sinks.append, sinks.create_or_overwrite):
             with pytest.raises(ValueError):
