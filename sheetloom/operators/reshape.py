@@ -60,6 +60,15 @@ def _flippable(grid: DataFrame, corner: str) -> tuple[DataFrame, int, str, list[
     return named, code_at, first, cells
 
 
+def _flipped(named: DataFrame, code_at: int, cells: list[str], corner: str, was: str) -> DataFrame:
+    """``row_idx, was, corner, cell`` for every cell but the codes'."""
+    former = F.element_at(F.array(*[F.lit(c) for c in cells]), F.col("col_idx")).alias(was)
+    codes = melt_cells(named.filter(F.col(ROW) == code_at), [], cells).select(former, trim_code(F.col("cell")).alias(corner))
+    long = melt_cells(named.filter(F.col(ROW) != code_at), [F.col(ROW)], cells)
+    # As many codes as the grid has columns.
+    return long.select(ROW, former, rounded_half_even(F.col("cell")).alias("cell")).join(F.broadcast(codes), was)
+
+
 def transpose_long(grid: DataFrame, corner: str = "SKU", was: str = "Period", label: str = "name") -> DataFrame:
     """A grid whose first column names its rows, cell by cell: ``row_idx``, the row's name under ``label``, the name of its former column under
     ``was``, that column's code under ``corner``, and ``cell`` as a whole number.
@@ -69,12 +78,8 @@ def transpose_long(grid: DataFrame, corner: str = "SKU", was: str = "Period", la
     """
     named, code_at, first, cells = _flippable(grid, corner)
     names = row_names(named.filter(F.col(ROW) != code_at), first, (corner, was))
-    long = melt_cells(named.filter(F.col(ROW) != code_at), [F.col(ROW)], cells)
-    former = F.element_at(F.array(*[F.lit(c) for c in cells]), F.col("col_idx")).alias(was)
-    codes = melt_cells(named.filter(F.col(ROW) == code_at), [], cells).select(former, trim_code(F.col("cell")).alias(corner))
-    values = long.select(ROW, former, rounded_half_even(F.col("cell")).alias("cell"))
-    # As many codes as the grid has columns.
-    return values.join(F.broadcast(codes), was).join(names.withColumnRenamed("_name", label), ROW).select(ROW, label, was, corner, "cell")
+    long = _flipped(named, code_at, cells, corner, was)
+    return long.join(names.withColumnRenamed("_name", label), ROW).select(ROW, label, was, corner, "cell")
 
 
 def transpose_wide(grid: DataFrame, corner: str = "SKU", was: str = "Period") -> DataFrame:
@@ -90,7 +95,7 @@ def transpose_wide(grid: DataFrame, corner: str = "SKU", was: str = "Period") ->
         codes = melt_cells(named.filter(F.col(ROW) == code_at), [], cells)
         name = F.element_at(F.array(*[F.lit(c) for c in cells]), F.col("col_idx"))
         return codes.select(trim_code(F.col("cell")).alias(corner), name.alias(was))
-    long = transpose_long(grid, corner, was, "_name")
+    long = _flipped(named, code_at, cells, corner, was)
     wide = long.groupBy(corner, was).pivot(ROW, [at for at, _ in rows]).agg(F.first("cell", ignorenulls=True))
     return wide.toDF(corner, was, *[name for _, name in rows])
 
