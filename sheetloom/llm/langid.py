@@ -1,6 +1,6 @@
 """Language ID: multinomial logistic regression on TF-IDF character n-grams.
 
-Texts are lower-cased and everything but letters becomes one space; n-grams of one to
+Texts are lower-cased and everything but letters (digits and other number characters such as fractions too) becomes one space; n-grams of one to
 three characters, spaces included, are hashed into a fixed number of buckets. Weights are
 learned with follow-the-regularised-leader (per-coordinate rates, L1 and L2 penalties)
 and stay sparse; a temperature fitted on rows kept from the learner calibrates the
@@ -14,6 +14,7 @@ their names, do no harm. Without labelled rows every text is ``und``.
 """
 
 import re
+import sys
 from dataclasses import dataclass
 
 import numpy as np
@@ -26,7 +27,8 @@ from .common import bounded_sample, count_buckets, crc_mod
 BITS = 15
 UNKNOWN = "und"
 REJECT_BELOW = 0.4  # in the filter, a language less likely than this counts as unknown
-_NOT_LETTERS = re.compile(r"[\W\d_]+")
+_NUMBERS = "".join(c for c in map(chr, range(128, sys.maxunicode + 1)) if c.isnumeric() and not c.isalpha() and not c.isdecimal())
+_NOT_LETTERS = re.compile(rf"[\W\d_{_NUMBERS}]+")
 _MULTIPLIERS = np.array([2654435761, 2246822519, 3266489917], np.uint32)
 
 
