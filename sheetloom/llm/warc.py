@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 MIN_PAYLOAD = 0
 SHARD_BYTES = 16 << 20  # payload bytes of a shard; for 100 TB a gigabyte is a good size
 ROLL_BYTES = 8 << 20
+READ_BYTES = 32 << 20  # compressed bytes that a reading task takes, or one file
 DATE = "2026-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 MANIFEST = "file string, shard long, number int, records long, bytes long, sha256 string"
@@ -180,7 +181,7 @@ def _members(stream):
         yield headers, stream.read(int(headers["content-length"]))
 
 
-def read_archive(spark: SparkSession, folder: str) -> DataFrame:
+def read_archive(spark: SparkSession, folder: str, task_bytes: int = READ_BYTES) -> DataFrame:
     """``(page_id, url, payload_bytes, payload_digest, record_type, refers_to, payload)`` of every page record; files and records that don't match their digests raise."""
     schema = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, payload string"
 
@@ -211,4 +212,7 @@ def read_archive(spark: SparkSession, folder: str) -> DataFrame:
                 yield pd.DataFrame(out, columns=["page_id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to", "payload"]).astype({"page_id": "Int64", "refers_to": "Int64"})
 
     manifest = spark.read.schema(MANIFEST).parquet(f"{folder}/manifest")
-    return manifest.select("file", "bytes", "sha256").repartition("file").mapInPandas(read, schema)
+    # A count, as adaptive execution would put the few bytes of names into one task, however much they stand for.
+    total = manifest.agg(F.count("*").alias("files"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes")).first()
+    tasks = max(1, min(total["files"], max(spark.sparkContext.defaultParallelism, -(-total["bytes"] // task_bytes))))
+    return manifest.select("file", "bytes", "sha256").repartitionByRange(tasks, "file").mapInPandas(read, schema)
