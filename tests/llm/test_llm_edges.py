@@ -122,7 +122,12 @@ def test_imatch(spark, docs, none):
     assert imatch.fingerprint_edits(none).count() == 0
     alone = imatch.fingerprint_edits(docs.filter("doc_id = 1")).first()
     assert alone["near_next"] == 1.0
-    assert imatch.likeness("", "") == 1.0 and imatch.likeness("", "1.1:a") == 0.0
+    assert imatch.likeness("", "") == 1.0 and imatch.likeness("", alone["fingerprint"]) == 0.0
+
+
+def test_letters():
+    """Fractions, raised and circled numbers are no letters; Chinese numerals are."""
+    assert [langid.letters(t) for t in ("½ ² ①", "a½b", "一二 Ⅷ ab", None, "1_2")] == ["", "a b", "一二 ab", "", ""]
 
 
 def test_reordered_passage(spark, docs, none):
@@ -139,6 +144,15 @@ def test_reordered_passage(spark, docs, none):
     assert kept.columns == docs.columns and kept.count() == len(TEXTS) - 2
 
 
+def test_short_items_and_scripts_without_blanks(spark):
+    docs = spark.createDataFrame([(1, "Well, what is the Capital? asked they"), (2, "他说机器学习模型需要大量数据才行"), (3, "what is a capital, the"), (4, "机器人很好"), (5, ""), (6, None)], "doc_id long, text string")
+    bench = spark.createDataFrame([(1, "what is the capital"), (2, "机器学习模型需要大量数据"), (3, "they"), (4, "人很好"), (5, ""), (6, "asked they !")], "item_id long, text string")
+    found = lambda **more: {(r["doc_id"], r["item_id"]) for r in decontamination.find_leaks(docs, bench, **more).collect()}
+    assert found() == {(1, 1), (2, 2), (4, 4)}
+    assert found(min_words=1) == {(1, 1), (2, 2), (4, 4), (1, 3), (1, 6)}
+    assert sorted(r["doc_id"] for r in decontamination.keep_clean(docs, bench).collect()) == [3, 5, 6]
+
+
 def test_tiles_do_not_overlap():
     # The item a b c d e f is in the document as c d e f a b c: the longest match comes first.
     item, doc = list("abcdef"), list("cdefabc")

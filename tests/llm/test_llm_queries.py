@@ -1,14 +1,18 @@
 """The queries with SQL against it, the others against a plain version, on the smallest tables."""
 
+import base64
 import hashlib
+import re
 import zlib
+from collections import Counter
 from pathlib import Path
 
 import duckdb
 import numpy as np
 import pytest
+import xxhash
 
-from sheetloom.llm import html_text, minhash
+from sheetloom.llm import html_text, imatch, minhash
 from sheetloom.llm.queries import ORACLES, QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -112,6 +116,50 @@ def test_imatch_edits(spark, con):
     assert near[:, 0].mean() > 0.3 and near[:, 1].mean() < 0.05
 
 
+def test_imatch_is_that_of_plain_sets(spark, con):
+    """Band, lexicon subsets and likeness by loops over words and bits; equal subsets have equal hashes and others don't."""
+    texts = [t for _, t in sorted(docs(con).items())]
+    words = [set(re.findall(r"\w+", t.lower())) for t in texts]
+    hashed = {w: xxhash.xxh3_64_intdigest(w.encode()) for s in words for w in s}
+    seen = Counter(b for s in words for b in {hashed[w] >> 44 for w in s})
+    low, high = max(imatch.BAND[0] * len(texts), 1), max(imatch.BAND[1] * len(texts), 2)
+    salts = [int(x) for x in imatch._SALTS]
+
+    def subset_rates(h):
+        """For each series, at how many rates the term with this hash is in the subset."""
+        for salt in salts:
+            mixed = (h ^ h >> 31) * salt % 2 ** 64
+            mixed ^= mixed >> 32
+            yield min((mixed & -mixed).bit_length() - 1 if mixed else 64, imatch.RATES)
+
+    def subsets(text):
+        mine = {hashed.setdefault(w, xxhash.xxh3_64_intdigest(w.encode())) for w in re.findall(r"\w+", text.lower())}
+        out = {}
+        for h in mine:
+            if low <= seen[h >> 44] <= high:
+                for k, most in enumerate(subset_rates(h)):
+                    for rate in range(1, most + 1):
+                        out.setdefault((rate, k), set()).add(h)
+        return out
+
+    def likeness(a, b):
+        by_rate, spots = {}, a.keys() | b.keys()
+        for rate in {r for r, _ in spots}:
+            met = [s for s in spots if s[0] == rate]
+            if len(met) >= imatch.SUBSETS / 2:
+                by_rate[rate] = sum(a.get(s) == b.get(s) for s in met) / len(met)
+        return max(by_rate.values()) if by_rate else sum(a.get(s) == b.get(s) for s in spots) / max(len(spots), 1)
+
+    rows = [r for _, r in sorted((r["doc_id"], r) for r in QUERIES["op4_imatch"](spark, SF).collect())]
+    for k, text in enumerate(texts):
+        following, n = texts[(k + 1) % len(texts)], len(text)
+        edited = text[:n - n // 4] + following[:n // 4]
+        own = subsets(text)
+        for column, other in (("near_edited", edited), ("near_next", following)):
+            expected = 1.0 if text == other else likeness(own, subsets(other))
+            assert rows[k][column] == pytest.approx(expected), (k, column)
+
+
 def test_leaks_are_those_found_by_reading(spark, con):
     plain = lambda t: " ".join("".join(c if c.isalnum() or c == "_" else " " for c in t.lower()).split())
     items = {i: plain(t) for i, t in con.execute("select item_id, text from benchmark").fetchall()}
@@ -129,6 +177,7 @@ def test_warc_reads_back(spark, con):
     assert len(rows) == len(pages)
     for i, text in pages:
         assert rows[i]["payload_bytes"] == len(text.encode())
+        assert rows[i]["payload_digest"] == base64.b32encode(hashlib.sha1(text.encode()).digest()).decode()
         assert (rows[i]["record_type"], rows[i]["refers_to"]) == (("response", None) if first[text] == i else ("revisit", first[text]))
 
 
