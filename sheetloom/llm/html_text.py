@@ -9,6 +9,9 @@ than a fifth of the text is beside a subtree says nothing about it, unless the s
 with few pages nothing recurs. In ``article`` and ``main`` elements real text recurs as well (headings, licence lines), so what is not
 mostly links must there stand beside as many different texts as ``MAIN_SHARE`` of the host's different pages with such elements too. If
 what is left of these elements is at least half of what is left of the page, only they count, else the whole page does.
+Containers whose whole class means adverts, readers' comments, notices or a sidebar (``CERTAIN_NAMES``; for comments and sidebars also the id), and
+footers, asides and menus, go in main content too and however long they are, as long as paragraphs or main content of their own
+remain beside them; so the text of a page that is nothing but comments or one form stays. Headers with a heading of the article stay.
 
 Blocks are what block elements bound; character references are decoded, white space becomes one space, and
 blocks are joined by line feeds. Elements left open are closed as browsers do. Null and empty pages, and pages without text outside templates, have
@@ -51,17 +54,23 @@ DROPPED_TAGS = frozenset("head nav footer aside form button select option input
 DROPPED_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
 DROPPED_NAMES = frozenset("ad ads advert adverts advertisement adsense banner sponsor sponsored promo promotion sidebar menu nav navbar navigation breadcrumb breadcrumbs footer masthead cookie cookies consent gdpr notice notices newsletter subscribe signup login popup modal overlay share sharing social related recommended comment comments disqus replies respond pagination pager toolbar".split())
 WHOLE_NAMES = DROPPED_NAMES | frozenset("share-buttons share-links social-links social-share related-posts related-articles post-navigation comments-area comment-list comment-body cookie-notice cookie-banner newsletter-signup".split())
+AD_NAMES = frozenset("ad ads advert adverts advertisement adsense adsbygoogle".split())
+COMMENT_NAMES = frozenset("comment comments comments-area comment-list commentlist comment-body disqus disqus_thread replies respond".split())
+CERTAIN_NAMES = AD_NAMES | COMMENT_NAMES | frozenset("sponsored sidebar cookie-notice cookie-banner cookie-consent cookies gdpr newsletter-signup".split())
+CERTAIN_IDS = COMMENT_NAMES | frozenset(["sidebar"])
+CERTAIN_TAGS = frozenset("footer aside nav".split())
 NO_TEXT = frozenset("head script style textarea title noscript template iframe svg select option input button".split())
 TEXT_TAGS = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre dt dd li td th figcaption caption".split())
 MAIN_NAMES = frozenset(("article", "main"))
+PROSE_TAGS = frozenset("p blockquote pre article main".split())
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>", re.S)
-_ATTRIBUTE = re.compile(r"([^\s=\"'/]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"']+))|(\bhidden\b)")
+_ATTRIBUTE = re.compile(r"([^\s=\"'/]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"']+)))?")
 _NAME = re.compile(r"[a-z0-9]+")
 
 
 class Element:
-    __slots__ = ("tag", "attributes", "children", "hash", "has_main", "chars", "link_chars", "first", "end", "inside", "whole")
+    __slots__ = ("tag", "attributes", "children", "hash", "has_main", "chars", "link_chars", "first", "end", "inside", "whole", "certain", "holds_main", "has_heading", "has_nav", "free", "prose", "left")
 
     def __init__(self, tag: str, attributes: str = ""):
         self.tag, self.attributes, self.children = tag, attributes, []
@@ -123,7 +132,7 @@ def names_no_content(element: Element) -> int:
     """2 if a class of the element is a name of what is no content, 1 if a piece of a class or id is, 0 if none."""
     level = 0
     if "class" in element.attributes.lower() or "id" in element.attributes.lower():
-        for name, a, b, c, _ in _ATTRIBUTE.findall(element.attributes):
+        for name, a, b, c in _ATTRIBUTE.findall(element.attributes):
             name, text = name.lower(), (a or b or c).lower()
             if name == "class" and not WHOLE_NAMES.isdisjoint(text.split()):
                 return 2
@@ -132,36 +141,54 @@ def names_no_content(element: Element) -> int:
     return level
 
 
+def certainty(element: Element) -> int:
+    """Not 0 if a whole class or id of this container, or any element's class for adverts, leaves no doubt that it is no content: 2 for
+    comments, which may hold articles, and 1 for others, which may be wrapped around main content."""
+    tag, attributes = element.tag, element.attributes.lower()
+    if tag in ("html", "body") or "class" not in attributes and "id" not in attributes:
+        return 0
+    wanted = COMMENT_NAMES if tag in MAIN_NAMES else CERTAIN_NAMES if tag in BLOCKS and tag not in TEXT_TAGS else AD_NAMES
+    for name, a, b, c in _ATTRIBUTE.findall(attributes):
+        said = wanted.intersection((a or b or c).split()) if name == "class" else wanted & CERTAIN_IDS & {(a or b or c).strip()} if name == "id" else ()
+        if said:
+            return 1 if COMMENT_NAMES.isdisjoint(said) else 2
+    return 0
+
+
 def is_dropped(element: Element, templates: frozenset | set = frozenset()) -> bool:
     """Whether markup says that this is no content. What holds most of the text of the page, or of its main element, is content
-    unless it is mostly links. A name alone is enough only if it is a whole class of a container outside main content; else
+    unless it is mostly links, or certainly is none and leaves other paragraphs there. A name alone is enough only if it is a whole class of a container outside main content; else
     the element must also be mostly links or recur on the host, and in main content ids and pieces of names say nothing."""
     if element.tag in NO_TEXT:
         return True
+    if element.left and (element.certain == 2 or not element.holds_main and (element.certain or element.tag in CERTAIN_TAGS)):
+        return True
     links = element.link_chars >= LINK_SHARE * element.chars and element.chars > 0
     if 2 * element.chars > element.whole and not links:
         return False
     if element.tag in DROPPED_TAGS:
         return True
     if element.tag == "header":
-        return not any(isinstance(c, Element) and c.tag in ("h1", "h2") for c in element.children)
+        if any(isinstance(c, Element) and c.tag in ("h1", "h2") for c in element.children):
+            return False
+        return not element.has_heading or element.has_nav and not element.inside
     if not element.attributes.strip() or element.tag in ("html", "body", *MAIN_NAMES) and "comment" not in element.attributes.lower():
         return False
-    for name, a, b, c, hidden in _ATTRIBUTE.findall(element.attributes):
+    for name, a, b, c in _ATTRIBUTE.findall(element.attributes):
         name, text = name.lower(), (a or b or c).lower()
-        if hidden or name == "aria-hidden" and text == "true" or name == "style" and "display:none" in text.replace(" ", ""):
+        if name == "hidden" or name == "aria-hidden" and text == "true" or name == "style" and "display:none" in text.replace(" ", ""):
             return True
         if name == "role" and text.strip() in DROPPED_ROLES:
             return True
     level = names_no_content(element)
-    if level == 2 and not element.inside and element.tag not in TEXT_TAGS:
+    if level == 2 and not element.inside and element.tag not in TEXT_TAGS and (element.tag in BLOCKS or "comment" not in element.attributes.lower()):
         return True
     return level > element.inside and (links or element.hash ^ _NAMED in templates)
 
 
 def measure(root: Element) -> None:
-    """Hash, text length and link share of every element, children first; then whether it is in main content, and how much text
-    its main element or else the page has."""
+    """Hash, text length and link share of every element, children first, with what it holds; then whether it is in main content, and how much
+    text its main element or else the page has, and how much of that is in paragraphs that are not in what is certainly no content."""
     order, todo = [], [root]
     while todo:
         element = todo.pop()
@@ -169,28 +196,40 @@ def measure(root: Element) -> None:
         todo += [c for c in element.children if isinstance(c, Element)]
     for element in reversed(order):
         parts, element.chars, element.link_chars = [element.tag], 0, 0
+        element.certain = certainty(element)
         element.has_main = element.tag in MAIN_NAMES
+        element.holds_main = element.has_heading = element.has_nav = False
+        element.free = prose = 0
         for child in element.children:
             if isinstance(child, Element):
                 parts.append(f"<{child.hash}>")
                 element.chars += child.chars
                 element.link_chars += child.link_chars
                 element.has_main |= child.has_main
+                element.holds_main |= child.holds_main or child.tag in MAIN_NAMES and not child.certain
+                element.has_heading |= child.has_heading or child.tag in ("h1", "h2")
+                element.has_nav |= child.has_nav or child.tag == "nav"
+                element.free += child.free
+                prose += child.prose
             elif text := " ".join(child.split()):
                 parts.append(text)
                 element.chars += len(text)
+                element.free += len(text)
+        if element.tag == "a" or element.tag == "header" or element.tag in DROPPED_TAGS or element.certain == 2 or element.certain and not element.holds_main:
+            element.free = prose = 0
+        element.prose = element.free if element.tag in PROSE_TAGS else prose
         if element.tag == "a":
             element.link_chars = element.chars
         elif element.tag in NO_TEXT:
             element.chars = element.link_chars = 0
         element.hash = xxhash.xxh3_64_intdigest("\n".join(parts).encode("utf-8", "surrogatepass")) - (1 << 63)
-    root.inside, root.whole = False, root.chars
+    root.inside, root.whole, root.left = False, root.chars, root.prose
     for element in order:
         starts = element.tag in MAIN_NAMES and not element.inside
-        inside, whole = (True, element.chars) if starts else (element.inside, element.whole)
+        within = (True, element.chars, element.prose) if starts else (element.inside, element.whole, element.left)
         for child in element.children:
             if isinstance(child, Element):
-                child.inside, child.whole = inside, whole
+                child.inside, child.whole, child.left = within
 
 
 def candidates(root: Element):

@@ -336,6 +336,40 @@ def test_html_names_alone_drop_no_text(page, text):
     assert html_text.main_text(page, set()) == text
 
 
+LONG = "".join(f"<p>Reader {k} has a good deal to say about this.</p>" for k in range(9))
+
+
+@pytest.mark.parametrize("page, text", [
+    (f'<article><h1>Title</h1><p>Short.</p></article><div class="comments">{LONG}</div>', "Title\nShort."),
+    (f'<article><h1>Title</h1><p>Short.</p></article><div id="comments"><ol><li><article class="comment">{LONG}</article></li></ol></div>', "Title\nShort."),
+    (f'<article><h1>Title</h1><p>Short.</p></article><section class="comments"><article>{LONG}</article></section>', "Title\nShort."),
+    (f'<div><h1>Title</h1><p>Short.</p></div><div class="comments">{LONG}</div>', "Title\nShort."),
+    (f'<article><p>Short.</p></article><footer>{LONG}</footer>', "Short."),
+    (f'<article><p>Short.</p><section class="comments" id="comments">{LONG}</section></article>', "Short."),
+    ('<article><p>Text.</p><span class="ad">Buy</span><div class="ad">Buy</div><div class="sidebar">See</div><div class="cookie-notice">We use</div></article>', "Text."),
+    ('<article><p>Text.</p><div hidden="">x</div><div hidden="hidden">y</div><div hidden>z</div><p data-hidden>Kept.</p><p title="not hidden">So too.</p></article>', "Text.\nKept.\nSo too."),
+    ('<article><header><div><h1>Title</h1></div></header><p>Text.</p></article>', "Title\nText."),
+    ('<header><div><h1>Title</h1></div></header><div><p>Text.</p></div>', "Title\nText."),
+    ('<header><div><h1>Site</h1></div><nav>All</nav></header><div><p>The text.</p></div>', "The text."),
+    # What is nothing but such a container keeps its text.
+    ('<h1>Thread</h1><div class="comments"><p>One says this.</p><p>Another that.</p></div>', "Thread\nOne says this.\nAnother that."),
+    ('<div class="sidebar"><main><p>All the text</p></main></div><p>Below</p>', "All the text"),
+    ('<div><pre>x = 1 <span class="comment"># one</span></pre></div>', "x = 1 # one"),
+    ('<form><p>All the text of the page</p></form><p>Below</p>', "All the text of the page\nBelow"),
+])
+def test_html_what_certainly_is_no_content(page, text):
+    assert html_text.main_text(page, set()) == text
+
+
+def test_html_long_comments_that_do_not_recur(spark):
+    """Thirty pages of one host with comments longer than the article, all different or all the same."""
+    words = [f"{chr(97 + k % 26)}{chr(97 + k // 26)}" for k in range(30)]
+    same = [(k, "http://same.example.com/", f"<article><h1>On {w}</h1><p>Page {w} tells of {w}.</p></article><div class='comments'>{LONG}</div>") for k, w in enumerate(words)]
+    other = [(100 + k, "http://other.example.com/", page.replace("Reader", f"Reader {w}")) for (k, _, page), w in zip(same, words)]
+    texts = {r["page_id"]: r["text"] for r in html_text.extract(spark.createDataFrame(same + other, "page_id long, url string, html string")).collect()}
+    assert all(texts[k] == texts[100 + k] == f"On {w}\nPage {w} tells of {w}." for k, w in enumerate(words))
+
+
 def test_url_rules_and_reputation(spark):
     urls = {
         1: "http://EXAMPLE.net/en/x", 2: "http://a.example.net/fr/", 3: "https://b.example.com/de/1?q", 4: "https://b.example.com/den", 5: "x://y.org/fr/#z",
