@@ -1,5 +1,6 @@
 """What the operators share: reading tables, folds, term streams, counts over all rows."""
 
+import gc
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -19,6 +20,16 @@ def crc_mod(key: str, n: int) -> Column:
     return F.coalesce(F.pmod(F.crc32(F.col(key).cast("string").cast("binary")), F.lit(n)), F.lit(0)).cast("int")
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files and broadcasts of jobs that are done.
+
+    Its cleaner acts when the driver collects garbage, which a long run of small jobs does too late: their plans
+    and files pile up. Only what nothing refers to goes, so no later job has to repeat anything.
+    """
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def texts_of(frames: Iterator[pd.DataFrame], column: str) -> Iterator[str]:
     for frame in frames:
         for text in frame[column]:

@@ -2,13 +2,14 @@
 
 Every step turns each edge into one to a node's smallest neighbour, so the number of edges
 never grows; the steps end when nothing changes. Edges are written after every step, in the
-shared folder, so a lost executor costs no earlier step.
+shared folder, so a lost executor costs no earlier step, and what a step shuffled is released.
 """
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..staging import stage
+from .common import release
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -35,6 +36,7 @@ def components(edges: DataFrame) -> DataFrame:
     while True:
         edges = stage(_star(_star(edges, large=True), large=False), "edges")
         now = print_of(edges)
+        release(edges.sparkSession)
         if now == last or now[0] == 0:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
         last = now

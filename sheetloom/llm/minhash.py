@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..staging import stage
+from .common import release
 from .components import components
 
 POSTED = 32
@@ -140,6 +141,8 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     texts = docs.select(F.col(key).cast("long").alias("doc"), F.col(text).cast("string").alias("content"))
     texts = stage(texts.join(postings.select("doc").distinct().hint("shuffle_hash"), "doc", "left_semi").dropDuplicates(["doc"]), "texts")
 
+    release(docs.sparkSession)
+
     # Every member of a list meets its most central one.
     pairs = postings.filter("doc != first").select(F.col("doc").alias("a"), F.col("first").alias("b")).distinct()
     marks = reps.select("doc", "n", "checked")
@@ -157,6 +160,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
         .select("a", "b", "left", "right")
     )
     stars = stage(_confirm(stage(signed_pairs.mapInPandas(enough, "a long, b long"), "pairs"), texts, words, num, den), "links")
+    release(docs.sparkSession)
     found = components(stars)
 
     # In lists with several components, members outside the central one's component meet all.
