@@ -4,6 +4,7 @@ Everything is computed from whole tables with DataFrame code. Sheets are landed
 as parquet once per session and folder, as an ingestion would leave them.
 """
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -80,14 +81,6 @@ def padded(c: Column, end: str) -> Column:
     return F.concat(F.lit("\u00a0"), c, F.lit(end))
 
 
-def _per_week(rows: DataFrame, key: str, first, pivot: str | None = None) -> DataFrame:
-    """``key`` and a map from week (or from ``pivot``, per week) to the whole quantity."""
-    week = (F.datediff(F.trunc("ship_date", "week"), F.lit(first)) / 7).cast("int") + 1
-    inner, outer = (pivot, "week") if pivot else ("week", key)
-    sums = rows.withColumn("week", week).groupBy(inner, outer).agg(F.sum("l_quantity").cast("bigint").alias("n"))
-    return sums.groupBy(outer).agg(F.map_from_entries(F.collect_list(F.struct(inner, "n"))).alias("n_by"))
-
-
 def _spread(df: DataFrame, left: int, n: int) -> DataFrame:
     """``label`` and ``n`` cells placed on the sheet from column ``left`` on, blanks before them."""
     blank = [f"CAST(NULL AS STRING) AS _c{i}" for i in range(left)]
@@ -97,58 +90,88 @@ def _spread(df: DataFrame, left: int, n: int) -> DataFrame:
 
 # --- plan sheets: parts down, weeks across
 
+CELLS_PER_FILE = 1_000_000
+
+
+def plan_text(key: Column, week: Column, amount: Column) -> Column:
+    """A plan cell as people write it."""
+    plain = amount.cast("string")
+    kind = (key + week) % 7
+    return (
+        F.when(kind == 0, "-")
+        .when(kind == 1, F.lit(None).cast("string"))
+        .when(kind == 2, F.concat(F.lit("$"), plain))
+        .when(kind == 3, F.format_number(amount * 1000, 0))
+        .when(kind == 4, F.concat(F.lit("-"), plain))
+        .otherwise(plain)
+    )
+
+
+def _plan_cells(spark: SparkSession, n: int) -> Column:
+    """The cells of the part ``key`` with the texts of ``sold``, week by week, and between them those of weeks without a sale.
+
+    What a week without a sale says depends on the key's remainder alone: seven rows as long as the sheet is wide, which go into
+    the plan as a constant. A missing or negative key has no such row and gets its own.
+    """
+    zero = F.lit(0).cast("bigint")
+    week_numbers = F.sequence(F.lit(1), F.lit(n))
+
+    def unsold(key: Column) -> Column:
+        return F.transform(week_numbers, lambda week: plan_text(key, week, zero))
+
+    rows = spark.range(7).select("id", unsold(F.col("id")).alias("cells")).collect()
+    known = F.from_json(F.lit(json.dumps([r["cells"] for r in sorted(rows)])), "array<array<string>>")
+    blank = F.coalesce(F.when(F.col("key") >= 0, F.get(known, (F.col("key") % 7).cast("int"))), unsold(F.col("key")))
+
+    def after_last(cell: Column, i: Column) -> Column:
+        last = F.coalesce(F.get("sold", i - 1)["key"], F.lit(0))
+        return F.concat(F.slice(blank, last + 1, cell["key"] - last - 1), F.array(cell["value"]))
+
+    last = F.element_at("sold", -1)["key"]
+    filled = F.flatten(F.concat(F.transform("sold", after_last), F.array(F.slice(blank, last + 1, F.lit(n) - last))))
+    return F.when(F.col("sold").isNull(), blank).otherwise(filled)
+
 
 def plan_sheet(spark: SparkSession, sf_dir: str, spec: SheetSpec, parts: DataFrame) -> DataFrame:
+    """Rows are put in order with only their sales; cells are made afterwards, where the row is written, in tasks of a bounded number of cells."""
     at = parse_range(spec.cells)
     top = at.first_row
     first, n = week_axis(spark, sf_dir)
-    sums = _per_week(lines(spark, sf_dir), "l_partkey", first)
-    week_numbers = F.sequence(F.lit(1), F.lit(n))
-
-    def text(week: Column) -> Column:
-        amount = F.coalesce(F.try_element_at("n_by", week), F.lit(0).cast("bigint"))
-        plain = amount.cast("string")
-        kind = (F.col("p_partkey") + week) % 7
-        return (
-            F.when(kind == 0, "-")
-            .when(kind == 1, F.lit(None).cast("string"))
-            .when(kind == 2, F.concat(F.lit("$"), plain))
-            .when(kind == 3, F.format_number(amount * 1000, 0))
-            .when(kind == 4, F.concat(F.lit("-"), plain))
-            .otherwise(plain)
-        )
-
-    body = parts.join(sums, F.col("p_partkey") == F.col("l_partkey"), "left").select(
-        (F.col("p_partkey") + top + 4).alias(ROW),
-        F.concat(F.col("p_partkey").cast("string"), F.when(F.col("p_partkey") % 2 == 0, ".0").otherwise("")).alias("label"),
-        F.transform(week_numbers, text).alias("cells"),
+    week = (F.datediff(F.trunc("ship_date", "week"), F.lit(first)) / 7).cast("int") + 1
+    sums = lines(spark, sf_dir).withColumn("week", week).groupBy("week", "l_partkey").agg(F.sum("l_quantity").cast("bigint").alias("n"))
+    amount = F.coalesce("n", F.lit(0).cast("bigint"))
+    written = sums.select("l_partkey", F.struct("week", plan_text(F.col("l_partkey"), F.col("week"), amount).alias("text")).alias("cell"))
+    sold = written.groupBy("l_partkey").agg(F.array_sort(F.map_entries(F.map_from_entries(F.collect_list("cell")))).alias("sold"))
+    label = F.concat(F.col("p_partkey").cast("string"), F.when(F.col("p_partkey") % 2 == 0, ".0").otherwise(""))
+    none = F.lit(None).cast("array<string>")
+    body = parts.join(sold, F.col("p_partkey") == F.col("l_partkey"), "left").select(
+        (F.col("p_partkey") + top + 4).alias(ROW), label.alias("label"), F.col("p_partkey").alias("key"), "sold", none.alias("cells")
     )
     axis = weeks(spark, sf_dir)
-    week = F.col("col_idx")
-    day_text = as_date_text(F.col("monday"), week % 3)
+    number = F.col("col_idx")
+    day_text = as_date_text(F.col("monday"), number % 3)
     above = axis.agg(
         F.array_sort(F.collect_list(F.struct(
             "col_idx",
-            F.when(week % 50 == 0, None).when(week % 10 == 3, padded(F.col("period"), "\n")).otherwise(F.concat(F.lit(" "), "period")).alias("period"),
+            F.when(number % 50 == 0, None).when(number % 10 == 3, padded(F.col("period"), "\n")).otherwise(F.concat(F.lit(" "), "period")).alias("period"),
             F.lit("Mon").alias("day"),
-            F.when(week % 5 == 2, padded(day_text, "\t")).otherwise(day_text).alias("date"),
+            F.when(number % 5 == 2, padded(day_text, "\t")).otherwise(day_text).alias("date"),
         ))).alias("above")
     )
-    heads = [(0, " Period ", "period"), (1, spec.week_label, "day"), (2, "DATE", "date")]
-    rows = [
-        above.select(F.lit(top + i).cast("bigint").alias(ROW), F.lit(label).alias("label"), F.col(f"above.{name}").alias("cells"))
-        for i, label, name in heads
-    ]
-    empty = F.transform(week_numbers, lambda _: F.lit(None).cast("string"))
-    rows.append(above.select(F.lit(top + 3).cast("bigint").alias(ROW), F.lit(None).cast("string").alias("label"), empty.alias("cells")))
+    empty = F.array_repeat(F.lit(None).cast("string"), n)
+    heads = [(" Period ", F.col("above.period")), (spec.week_label, F.col("above.day")), ("DATE", F.col("above.date")), (None, empty)]
     whole = body
-    for row in rows:
-        whole = whole.union(row)
-    return _spread(_in_order(whole), at.first_col, n)
+    for i, (name, cells) in enumerate(heads):
+        whole = whole.union(above.select(
+            F.lit(top + i).cast("bigint").alias(ROW), F.lit(name).cast("string").alias("label"),
+            F.lit(None).cast("bigint").alias("key"), F.lit(None).cast("array<struct<key:int,value:string>>").alias("sold"), cells.alias("cells"),
+        ))
+    placed = _in_order(whole, parts.count() * n // CELLS_PER_FILE + 1)
+    return _spread(placed.select(ROW, "label", F.coalesce("cells", _plan_cells(spark, n)).alias("cells")), at.first_col, n)
 
 
-def _in_order(sheet: DataFrame) -> DataFrame:
-    return sheet.repartitionByRange(ROW).sortWithinPartitions(ROW)
+def _in_order(sheet: DataFrame, files: int | None = None) -> DataFrame:
+    return sheet.repartitionByRange(*([files] if files else []), ROW).sortWithinPartitions(ROW)
 
 
 def main_plan_spec(spark: SparkSession, sf_dir: str) -> SheetSpec:
@@ -165,12 +188,19 @@ def main_plan_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
 SIZES = 50  # part sizes run from 1 to 50
 
 
+def _per_week(rows: DataFrame, first) -> DataFrame:
+    """``week`` and a map from part size to the whole quantity."""
+    week = (F.datediff(F.trunc("ship_date", "week"), F.lit(first)) / 7).cast("int") + 1
+    sums = rows.withColumn("week", week).groupBy("p_size", "week").agg(F.sum("l_quantity").cast("bigint").alias("n"))
+    return sums.groupBy("week").agg(F.map_from_entries(F.collect_list(F.struct("p_size", "n"))).alias("n_by"))
+
+
 def forecast_sheet(spark: SparkSession, sf_dir: str, spec: SheetSpec, sold: DataFrame) -> DataFrame:
     at = parse_range(spec.cells)
     first, n = week_axis(spark, sf_dir)
     sizes = table(spark, sf_dir, "part").select("p_partkey", "p_size")
     joined = sold.join(sizes, sold.l_partkey == sizes.p_partkey)
-    sums = _per_week(joined, "week", first, pivot="p_size")
+    sums = _per_week(joined, first)
 
     def text(size: Column) -> Column:
         amount = F.coalesce(F.try_element_at("n_by", size), F.lit(0).cast("bigint")).cast("string")
