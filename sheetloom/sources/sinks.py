@@ -7,6 +7,22 @@ from pyspark.sql import functions as F
 
 from ..staging import stage
 
+# Rows that one task sorts and writes, so that its memory does not grow with the table.
+ROWS_PER_TASK = 2_000_000
+
+
+def _evened(df: DataFrame, partitions: int) -> DataFrame:
+    """Rows dealt evenly to as many tasks as asked for, or more if these would get too many rows."""
+    return df.repartition(max(partitions, -(-df.count() // ROWS_PER_TASK)))
+
+
+def _by_bucket(df: DataFrame, buckets: int, keys: list[str]) -> DataFrame:
+    """Rows dealt by bucket; a large bucket goes to several tasks, which write a file each.
+
+    Tasks and buckets are told by the same hash. With a multiple of the number of buckets as many tasks, none has rows of two buckets.
+    """
+    return df.repartition(buckets * max(1, -(-df.count() // (buckets * ROWS_PER_TASK))), *keys)
+
 
 def _creator(df: DataFrame, table: str, fmt: str, properties: dict, partition_by: list[str], location: str | None):
     writer = df.writeTo(table).using(fmt)
@@ -44,7 +60,7 @@ def create_or_overwrite(
 ) -> None:
     """Create the table, or replace all its rows and keep its schema.
 
-    ``partitions`` evens out the files written; ``partition_by`` splits the
+    ``partitions`` evens out the files written, of which a large table gets more; ``partition_by`` splits the
     table into folders that later scans can skip. The new rows of a table that exists are all
     computed and written aside before its old ones go, so they may come from the table itself.
     """
@@ -52,7 +68,7 @@ def create_or_overwrite(
     if exists:
         df = stage(df.select(*_same_columns(df, table)), "overwrite")
     if partitions is not None:
-        df = df.repartition(partitions)
+        df = _evened(df, partitions)
     if not exists:
         _creator(df, table, fmt, properties or {}, partition_by or [], location).create()
         return
@@ -82,7 +98,7 @@ def create_or_replace(
         _creator(df, table, fmt, properties or {}, partition_by or [], location).createOrReplace()
         return
     if bucket_by:
-        df = df.repartition(*bucket_by)
+        df = _by_bucket(df, bucket_by[0], [bucket_by[1]])
     version = uuid.uuid4().hex
     fresh = f"{table}_{version}"
     writer = df.write.format(fmt).options(**(properties or {}))
@@ -149,7 +165,7 @@ def publish_version(df: DataFrame, table: str, folder: str, fmt: str = "parquet"
             df = df.select(*old.columns)
     version = uuid.uuid4().hex
     path, fresh = f"{folder.rstrip('/')}/version-{version}", f"{table}_{version}"
-    writer = (df.repartition(buckets[0], *buckets[1]) if buckets else df).write.format(fmt).option("path", path)
+    writer = (_by_bucket(df, *buckets) if buckets else df).write.format(fmt).option("path", path)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if buckets:

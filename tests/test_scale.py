@@ -2,10 +2,12 @@
 
 import datetime
 import glob
+from uuid import uuid4
 
 from pyspark.sql import functions as F
 
 from sheetloom import fixtures as fx
+from sheetloom.sources import sinks
 from sheetloom.sources.specs import PLAN_SPECS
 from sheetloom.sources.versions import VersionStore, with_file
 
@@ -44,3 +46,26 @@ def test_file_names_are_cut_without_a_pattern(spark, tmp_path):
     assert all(len(r["file"].split("/")) == 2 for r in store.manifest("fact").collect())
     # A pattern that has to reach the end of the path took 120 microseconds a row.
     assert "regexp" not in seen._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_tasks_of_sinks_get_a_bounded_number_of_rows(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(sinks, "ROWS_PER_TASK", 100)
+    rows = spark.range(1000).select(F.col("id").cast("string").alias("k"), (F.col("id") % 3).alias("p"))
+    written = lambda name: spark.table(name).groupBy(F.input_file_name().alias("file")).count().collect()
+    name = f"even_{uuid4().hex}"
+    for _ in range(2):
+        sinks.create_or_overwrite(rows, name, partitions=4, location=str(tmp_path / "even"))
+        files = written(name)
+        assert len(files) == 10 and max(r["count"] for r in files) <= 150
+    for put in (sinks.publish_version, sinks.create_or_replace):
+        name = f"buckets_{uuid4().hex}"
+        put(rows, name, **({"folder": str(tmp_path / name)} if put is sinks.publish_version else {"location": str(tmp_path / name)}), bucket_by=(2, "k"))
+        table = spark.table(name)
+        files = written(name)
+        assert len(files) == 10 and max(r["count"] for r in files) <= 200
+        # Each file holds one bucket, and a join by the key still needs no shuffle.
+        bucket = F.regexp_extract(F.input_file_name(), "_([0-9]{5})[.]c", 1).cast("int")
+        assert table.filter(F.pmod(F.hash("k"), F.lit(2)) != bucket).count() == 0
+        assert sorted(r["k"] for r in table.collect()) == sorted(str(i) for i in range(1000))
+        plan = table.groupBy("k").count()._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan
