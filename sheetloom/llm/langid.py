@@ -13,7 +13,6 @@ empty result. Only the id, text and label columns are read, so further columns,
 their names, do no harm. Without labelled rows every text is ``und``.
 """
 
-import re
 import sys
 from dataclasses import dataclass
 
@@ -27,18 +26,33 @@ from .common import bounded_sample, count_buckets, crc_mod
 BITS = 15
 UNKNOWN = "und"
 REJECT_BELOW = 0.4  # in the filter, a language less likely than this counts as unknown
-_NUMBERS = "".join(c for c in map(chr, range(128, sys.maxunicode + 1)) if c.isnumeric() and not c.isalpha() and not c.isdecimal())
-_NOT_LETTERS = re.compile(rf"[\W\d_{_NUMBERS}]+")
+_LETTERS = np.fromiter((chr(c).isalpha() for c in range(sys.maxunicode + 1)), bool)
+_LETTERS = _LETTERS[:np.flatnonzero(_LETTERS)[-1] + 2]  # ends with one that stands for all beyond
+_BLANK = ord(" ")
 _MULTIPLIERS = np.array([2654435761, 2246822519, 3266489917], np.uint32)
 
 
+def letter_codes(text: str | None) -> np.ndarray:
+    """The code points of a cleaned text between two spaces; without any letter, none."""
+    codes = np.frombuffer((text or "").lower().encode("utf-32-le", "surrogatepass"), np.uint32)
+    inside = np.zeros(len(codes) + 2, bool)
+    inside[1:-1] = np.take(_LETTERS, codes, mode="clip")
+    spaced = np.full(len(inside), _BLANK, np.uint32)
+    np.copyto(spaced[1:-1], codes, where=inside[1:-1])
+    stays = inside.copy()
+    stays[1:] |= inside[:-1]  # the first of those between two words
+    if not stays.any():
+        return spaced[:0]
+    stays[0] = True
+    return spaced[stays]
+
+
 def letters(text: str | None) -> str:
-    return _NOT_LETTERS.sub(" ", (text or "").lower()).strip()
+    return letter_codes(text)[1:-1].tobytes().decode("utf-32-le")
 
 
-def ngram_buckets(text: str, bits: int = BITS) -> np.ndarray:
-    """The buckets of all n-grams of a text that ``letters`` has cleaned, repeats included."""
-    codes = np.frombuffer(f" {text} ".encode("utf-32-le"), np.uint32)
+def ngram_buckets(codes: np.ndarray, bits: int = BITS) -> np.ndarray:
+    """The buckets of all n-grams of a text's ``letter_codes``, repeats included."""
     one, two, three = _MULTIPLIERS
     pairs = codes[:-1] * one + codes[1:] * two
     triples = pairs[:-1] * three + codes[2:] * one
@@ -47,20 +61,19 @@ def ngram_buckets(text: str, bits: int = BITS) -> np.ndarray:
     return ((hashed ^ (hashed >> np.uint32(15))) * one >> shift).astype(np.int64)
 
 
-def distinct_ngrams(text: str | None) -> np.ndarray:
-    cleaned = letters(text)
-    return np.unique(ngram_buckets(cleaned)) if cleaned else np.empty(0, np.int64)
-
-
 def term_counts(text: str | None) -> tuple[np.ndarray, np.ndarray]:
-    cleaned = letters(text)
-    if not cleaned:
+    codes = letter_codes(text)
+    if not len(codes):
         return np.empty(0, np.int64), np.empty(0)
-    counts = np.bincount(ngram_buckets(cleaned), minlength=1 << BITS)
+    counts = np.bincount(ngram_buckets(codes), minlength=1 << BITS)
     found = np.flatnonzero(counts)
     return found, counts[found]
 
 
+def distinct_ngrams(text: str | None) -> np.ndarray:
+    return term_counts(text)[0]
+
+
 def vector(buckets: np.ndarray, counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
     values = (1 + np.log(counts)) * idf[buckets]
     return values / max(np.linalg.norm(values), 1e-12)
