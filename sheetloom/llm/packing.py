@@ -10,7 +10,7 @@ doesn't fit is cut to fill it exactly, its rest staying available. Only the last
 
 Document frequencies (of hashed terms), the number of documents and their mean length, all over the whole table, give
 the BM25 weights; terms in over a quarter of all documents or in one alone carry none. Token ids come from ``tokenizers`` or, where that gives the same ids,
-from ``tiktoken`` with the same vocabulary, word by word with a cache of bounded size.
+from ``tiktoken`` with the same vocabulary, word by word with a table of bounded size.
 
 A null or empty text is its end id alone. Repeated rows are packed one by one. Ties in score go to the longer
 remainder, then to the order of ids. An empty table gives no sequences. Only the id and text columns are read.
@@ -29,7 +29,6 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.skew import fits_broadcast
 from ..staging import stage
 from .common import count_buckets
 from .components import components
@@ -43,11 +42,19 @@ SHARD_CHARS = 4_000_000
 COMMON = 0.25
 K1, B = 1.2, 0.75
 _CACHED = 400_000
+_KNOWN, _KNOWN_BYTES = 1_000_000, 1 << 25  # pieces that a worker's table holds, and their bytes
+_CHUNK = 1 << 19  # characters whose words are looked up at once
+_ALONE = 1 << 22  # a longer text is tokenized by itself
+_CELLS = 1 << 20  # scores, or pairs of a seed and a posting, that are held at once
 _BATCH = 64  # neighbours that are ranked at a time
 _BASE = 0x5851F42D4C957F2D
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _IN_WORD = np.array([c >= 128 or c == 95 or chr(c).isalnum() for c in range(256)])
 _BLANK = re.compile(r" (?=\S)")
+_SPACE = np.array([c < 128 and chr(c).isspace() for c in range(256)])
+_ASCII_LETTER = np.array([c < 128 and chr(c).isalpha() for c in range(256)])
+_ASCII_OTHER = np.array([c < 128 and not chr(c).isalpha() for c in range(256)])
+_MAYBE_SPACE = np.array([0xC285, 0xC2A0, 0xE19A, 0xE280, 0xE281, 0xE380])  # how all other white space begins in UTF-8
 
 
 def _worker_wide(name: str, make):
@@ -85,7 +92,83 @@ class Tokens:
                 return found
 
         self.first = lambda piece: np.array(encode(piece), np.uint16).tobytes()
+        self.whole = lambda piece: encode_word(piece) if piece[:1] == b" " and (piece[1:].isalpha() or piece[1:].decode().isalpha()) else encode(piece.decode())
         self.cache = Cache()
+        self.forget()
+
+    def forget(self) -> None:
+        """Empty the table of pieces: their hashes in order, the place of each, and there its bytes and ids, all on end."""
+        self.known, self.place = np.empty(0, np.uint64), np.empty(0, np.int32)
+        self.bytes, self.ids = np.empty(0, np.uint8), np.empty(0, np.uint16)
+        self.bytes_at, self.ids_at = np.zeros(1, np.int64), np.zeros(1, np.int64)
+
+    def learn(self, hashes: np.ndarray, pieces: list[bytes]) -> None:
+        ids = [self.whole(piece) for piece in pieces]
+        at = np.searchsorted(self.known, hashes)
+        self.known = np.insert(self.known, at, hashes)
+        self.place = np.insert(self.place, at, np.arange(len(ids), dtype=np.int32) + len(self.place))
+        self.bytes = np.concatenate((self.bytes, np.frombuffer(b"".join(pieces), np.uint8)))
+        self.ids = np.concatenate((self.ids, np.fromiter((i for x in ids for i in x), np.uint16)))
+        self.bytes_at = np.concatenate((self.bytes_at, self.bytes_at[-1] + np.cumsum([len(x) for x in pieces])))
+        self.ids_at = np.concatenate((self.ids_at, self.ids_at[-1] + np.cumsum([len(x) for x in ids])))
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """As ``encode``, with the pieces of many texts looked up at once."""
+        out, waiting, chars = [b""] * len(texts), [], 0
+        for k, text in enumerate(texts):
+            if "<|" in text or len(text) > _ALONE:
+                out[k] = self.encode(text)
+                continue
+            waiting.append(k)
+            chars += len(text)
+            if chars > _CHUNK:
+                for j, ids in zip(waiting, self._encode_chunk([texts[j] for j in waiting])):
+                    out[j] = ids
+                waiting, chars = [], 0
+        for j, ids in zip(waiting, self._encode_chunk([texts[j] for j in waiting])):
+            out[j] = ids
+        return out
+
+    def _encode_chunk(self, texts: list[str]) -> list[bytes]:
+        raw = [t.encode() for t in texts]
+        joined = b"".join(raw)
+        if not joined:
+            return [b""] * len(texts)
+        data = np.frombuffer(joined, np.uint8)
+        bounds = np.concatenate(([0], np.cumsum([len(x) for x in raw])))
+        # Pieces begin with their text, after a letter where none follows (no piece of the vocabulary's pattern goes on there),
+        # and at a blank with something else than white space after it in the same text.
+        blanks = np.flatnonzero(data == 32)
+        after, second = (data[np.minimum(blanks + k, len(data) - 1)] for k in (1, 2))
+        last = np.zeros(len(data) + 1, bool)
+        last[bounds[1:] - 1] = True
+        begins = np.zeros(len(data) + 1, bool)
+        begins[blanks[~(last[blanks] | _SPACE[after] | np.isin(after.astype(np.int64) << 8 | second, _MAYBE_SPACE))]] = True
+        begins[1:-1] |= _ASCII_LETTER[data[:-1]] & _ASCII_OTHER[data[1:]]
+        begins[bounds] = True
+        starts = np.flatnonzero(begins[:-1])
+        sizes = np.diff(starts, append=len(data))
+        hashed = _hashes(data, starts, starts + sizes) + sizes.astype(np.uint64)
+        distinct, first, which = np.unique(hashed, return_index=True, return_inverse=True)
+        for again in (False, True):
+            at = np.searchsorted(self.known, distinct)
+            new = np.ones(len(distinct), bool) if not len(self.known) else self.known[np.minimum(at, len(self.known) - 1)] != distinct
+            if again or len(self.known) + new.sum() <= _KNOWN and len(self.bytes) <= _KNOWN_BYTES:
+                break
+            self.forget()
+        if new.any():
+            self.learn(distinct[new], [joined[starts[k]:starts[k] + sizes[k]] for k in first[new]])
+            at = np.searchsorted(self.known, distinct)
+        places = self.place[at][which]
+        # Two pieces with one hash would show here; then every text is encoded by itself.
+        held = self.bytes_at[places]
+        if not (np.array_equal(self.bytes_at[places + 1] - held, sizes) and np.array_equal(self.bytes[np.repeat(held - starts, sizes) + np.arange(len(data))], data)):
+            return [self.encode(t) for t in texts]
+        many = self.ids_at[places + 1] - self.ids_at[places]
+        ends = np.concatenate(([0], np.cumsum(many)))
+        ids = self.ids[np.repeat(self.ids_at[places] - ends[:-1], many) + np.arange(ends[-1])]
+        cuts = ends[np.searchsorted(starts, bounds)]
+        return [ids[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:])]
 
     def encode(self, text: str) -> bytes:
         if "<|" in text:  # may hold a special token, which the vocabulary of ranks does not know
@@ -115,24 +198,66 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return held["powers"]
 
 
+def _hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64 bits for each stretch of bytes, a polynomial in them found for all at once from running sums."""
+    powers, inverses = _powers(len(data))
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(data * powers[:len(data)], out=sums[1:])
+    hashed = (sums[ends] - sums[starts]) * inverses[starts]
+    return (hashed ^ (hashed >> np.uint64(32))) * np.uint64(0x9E3779B97F4A7C15)
+
+
+def _words(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the words of lower-cased UTF-8 begin, and their buckets."""
+    inside = np.zeros(len(data) + 2, bool)
+    inside[1:-1] = _IN_WORD[data]
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    if not len(edges):
+        return edges, edges
+    return edges[::2], (_hashes(data, edges[::2], edges[1::2]) >> np.uint64(64 - TERM_BITS)).astype(np.int64)
+
+
 def term_hashes(text: str | None) -> np.ndarray:
     """Buckets of a text's words, in order and with repeats.
 
     A word is a lower-cased run of ASCII letters, digits, ``_`` and characters beyond ASCII. Its hash is
     a polynomial in its bytes, found for all words at once from running sums.
     """
-    data = np.frombuffer((text or "").lower().encode("utf-8", "surrogatepass"), np.uint8)
-    inside = np.zeros(len(data) + 2, bool)
-    inside[1:-1] = _IN_WORD[data]
-    edges = np.flatnonzero(inside[1:] != inside[:-1])
-    if not len(edges):
-        return np.empty(0, np.int64)
-    powers, inverses = _powers(len(data))
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(data * powers[:len(data)], out=sums[1:])
-    hashed = (sums[edges[1::2]] - sums[edges[::2]]) * inverses[edges[::2]]
-    hashed = (hashed ^ (hashed >> np.uint64(32))) * np.uint64(0x9E3779B97F4A7C15)
-    return (hashed >> np.uint64(64 - TERM_BITS)).astype(np.int64)
+    return _words(np.frombuffer((text or "").lower().encode("utf-8", "surrogatepass"), np.uint8))[1]
+
+
+def _chunk_bags(texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+    raw = [t.lower().encode("utf-8", "surrogatepass") for t in texts]
+    starts, found = _words(np.frombuffer(b"\n".join(raw), np.uint8))
+    owner = np.searchsorted(np.cumsum([len(x) + 1 for x in raw]), starts, "right")
+    held, times = np.unique(owner << TERM_BITS | found, return_counts=True)
+    cuts = np.searchsorted(held, np.arange(len(raw) + 1) << TERM_BITS)
+    held &= (1 << TERM_BITS) - 1
+    return [(held[a:b], times[a:b]) for a, b in zip(cuts[:-1], cuts[1:])]
+
+
+def bags(texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Distinct ``term_hashes`` of each text, in order, and how often they are there."""
+    out, waiting, chars = [], [], 0
+    for text in texts:
+        waiting.append(text)
+        chars += len(text)
+        if chars > _CHUNK:
+            out += _chunk_bags(waiting)
+            waiting, chars = [], 0
+    return out + _chunk_bags(waiting) if waiting else out
+
+
+def flat(terms: np.ndarray, times: np.ndarray) -> tuple[bytes, bytes]:
+    """Distinct terms in order as the numbers of each of their upper parts and their lower 16 bits; times as their lower bytes, then the upper ones."""
+    upper = np.bincount(terms >> 16, minlength=1 << TERM_BITS - 16).astype("<u4")
+    return upper.tobytes() + terms.astype("<u2").tobytes(), times.astype("<u2").view(np.uint8).reshape(-1, 2).T.tobytes()
+
+
+def unflat(terms: bytes, times: bytes) -> tuple[np.ndarray, np.ndarray]:
+    parts = 1 << TERM_BITS - 16
+    upper = np.repeat(np.arange(parts) << 16, np.frombuffer(terms, "<u4", parts))
+    return upper | np.frombuffer(terms, "<u2", offset=4 * parts), np.frombuffer(times, np.uint8).reshape(2, -1).T.copy().view("<u2").ravel()
 
 
 def lots_of(idf: np.ndarray, tree: int) -> np.ndarray:
@@ -146,6 +271,9 @@ def lots_of(idf: np.ndarray, tree: int) -> np.ndarray:
 def coordinates(found: np.ndarray, lots: np.ndarray) -> int:
     """The ``COORDINATES`` terms with the least lots, as one number: documents in its order stand beside those they share most of them with."""
     mine = lots[found]
+    if len(found) > 4 * COORDINATES:
+        few = np.flatnonzero(mine <= np.partition(mine, COORDINATES - 1)[COORDINATES - 1])
+        found, mine = found[few], mine[few]
     least = found[np.argsort(mine, kind="stable")[:COORDINATES]] if len(found) else found
     key = 0
     for k in range(COORDINATES):
@@ -175,6 +303,45 @@ class Postings:
         return np.bincount(self.owner[at], self.weight[at], self.n)
 
 
+def best_neighbours(index: Postings, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each document the one with the best score for its terms and another node, and that score, 0 if there is none.
+
+    Terms in many documents are scored as a matrix of bounded size, all others by their pairs of postings.
+    """
+    n = index.n
+    heads = np.flatnonzero(np.diff(index.term, prepend=-1))
+    df = np.diff(heads, append=len(index.term))
+    frequent = np.argsort(-df, kind="stable")[:min(max(1, 4 * _CELLS // max(n, 1)), int((20 * df > n).sum()))]
+    column = np.full(len(df), -1)
+    column[frequent] = np.arange(len(frequent))
+    group = np.repeat(np.arange(len(df)), df)
+    dense = column[group] >= 0
+    weights = np.zeros((n, len(frequent)), np.float32)
+    weights[index.owner[dense], column[group[dense]]] = index.weight[dense]
+    asked = (weights > 0).astype(np.float32)
+    rest = np.flatnonzero(~dense)
+    rest = rest[np.argsort(index.owner[rest], kind="stable")]
+    seeds, many, heads = index.owner[rest], df[group[rest]], heads[group[rest]]
+    first = np.searchsorted(seeds, np.arange(n + 1))
+    pairs = np.concatenate(([0], np.cumsum(many)))[first]
+    best, top = np.zeros(n, np.int64), np.zeros(n)
+    lo = 0
+    while lo < n:
+        hi = max(lo + 1, min(n, lo + _CELLS // n, int(np.searchsorted(pairs, pairs[lo] + _CELLS, "right")) - 1))
+        part = slice(first[lo], first[hi])
+        ends = np.cumsum(many[part])
+        total = int(ends[-1]) if len(ends) else 0
+        at = np.repeat(heads[part] - ends + many[part], many[part]) + np.arange(total)
+        cell = np.repeat((seeds[part] - lo) * n, many[part]) + index.owner[at]
+        score = np.bincount(cell, index.weight[at], (hi - lo) * n).reshape(hi - lo, n).astype(float, copy=False)  # without pairs: whole numbers
+        score += asked[lo:hi] @ weights.T
+        score[nodes[lo:hi, None] == nodes] = 0
+        best[lo:hi] = score.argmax(axis=1)
+        top[lo:hi] = score[np.arange(hi - lo), best[lo:hi]]
+        lo = hi
+    return best, top
+
+
 def pack_shard(lengths: np.ndarray, terms: list[np.ndarray], counts: list[np.ndarray], idf: np.ndarray, window: int = WINDOW, sizes: np.ndarray | None = None, mean: float | None = None) -> list[list[tuple[int, int, int]]]:
     """Windows of ``(document, start, length)``; documents by position. ``sizes`` are their numbers of words and ``mean``
     that of all documents; else those of the terms given."""
@@ -239,7 +406,8 @@ def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int =
     import public_tokenizers
 
     paths = public_tokenizers.path(f"{tokenizer}.json"), public_tokenizers.path(f"{tokenizer}.tiktoken"), public_tokenizers.PATTERN
-    rows = docs.select(F.col(key).cast("long").alias("doc"), F.col(text).cast("string").alias("content"))
+    rows = docs.select(F.col(key).cast("long").alias("doc"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("content"))
+    rows = rows.withColumn("row", F.xxhash64("doc", "content"))
     terms_size = 1 << TERM_BITS
 
     def statistics(content):
@@ -252,76 +420,70 @@ def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int =
     idf = np.where((df > 1) & ((df <= COMMON * n) | (n < 8)), np.log(1 + (n - df + 0.5) / (df + 0.5)), 0).astype(np.float32)
     shards = max(1, -(-4 * chars // (3 * shard_chars))) if chars > shard_chars else 1  # aims at three quarters, as ranges are uneven
 
-    def described(frame, lots):
-        """``(doc, content, terms, times, words, node)``; nodes are in the order of the first tree, and equal for equal rows."""
-        for doc, content in zip(frame["doc"], frame["content"]):
-            content = content or ""
-            found, times = np.unique(term_hashes(content), return_counts=True)
+    def described(frame):
+        """``(terms, times, words)`` of each row, terms that carry nothing left out."""
+        for found, times in bags(list(frame["content"])):
             useful = idf[found] > 0
-            mine = found[useful]
-            node = coordinates(mine, lots) >> TERM_BITS * (COORDINATES - 2) << 27 | zlib.crc32(content.encode("utf-8", "surrogatepass"), zlib.crc32(str(doc).encode())) >> 5
-            yield doc, content, mine, np.minimum(times[useful], 65535).astype(np.uint16), int(times.sum()), node
+            yield found[useful], np.minimum(times[useful], 65535).astype(np.uint16), int(times.sum())
+
+    def nodes_of(frame, bag, lots):
+        """Nodes are in the order of the first tree, and equal for equal rows."""
+        for doc, content, (mine, _, _) in zip(frame["doc"], frame["content"], bag):
+            yield coordinates(mine, lots) >> TERM_BITS * (COORDINATES - 2) << 27 | zlib.crc32(content.encode("utf-8", "surrogatepass"), zlib.crc32(str(doc).encode())) >> 5
 
     def post(frames):
         lots = [lots_of(idf, t) for t in range(TREES)]
         for frame in frames:
-            out = []
-            for _, content, mine, times, words, node in described(frame, lots[0]):
+            out, bag = [], list(described(frame))
+            for row, content, node, (mine, times, words) in zip(frame["row"], frame["content"], nodes_of(frame, bag, lots[0]), bag):
                 if len(mine):
-                    held = mine.astype(np.int32).tobytes(), times.tobytes()
-                    out += [(t, coordinates(mine, lots[t]), node, len(content), *held, words) for t in range(TREES)]
-            yield pd.DataFrame(out, columns=["tree", "key", "node", "chars", "terms", "times", "words"])
+                    held = flat(mine, times)
+                    out += [(t, coordinates(mine, lots[t]), node, row, len(content), *held, words) for t in range(TREES)]
+            yield pd.DataFrame(out, columns=["tree", "key", "node", "row", "chars", "terms", "times", "words"])
 
-    def best_of(held):
+    def name(frames):
+        lots = lots_of(idf, 0)
+        for frame in frames:
+            yield frame[["row", "doc", "content"]].assign(node=list(nodes_of(frame, list(described(frame)), lots)))
+
+    def best_of(tree, held):
         nodes = np.array([r[0] for r in held], np.int64)
-        terms = [np.frombuffer(r[2], np.int32).astype(np.int64) for r in held]
-        index = Postings(terms, [np.frombuffer(r[3], np.uint16) for r in held], idf, np.array([r[4] for r in held]), mean)
-        out = []
-        for node, wanted in zip(nodes, terms):
-            score = index.scores(wanted)
-            score[nodes == node] = 0
-            best = int(score.argmax())
-            if score[best] > 0:
-                out.append((node, nodes[best], float(score[best])))
-        return pd.DataFrame(out, columns=["node", "best", "score"])
+        terms, times = zip(*(unflat(r[3], r[4]) for r in held))
+        best, score = best_neighbours(Postings(terms, times, idf, np.array([r[5] for r in held]), mean), nodes)
+        found = pd.DataFrame({"node": nodes, "best": nodes[best], "score": score, "row": np.array([r[1] for r in held], np.int64)})
+        return found if tree == 0 else found[score > 0].assign(row=None)
 
     def search(frames):
         tree, filled, held = None, 0, []
         for frame in frames:
-            for t, node, size, terms, times, words in zip(frame["tree"], frame["node"], frame["chars"], frame["terms"], frame["times"], frame["words"]):
+            for t, node, row, size, terms, times, words in zip(frame["tree"], frame["node"], frame["row"], frame["chars"], frame["terms"], frame["times"], frame["words"]):
                 if held and (t != tree or filled + size > most):
-                    yield best_of(held)
+                    yield best_of(tree, held)
                     filled, held = 0, []
                 tree, filled = t, filled + size
-                held.append((node, size, terms, times, words))
+                held.append((node, row, size, terms, times, words))
         if held:
-            yield best_of(held)
+            yield best_of(tree, held)
 
     most = 3 * shard_chars // 2
 
     def groups():
-        """``(node, place, within)``: documents and their best neighbours, of all trees, share the place of the first of them. A range of
-        places ends inside a group, by ``within``, only if the group has about half of a shard's documents or more."""
-        posted = rows.mapInPandas(post, "tree int, key long, node long, chars long, terms binary, times binary, words long")
+        """``(row, node, place, within)``: documents and their best neighbours, of all trees, share the place of the first of them. A range of
+        places ends inside a group, by ``within``, only if the group has about half of a shard's documents or more. Rows without terms are not there."""
+        posted = rows.mapInPandas(post, "tree int, key long, node long, row long, chars long, terms binary, times binary, words long")
         ranges = posted.repartitionByRange(TREES * shards, "tree", "key", "node").sortWithinPartitions("tree", "key", "node")
-        found = ranges.mapInPandas(search, "node long, best long, score double")
-        nearest = found.groupBy("node").agg(F.max_by("best", F.struct("score", "best")).alias("best"))
+        found = stage(ranges.mapInPandas(search, "node long, best long, score double, row long"), "neighbours")
+        nearest = found.filter("score > 0").groupBy("node").agg(F.max_by("best", F.struct("score", "best")).alias("best"))
         linked = components(nearest.select(F.col("node").alias("a"), F.col("best").alias("b"))).select("node", F.col("component").alias("place"))
         whole = linked.union(linked.select(F.col("place").alias("node"), "place").distinct())
         large = whole.groupBy("place").agg((F.count("*") * F.lit(2 * chars / n) > shard_chars).alias("large"))
-        return stage(whole.join(large, "place").select("node", "place", F.when(F.col("large"), F.col("node")).otherwise(0).alias("within")), "places")
-
-    def tokenize(frames):
-        tokens = _worker_wide("|".join(paths), lambda: Tokens(*paths))
-        lots = lots_of(idf, 0)
-        for frame in frames:
-            out = [(node, doc, tokens.encode(content), mine.astype(np.int32).tobytes(), times.tobytes(), words, len(content) + 1) for doc, content, mine, times, words, node in described(frame, lots)]
-            yield pd.DataFrame(out, columns=["node", "doc", "ids", "terms", "times", "words", "chars"]).astype({"doc": "Int64"})
+        grouped = whole.join(large, "place").select("node", "place", F.when(F.col("large"), F.col("node")).otherwise(0).alias("within"))
+        known = found.filter("row is not null").groupBy("row").agg(F.min("node").alias("node"))
+        return stage(known.join(grouped, "node", "left"), "places")
 
     def pieces(shard, held):
         ids = [np.append(np.frombuffer(r[1], np.uint16), np.uint16(end_id)) for r in held]
-        terms = [np.frombuffer(r[2], np.int32).astype(np.int64) for r in held]
-        windows = pack_shard(np.array([len(x) for x in ids], np.int64), terms, [np.frombuffer(r[3], np.uint16) for r in held], idf, window, np.array([r[4] for r in held]), mean)
+        windows = pack_shard(np.array([len(x) for x in ids], np.int64), [r[2] for r in held], [r[3] for r in held], idf, window, np.array([r[4] for r in held]), mean)
         out = []
         for k, content in enumerate(windows):
             offset = 0
@@ -332,10 +494,12 @@ def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int =
         return pd.DataFrame(out, columns=["doc", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids"]).astype({"doc": "Int64"})
 
     def pack_all(frames):
+        tokens = _worker_wide("|".join(paths), lambda: Tokens(*paths))
         shard = TaskContext.get().partitionId() << 20
         held, group, place, filled, size = [], [], None, 0, 0
         for frame in frames:
-            for row in zip(frame["place"], frame["doc"], frame["ids"], frame["terms"], frame["times"], frame["words"], frame["chars"]):
+            texts = list(frame["content"])
+            for row in zip(frame["place"], frame["doc"], tokens.encode_all(texts), *zip(*described(frame)), (len(t) + 1 for t in texts)):
                 if row[0] != place or filled + size + row[6] > most:
                     # A group that doesn't fit begins a shard; one larger than a shard is cut in the order of its content.
                     if row[0] == place and held:
@@ -352,13 +516,13 @@ def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int =
         if held or group:
             yield pieces(shard, held + group)
 
-    tokenized = rows.mapInPandas(tokenize, "node long, doc long, ids binary, terms binary, times binary, words long, chars long")
+    # Texts are tokenized where they are packed: shuffled twice, they are smaller than their ids and terms.
     if shards > 1:
-        places = groups()
-        tokenized = tokenized.join(F.broadcast(places) if fits_broadcast(places) else places, "node", "left")
+        places = rows.join(groups(), "row", "left")
     else:
-        tokenized = tokenized.withColumn("place", F.lit(0).cast("long")).withColumn("within", F.lit(0).cast("long"))
-    placed = tokenized.withColumn("place", F.coalesce("place", "node")).withColumn("within", F.coalesce("within", "node"))
+        places = rows.mapInPandas(name, "row long, doc long, content string, node long").withColumn("place", F.lit(0).cast("long")).withColumn("within", F.lit(0).cast("long"))
+    node = F.coalesce("node", F.pmod("row", F.lit(1 << 27)))
+    placed = places.select("doc", "content", node.alias("node"), F.coalesce("place", node).alias("place"), F.coalesce("within", node).alias("within"))
     by_shard = placed.repartitionByRange(shards, "place", "within").sortWithinPartitions("place", "node", "doc")
     packed = by_shard.mapInPandas(pack_all, "doc long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids binary")
     return packed.withColumnRenamed("doc", key)

@@ -219,6 +219,57 @@ def test_best_neighbours_share_a_shard(spark, n):
     assert all(shards[k] == shards[n + k] for k in range(20))
 
 
+def test_texts_are_shuffled_without_ids_and_terms(spark, tmp_path):
+    """What goes to the shards, by way of the join and in it, is text: its ids and terms are made where it is packed."""
+    frame = spark.createDataFrame([(k, f"alpha beta{k % 7} gamma{k % 5} delta{k}") for k in range(200)], "doc_id long, text string")
+    plan = packing.pack(frame, shard_chars=1000)._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression" in plan and "broadcast" not in plan
+    below = plan[plan.index("RepartitionByExpression"):]
+    assert "content" in below and "ids" not in below and "MapInPandas" not in below
+
+
+def test_terms_take_little_room():
+    terms, times = np.array([0, 5, 65535, 65536, 200_000, (1 << packing.TERM_BITS) - 1]), np.array([1, 2, 300, 65535, 1, 1], np.uint16)
+    for k in (0, 1, 6):
+        back = packing.unflat(*packing.flat(terms[:k], times[:k]))
+        assert back[0].tolist() == terms[:k].tolist() and back[1].tolist() == times[:k].tolist()
+    assert sum(map(len, packing.flat(terms, times))) == 16 + 4 * len(terms)
+
+
+@pytest.mark.parametrize("cells", [200, 1 << 20])
+def test_best_neighbours_are_those_of_all_scores(monkeypatch, cells):
+    random = np.random.default_rng(3)
+    terms = [np.unique(np.append(random.choice(40, 5), random.choice(3000, 20))) for _ in range(150)] + [np.array([9000]), np.array([9001])]
+    counts = [random.integers(1, 4, len(t)) for t in terms]
+    nodes = np.arange(len(terms)) // 2 * 2  # pairs with one node are no neighbours
+    index = packing.Postings(terms, counts, random.random(1 << packing.TERM_BITS) + 0.1)
+    monkeypatch.setattr(packing, "_CELLS", cells)
+    best, top = packing.best_neighbours(index, nodes)
+    for k, wanted in enumerate(terms):
+        score = index.scores(wanted)
+        score[nodes == nodes[k]] = 0
+        assert abs(top[k] - score.max()) < 1e-4 and abs(score[best[k]] - score.max()) < 1e-4
+    assert top[-1] == top[-2] == 0
+
+
+def test_texts_are_tokenized_at_once(monkeypatch):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path
+    texts = ["", " ", "  a  b ", "a \n\n b\t c", "x\u00a0y  z", "q \u2003\u3000w \x85e", "don't  stop'll 'tis rock'n'roll'", "<|endoftext|> a", "a  ", "b", " c", "c1d2 e_f\n", "中文 没有 空格。", "a\x00", " a\x00", "Äé ß 1 !!!\u3000 "]
+    full = Tokenizer.from_file(path("byte_bpe_50k.json"))
+    right = [full.encode(t, add_special_tokens=False).ids for t in texts]
+    own = packing.Tokens(path("byte_bpe_50k.json"), path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    ids = lambda: [np.frombuffer(x, np.uint16).tolist() for x in own.encode_all(texts)]
+    assert ids() == right and ids() == right
+    monkeypatch.setattr(packing, "_KNOWN", 3)  # the table begins anew each time
+    monkeypatch.setattr(packing, "_CHUNK", 4)
+    assert ids() == right
+    own.bytes = own.bytes + np.uint8(1)  # as if other pieces had the same hashes
+    assert ids() == right
+
+
 @pytest.mark.parametrize("text", ["", " ", "  a  b ", "a \n\n b\t c", "x\u00a0y  z", "don't  stop'll", "<|endoftext|> a", "Äé ß 12345 !!! \u3000 end ", "a " * 50 + "\x1c b", "\U0001F600 ok"])
 def test_tokens_are_those_of_the_library(text):
     import public_tokenizers
