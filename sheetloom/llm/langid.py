@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_sample, count_buckets, crc_mod
+from .common import bounded_sample, count_buckets, crc_mod, release
 
 BITS = 15
 UNKNOWN = "und"
@@ -145,10 +145,11 @@ def fit(train: DataFrame, key: str = "doc_id", text: str = "text", label: str =
     def features(frames):
         for frame in frames:
             found = [term_counts(t) for t in frame[text]]
-            yield pd.DataFrame({"label": frame[label], "kept": frame["_kept"], "buckets": [b.astype(np.int32) for b, _ in found], "counts": [c.astype(np.int32) for _, c in found]})
+            yield pd.DataFrame({"label": frame[label], "kept": frame["_kept"], "buckets": [b.astype("<i4").tobytes() for b, _ in found], "counts": [c.astype("<i4").tobytes() for _, c in found]})
 
     chosen = bounded_sample(train, key, label, per_label).withColumn("_kept", F.pmod(F.hash(key), F.lit(5)) == 0).withColumn("_order", F.xxhash64(key))
-    rows = chosen.mapInPandas(lambda frames: features(frames), "label string, kept boolean, buckets array<int>, counts array<int>").toPandas()
+    rows = chosen.mapInPandas(lambda frames: features(frames), "label string, kept boolean, buckets binary, counts binary").toPandas()  # as bytes: numbers would be an object each on the driver
+    release(train.sparkSession)
     rows = rows[rows["buckets"].map(len) > 0]
     labels = sorted(rows["label"].unique())
     n = max(int(df.max(initial=0)), 1)
@@ -157,7 +158,7 @@ def fit(train: DataFrame, key: str = "doc_id", text: str = "text", label: str =
     if not labels:
         return model
     rows["y"] = rows["label"].map(labels.index)
-    rows["b"], rows["c"] = rows["buckets"].map(np.asarray), rows["counts"].map(np.asarray)
+    rows["b"], rows["c"] = ([np.frombuffer(x, "<i4").astype(np.int64) for x in rows[c]] for c in ("buckets", "counts"))
     rows = rows.assign(_tie=[(y, len(b), int(b.sum()), int(c.sum())) for y, b, c in zip(rows["y"], rows["b"], rows["c"])]).sort_values("_tie")
     learned, kept = rows[~rows["kept"]], rows[rows["kept"]]
     model.weights, model.bias = follow_leader([(b, vector(b, c, model.idf)) for b, c in zip(learned["b"], learned["c"])], learned["y"].to_numpy(), 1 << BITS, len(labels))

@@ -129,15 +129,18 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     posted_needed, checked_needed = matches_needed(POSTED, num, den), matches_needed(CHECKED, num, den)
     signed = stage(_signatures(docs, key, text, words), "signatures")
     linked = signed.filter("n > 0 and doc is not null")
+    release(docs.sparkSession)
     classes = stage(linked.groupBy("print").agg(F.min("doc").alias("rep"), F.count("*").alias("members")).filter("members > 1"), "classes")
     copies = linked.select("doc", "print").join(classes, "print").filter("doc != rep").select("doc", "rep").distinct()
     reps = stage(linked.join(classes.select("print", "rep"), "print", "left").filter("rep is null or rep = doc").dropDuplicates(["doc"]).select("doc", "n", "posted", "checked"), "representatives")
 
+    release(docs.sparkSession)
     prefixes = stage(_postings(reps, posted_needed), "prefixes")
     postings = prefixes.select("doc", F.explode("prefix").alias("token"), "central")
     middle = F.max_by("doc", F.struct("central", -F.col("doc")))
     lists = stage(postings.groupBy("token").agg(middle.alias("first"), F.count("*").alias("members")).filter("members > 1"), "lists")
     postings = stage(postings.drop("central").join(lists, "token"), "postings")
+    release(docs.sparkSession)
     texts = docs.select(F.col(key).cast("long").alias("doc"), F.col(text).cast("string").alias("content"))
     texts = stage(texts.join(postings.select("doc").distinct().hint("shuffle_hash"), "doc", "left_semi").dropDuplicates(["doc"]), "texts")
 
@@ -159,7 +162,9 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
         .filter(F.least("na", "nb") * den >= F.greatest("na", "nb") * num)
         .select("a", "b", "left", "right")
     )
-    stars = stage(_confirm(stage(signed_pairs.mapInPandas(enough, "a long, b long"), "pairs"), texts, words, num, den), "links")
+    pairs = stage(signed_pairs.mapInPandas(enough, "a long, b long"), "pairs")
+    release(docs.sparkSession)
+    stars = stage(_confirm(pairs, texts, words, num, den), "links")
     release(docs.sparkSession)
     found = components(stars)
 
@@ -209,6 +214,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
 
     met = asking.union(asked).repartition("token", "k", "g").sortWithinPartitions("token", "k", "g")
     more = stage(met.mapInPandas(meet_all, "a long, b long"), "links")
+    release(docs.sparkSession)
     final = found if more.isEmpty() else components(stars.union(more))
 
     whole = signed.select("doc", "n").join(copies, "doc", "left").withColumn("rep", F.coalesce("rep", "doc"))

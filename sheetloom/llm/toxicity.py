@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_sample, count_buckets, crc_mod
+from .common import bounded_sample, count_buckets, crc_mod, release
 
 BITS = 18
 FACTORS = 8
@@ -117,14 +117,16 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
 
     def features(frames):
         for frame in frames:
-            yield pd.DataFrame({"key": frame[key].astype(str), "y": frame["_y"], "buckets": [np.sort(term_buckets(t)).astype(np.int32) for t in frame[text]]})
+            yield pd.DataFrame({"key": frame[key].astype(str), "y": frame["_y"], "buckets": [np.sort(term_buckets(t)).astype("<i4").tobytes() for t in frame[text]]})
 
-    rows = with_text.mapInPandas(features, "key string, y int, buckets array<int>").toPandas()
+    rows = with_text.mapInPandas(features, "key string, y int, buckets binary").toPandas()  # as bytes: numbers would be an object each on the driver
+    release(docs.sparkSession)
     if rows["y"].nunique() < 2:
         return model
+    rows["buckets"] = [np.frombuffer(b, "<i4") for b in rows["buckets"]]
     rows = rows.assign(n=rows["buckets"].map(len)).sort_values(["key", "n"]).reset_index(drop=True)
     y = rows["y"].to_numpy(float)
-    buckets = [np.asarray(b, np.int64) for b in rows["buckets"]]
+    buckets = list(rows["buckets"])
     kept = np.array([zlib.crc32(k.encode()) % 7 == 0 for k in rows["key"]])
     learn(model, [b for b, k in zip(buckets, kept) if not k], y[~kept])
     if len(set(y[kept])) == 2:

@@ -115,6 +115,24 @@ def test_components_of_a_path(spark):
     assert components.components(edges.limit(0)).count() == 0
 
 
+def test_components_end_with_stars(spark, monkeypatch):
+    """No step only to see that nothing changes: edges are written once to begin with and once for the one step that a star takes."""
+    written, plain = [], components.stage
+    monkeypatch.setattr(components, "stage", lambda df, label: written.append(label) or plain(df, label))
+    star = spark.createDataFrame([(0, k) for k in range(1, 9)] + [(9, 10)], "a long, b long")
+    assert {r["node"]: r["component"] for r in components.components(star).collect()} == {**{k: 0 for k in range(1, 9)}, 10: 9}
+    assert len(written) == 2
+
+
+def test_features_reach_the_driver_as_bytes(spark, docs, monkeypatch):
+    """Not as arrays, of which each number would be an object there."""
+    fetched, plain = [], type(docs).toPandas
+    monkeypatch.setattr(type(docs), "toPandas", lambda self: fetched.append(dict(self.dtypes)) or plain(self))
+    labels = spark.createDataFrame([(k, k % 2) for k in range(1, 8)], "doc_id long, toxic int")
+    assert toxicity.fit(docs, labels).known and langid.fit(docs).labels == ["en"]
+    assert [f["buckets"] for f in fetched] == ["binary", "binary"] and fetched[1]["counts"] == "binary"
+
+
 def test_imatch(spark, docs, none):
     rows = imatch.fingerprint_edits(docs).collect()
     assert len(rows) == len(TEXTS)
