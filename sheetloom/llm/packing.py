@@ -22,6 +22,7 @@ import sys
 import types
 import zlib
 from array import array
+from bisect import bisect_right
 
 import numpy as np
 import pandas as pd
@@ -30,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..staging import stage
-from .common import count_buckets
+from .common import count_buckets, release
 from .components import components
 
 WINDOW = 2048
@@ -39,21 +40,25 @@ TERM_BITS = 18
 TREES = 3
 COORDINATES = 3
 SHARD_CHARS = 4_000_000
+BOUNDS_PER_SHARD, BOUNDS_ROWS = 64, 1 << 18  # rows of a sample that says where the shards of an order end; all rows go to them
 COMMON = 0.25
 K1, B = 1.2, 0.75
 _CACHED = 400_000
 _KNOWN, _KNOWN_BYTES = 1_000_000, 1 << 25  # pieces that a worker's table holds, and their bytes
-_CHUNK = 1 << 19  # characters whose words are looked up at once
+_SLOT_BITS, _PROBES = 21, 8  # slots by which the table finds a piece
+_CHUNK = 1 << 16  # characters whose words are looked up at once: what is made of them stays in a core's cache
 _ALONE = 1 << 22  # a longer text is tokenized by itself
-_CELLS = 1 << 20  # scores, or pairs of a seed and a posting, that are held at once
+_CELLS = 1 << 17  # scores, or pairs of a seed and a posting, that are held at once
+_FREQUENT = 20  # terms in more than this part of a shard's documents count as in many
+_DENSE = 1 << 22  # weights of terms in many documents that are held at once
 _BATCH = 64  # neighbours that are ranked at a time
 _BASE = 0x5851F42D4C957F2D
 _INVERSE = pow(_BASE, -1, 1 << 64)
-_IN_WORD = np.array([c >= 128 or c == 95 or chr(c).isalnum() for c in range(256)])
+_IN_WORD = bytes(c >= 128 or c == 95 or chr(c).isalnum() for c in range(256))
 _BLANK = re.compile(r" (?=\S)")
 _SPACE = np.array([c < 128 and chr(c).isspace() for c in range(256)])
-_ASCII_LETTER = np.array([c < 128 and chr(c).isalpha() for c in range(256)])
-_ASCII_OTHER = np.array([c < 128 and not chr(c).isalpha() for c in range(256)])
+_ASCII_LETTER = bytes(c < 128 and chr(c).isalpha() for c in range(256))
+_ASCII_OTHER = bytes(c < 128 and not chr(c).isalpha() for c in range(256))
 _MAYBE_SPACE = np.array([0xC285, 0xC2A0, 0xE19A, 0xE280, 0xE281, 0xE380])  # how all other white space begins in UTF-8
 
 
@@ -97,20 +102,44 @@ class Tokens:
         self.forget()
 
     def forget(self) -> None:
-        """Empty the table of pieces: their hashes in order, the place of each, and there its bytes and ids, all on end."""
-        self.known, self.place = np.empty(0, np.uint64), np.empty(0, np.int32)
+        """Empty the table of pieces: of each one its hash, and where its bytes and ids begin, all on end.
+
+        Arrays grow by doubling, so a new piece costs the same however many there are. ``slot`` finds a piece by the upper bits of
+        its hash, or in one of the next ``_PROBES`` slots.
+        """
+        self.many, self.slot = 0, np.full((1 << _SLOT_BITS) + _PROBES, -1, np.int32)
+        self.hash_at = np.zeros(1, np.uint64)
         self.bytes, self.ids = np.empty(0, np.uint8), np.empty(0, np.uint16)
         self.bytes_at, self.ids_at = np.zeros(1, np.int64), np.zeros(1, np.int64)
 
-    def learn(self, hashes: np.ndarray, pieces: list[bytes]) -> None:
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        """The places of hashes, -1 of unknown ones."""
+        slots = (hashes >> np.uint64(64 - _SLOT_BITS)).astype(np.int64)
+        places = self.slot[slots]
+        other = np.flatnonzero((places >= 0) & (self.hash_at[places] != hashes))
+        for k in range(1, _PROBES + 1):
+            if not len(other):
+                break
+            places[other] = -1 if k == _PROBES else self.slot[slots[other] + k]
+            other = other[(places[other] >= 0) & (self.hash_at[places[other]] != hashes[other])]
+        return places
+
+    def learn(self, hashes: np.ndarray, pieces: list[bytes]) -> np.ndarray:
+        """Add new pieces, with distinct hashes; their places."""
         ids = [self.whole(piece) for piece in pieces]
-        at = np.searchsorted(self.known, hashes)
-        self.known = np.insert(self.known, at, hashes)
-        self.place = np.insert(self.place, at, np.arange(len(ids), dtype=np.int32) + len(self.place))
-        self.bytes = np.concatenate((self.bytes, np.frombuffer(b"".join(pieces), np.uint8)))
-        self.ids = np.concatenate((self.ids, np.fromiter((i for x in ids for i in x), np.uint16)))
-        self.bytes_at = np.concatenate((self.bytes_at, self.bytes_at[-1] + np.cumsum([len(x) for x in pieces])))
-        self.ids_at = np.concatenate((self.ids_at, self.ids_at[-1] + np.cumsum([len(x) for x in ids])))
+        places = np.arange(self.many, self.many + len(ids), dtype=np.int32)
+        ends = self.bytes_at[self.many] + np.cumsum([len(x) for x in pieces]), self.ids_at[self.many] + np.cumsum([len(x) for x in ids])
+        self.hash_at = _put(self.hash_at, self.many, hashes)
+        self.bytes = _put(self.bytes, int(self.bytes_at[self.many]), np.frombuffer(b"".join(pieces), np.uint8))
+        self.ids = _put(self.ids, int(self.ids_at[self.many]), np.fromiter((i for x in ids for i in x), np.uint16))
+        self.bytes_at, self.ids_at = _put(self.bytes_at, self.many + 1, ends[0]), _put(self.ids_at, self.many + 1, ends[1])
+        self.many += len(ids)
+        slots, left = (hashes >> np.uint64(64 - _SLOT_BITS)).astype(np.int64), np.arange(len(ids))
+        for k in range(_PROBES):  # one without a free slot is learned again when it comes again
+            free = left[self.slot[slots[left] + k] < 0]
+            self.slot[slots[free] + k] = places[free]
+            left = left[self.slot[slots[left] + k] != places[left]]
+        return places
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
         """As ``encode``, with the pieces of many texts looked up at once."""
@@ -144,22 +173,20 @@ class Tokens:
         last[bounds[1:] - 1] = True
         begins = np.zeros(len(data) + 1, bool)
         begins[blanks[~(last[blanks] | _SPACE[after] | np.isin(after.astype(np.int64) << 8 | second, _MAYBE_SPACE))]] = True
-        begins[1:-1] |= _ASCII_LETTER[data[:-1]] & _ASCII_OTHER[data[1:]]
+        begins[1:-1] |= np.frombuffer(joined.translate(_ASCII_LETTER), bool)[:-1] & np.frombuffer(joined.translate(_ASCII_OTHER), bool)[1:]
         begins[bounds] = True
         starts = np.flatnonzero(begins[:-1])
         sizes = np.diff(starts, append=len(data))
         hashed = _hashes(data, starts, starts + sizes) + sizes.astype(np.uint64)
-        distinct, first, which = np.unique(hashed, return_index=True, return_inverse=True)
         for again in (False, True):
-            at = np.searchsorted(self.known, distinct)
-            new = np.ones(len(distinct), bool) if not len(self.known) else self.known[np.minimum(at, len(self.known) - 1)] != distinct
-            if again or len(self.known) + new.sum() <= _KNOWN and len(self.bytes) <= _KNOWN_BYTES:
+            places = self.find(hashed)
+            unknown = np.flatnonzero(places < 0)
+            new, first, which = np.unique(hashed[unknown], return_index=True, return_inverse=True)
+            if again or self.many + len(new) <= _KNOWN and self.bytes_at[self.many] <= _KNOWN_BYTES:
                 break
             self.forget()
-        if new.any():
-            self.learn(distinct[new], [joined[starts[k]:starts[k] + sizes[k]] for k in first[new]])
-            at = np.searchsorted(self.known, distinct)
-        places = self.place[at][which]
+        if len(new):
+            places[unknown] = self.learn(new, [joined[starts[k]:starts[k] + sizes[k]] for k in unknown[first]])[which]
         # Two pieces with one hash would show here; then every text is encoded by itself.
         held = self.bytes_at[places]
         if not (np.array_equal(self.bytes_at[places + 1] - held, sizes) and np.array_equal(self.bytes[np.repeat(held - starts, sizes) + np.arange(len(data))], data)):
@@ -187,6 +214,15 @@ class Tokens:
             return self.first(pieces[0]) + b"".join(map(self.cache.__getitem__, pieces[1:]))
 
 
+def _put(held: np.ndarray, at: int, more: np.ndarray) -> np.ndarray:
+    """``held`` with ``more`` from ``at`` on, in an array of twice the size if it has no room."""
+    if at + len(more) > len(held):
+        held = np.concatenate((held[:at], more, np.zeros(at + len(more), held.dtype)))
+    else:
+        held[at:at + len(more)] = more
+    return held
+
+
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """At least ``n`` powers of the hash's base, modulo 2^64, and their inverses."""
     held = _worker_wide("powers", dict)
@@ -210,7 +246,7 @@ def _hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarra
 def _words(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Where the words of lower-cased UTF-8 begin, and their buckets."""
     inside = np.zeros(len(data) + 2, bool)
-    inside[1:-1] = _IN_WORD[data]
+    inside[1:-1] = np.frombuffer(data.tobytes().translate(_IN_WORD), bool)
     edges = np.flatnonzero(inside[1:] != inside[:-1])
     if not len(edges):
         return edges, edges
@@ -292,7 +328,9 @@ class Postings:
         size = sizes if sizes is not None else np.bincount(owner, tf, len(terms))
         mean = max(mean if mean is not None else size.mean() if len(size) else 0, 1e-9)
         weight = idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * size[owner] / mean))
-        order = np.lexsort((owner, term))
+        # By term, in order of owners as they are: by its lower and upper 16 bits, which numpy sorts by their digits.
+        order = np.argsort((term & 0xFFFF).astype(np.uint16), kind="stable")
+        order = order[np.argsort((term[order] >> 16).astype(np.uint16), kind="stable")]
         self.owner, self.term, self.weight = owner[order], term[order], weight[order]
 
     def scores(self, wanted: np.ndarray) -> np.ndarray:
@@ -311,7 +349,7 @@ def best_neighbours(index: Postings, nodes: np.ndarray) -> tuple[np.ndarray, np.
     n = index.n
     heads = np.flatnonzero(np.diff(index.term, prepend=-1))
     df = np.diff(heads, append=len(index.term))
-    frequent = np.argsort(-df, kind="stable")[:min(max(1, 4 * _CELLS // max(n, 1)), int((20 * df > n).sum()))]
+    frequent = np.argsort(-df, kind="stable")[:min(max(1, _DENSE // max(n, 1)), int((_FREQUENT * df > n).sum()))]
     column = np.full(len(df), -1)
     column[frequent] = np.arange(len(frequent))
     group = np.repeat(np.arange(len(df)), df)
@@ -348,9 +386,23 @@ def pack_shard(lengths: np.ndarray, terms: list[np.ndarray], counts: list[np.nda
     windows = [[(d, k * window, window)] for d, n in enumerate(lengths) for k in range(n // window)]
     start, left = (lengths // window) * window, lengths % window
     index = Postings(terms, counts, idf, sizes, mean)
+    # The stretch of postings of each distinct term of a document, by document and term.
+    heads = np.flatnonzero(np.diff(index.term, prepend=-1))
+    stretch = np.repeat(np.arange(len(heads)), np.diff(heads, append=len(index.term)))
+    by_document = np.argsort(index.owner, kind="stable")
+    asking, stretch = index.owner[by_document], stretch[by_document]
+    once = np.append(True, (asking[1:] != asking[:-1]) | (stretch[1:] != stretch[:-1]))[:len(asking)]
+    asking, stretch = asking[once], stretch[once]
+    own = np.searchsorted(asking, np.arange(len(left) + 1))
+    owner, weight, heads, posted = index.owner, index.weight, np.append(heads, len(index.owner)), len(left)
     seeds = np.lexsort((np.arange(len(left)), -left))
     ahead = 0
     while True:
+        waits = left > 0
+        if 5 * waits.sum() < 4 * posted:  # what is used up leaves the postings
+            stays = waits[owner]
+            heads = np.concatenate(([0], np.cumsum(stays)))[heads]
+            owner, weight, posted = owner[stays], weight[stays], waits.sum()
         while ahead < len(seeds) and left[seeds[ahead]] == 0:
             ahead += 1
         if ahead == len(seeds):
@@ -360,7 +412,12 @@ def pack_shard(lengths: np.ndarray, terms: list[np.ndarray], counts: list[np.nda
         left[seed] = 0
         near = np.empty(0, np.int64)
         if space and len(terms[seed]):
-            score = index.scores(np.unique(terms[seed]))
+            asked = stretch[own[seed]:own[seed + 1]]
+            lo = heads[asked]
+            many = heads[asked + 1] - lo
+            ends = np.cumsum(many)
+            at = np.repeat(lo - ends + many, many) + np.arange(ends[-1])
+            score = np.bincount(owner[at], weight[at], len(left))
             near = np.flatnonzero((score > 0) & (left > 0))
         ranked = near
         # Neighbours from the best on, a batch at a time: whole ones while they fit, or one of the batch to be cut.
@@ -373,10 +430,10 @@ def pack_shard(lengths: np.ndarray, terms: list[np.ndarray], counts: list[np.nda
                 batch = batch[np.lexsort((batch, -left[batch], -score[batch]))]
             else:
                 batch, near = near[best_first], near[:0]
-            for best in batch:
-                if left[best] <= space:
-                    content.append((int(best), int(start[best]), int(left[best])))
-                    space -= int(left[best])
+            for best, size in zip(batch.tolist(), left[batch].tolist()):
+                if size <= space:
+                    content.append((best, int(start[best]), size))
+                    space -= size
                     left[best] = 0
                     if not space:
                         break
@@ -431,6 +488,28 @@ def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int =
         for doc, content, (mine, _, _) in zip(frame["doc"], frame["content"], bag):
             yield coordinates(mine, lots) >> TERM_BITS * (COORDINATES - 2) << 27 | zlib.crc32(content.encode("utf-8", "surrogatepass"), zlib.crc32(str(doc).encode())) >> 5
 
+    def spots(frames):
+        """The places of rows in all orders, as numbers side by side: key, node."""
+        lots = [lots_of(idf, t) for t in range(TREES)]
+        for frame in frames:
+            bag = list(described(frame))
+            found = [(*(coordinates(mine, lot) for lot in lots), node) for node, (mine, _, _) in zip(nodes_of(frame, bag, lots[0]), bag) if len(mine)]
+            yield pd.DataFrame({"spots": [np.array(found, "<i8").tobytes()]})
+
+    def ends_of_shards():
+        """``(key, node)`` at which the next shard of an order begins, for each order. They come from a sample, as Spark's own ranges do, but
+        of rows that are not made into postings."""
+        share = min(BOUNDS_PER_SHARD * shards, BOUNDS_ROWS) / n
+        some = rows.select("doc", "content")
+        held = (some.sample(share, seed=7) if share < 1 else some).mapInPandas(spots, "spots binary").collect()
+        found = np.concatenate([np.frombuffer(r["spots"], "<i8").reshape(-1, TREES + 1) for r in held] or [np.empty((0, TREES + 1), np.int64)])
+        ends = []
+        for t in range(TREES):
+            order = np.lexsort((found[:, TREES], found[:, t]))
+            at = order[len(order) * np.arange(1, shards) // shards] if len(order) else order
+            ends.append(list(zip(found[at, t].tolist(), found[at, TREES].tolist())))
+        return ends
+
     def post(frames):
         lots = [lots_of(idf, t) for t in range(TREES)]
         for frame in frames:
@@ -438,48 +517,52 @@ def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int =
             for row, content, node, (mine, times, words) in zip(frame["row"], frame["content"], nodes_of(frame, bag, lots[0]), bag):
                 if len(mine):
                     held = flat(mine, times)
-                    out += [(t, coordinates(mine, lots[t]), node, row, len(content), *held, words) for t in range(TREES)]
-            yield pd.DataFrame(out, columns=["tree", "key", "node", "row", "chars", "terms", "times", "words"])
+                    for t in range(TREES):
+                        key = coordinates(mine, lots[t])
+                        out.append((t * shards + bisect_right(ends[t], (key, node)), key, node, row, len(content), *held, words))
+            yield pd.DataFrame(out, columns=["part", "key", "node", "row", "chars", "terms", "times", "words"])
 
     def name(frames):
         lots = lots_of(idf, 0)
         for frame in frames:
             yield frame[["row", "doc", "content"]].assign(node=list(nodes_of(frame, list(described(frame)), lots)))
 
-    def best_of(tree, held):
+    def best_of(part, held):
         nodes = np.array([r[0] for r in held], np.int64)
         terms, times = zip(*(unflat(r[3], r[4]) for r in held))
         best, score = best_neighbours(Postings(terms, times, idf, np.array([r[5] for r in held]), mean), nodes)
         found = pd.DataFrame({"node": nodes, "best": nodes[best], "score": score, "row": np.array([r[1] for r in held], np.int64)})
-        return found if tree == 0 else found[score > 0].assign(row=None)
+        return found if part < shards else found[score > 0].assign(row=None)
 
     def search(frames):
-        tree, filled, held = None, 0, []
+        part, filled, held = None, 0, []
         for frame in frames:
-            for t, node, row, size, terms, times, words in zip(frame["tree"], frame["node"], frame["row"], frame["chars"], frame["terms"], frame["times"], frame["words"]):
-                if held and (t != tree or filled + size > most):
-                    yield best_of(tree, held)
+            for p, node, row, size, terms, times, words in zip(frame["part"], frame["node"], frame["row"], frame["chars"], frame["terms"], frame["times"], frame["words"]):
+                if held and (p != part or filled + size > most):
+                    yield best_of(part, held)
                     filled, held = 0, []
-                tree, filled = t, filled + size
+                part, filled = p, filled + size
                 held.append((node, row, size, terms, times, words))
         if held:
-            yield best_of(tree, held)
+            yield best_of(part, held)
 
     most = 3 * shard_chars // 2
 
     def groups():
-        """``(row, node, place, within)``: documents and their best neighbours, of all trees, share the place of the first of them. A range of
+        """``(row, node, place, within, part)``: documents and their best neighbours, of all trees, share the place of the first of them. A range of
         places ends inside a group, by ``within``, only if the group has about half of a shard's documents or more. Rows without terms are not there."""
-        posted = rows.mapInPandas(post, "tree int, key long, node long, row long, chars long, terms binary, times binary, words long")
-        ranges = posted.repartitionByRange(TREES * shards, "tree", "key", "node").sortWithinPartitions("tree", "key", "node")
-        found = stage(ranges.mapInPandas(search, "node long, best long, score double, row long"), "neighbours")
+        posted = rows.mapInPandas(post, "part long, key long, node long, row long, chars long, terms binary, times binary, words long")
+        parted = posted.repartition(TREES * shards, "part").sortWithinPartitions("part", "key", "node")
+        found = stage(parted.mapInPandas(search, "node long, best long, score double, row long"), "neighbours")
+        release(docs.sparkSession)
         nearest = found.filter("score > 0").groupBy("node").agg(F.max_by("best", F.struct("score", "best")).alias("best"))
         linked = components(nearest.select(F.col("node").alias("a"), F.col("best").alias("b"))).select("node", F.col("component").alias("place"))
         whole = linked.union(linked.select(F.col("place").alias("node"), "place").distinct())
         large = whole.groupBy("place").agg((F.count("*") * F.lit(2 * chars / n) > shard_chars).alias("large"))
         grouped = whole.join(large, "place").select("node", "place", F.when(F.col("large"), F.col("node")).otherwise(0).alias("within"))
         known = found.filter("row is not null").groupBy("row").agg(F.min("node").alias("node"))
-        return stage(known.join(grouped, "node", "left"), "places")
+        placed = known.join(grouped, "node", "left").select("row", "node", F.coalesce("place", "node").alias("place"), F.coalesce("within", "node").alias("within"))
+        return stage(placed.repartitionByRange(shards, "place", "within").withColumn("part", F.spark_partition_id()), "places")
 
     def pieces(shard, held):
         ids = [np.append(np.frombuffer(r[1], np.uint16), np.uint16(end_id)) for r in held]
@@ -517,12 +600,14 @@ def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int =
             yield pieces(shard, held + group)
 
     # Texts are tokenized where they are packed: shuffled twice, they are smaller than their ids and terms.
+    # Ranges are made of their places alone; rows without terms are dealt to them by their hash.
     if shards > 1:
-        places = rows.join(groups(), "row", "left")
+        ends = ends_of_shards()
+        places = rows.join(groups(), "row", "left").withColumn("part", F.coalesce("part", F.pmod("row", F.lit(shards)).cast("int")))
     else:
-        places = rows.mapInPandas(name, "row long, doc long, content string, node long").withColumn("place", F.lit(0).cast("long")).withColumn("within", F.lit(0).cast("long"))
+        places = rows.mapInPandas(name, "row long, doc long, content string, node long").withColumns({"place": F.lit(0).cast("long"), "part": F.lit(0)})
     node = F.coalesce("node", F.pmod("row", F.lit(1 << 27)))
-    placed = places.select("doc", "content", node.alias("node"), F.coalesce("place", node).alias("place"), F.coalesce("within", node).alias("within"))
-    by_shard = placed.repartitionByRange(shards, "place", "within").sortWithinPartitions("place", "node", "doc")
+    placed = places.select("part", "doc", "content", node.alias("node"), F.coalesce("place", node).alias("place"))
+    by_shard = placed.repartition(shards, "part").sortWithinPartitions("part", "place", "node", "doc")
     packed = by_shard.mapInPandas(pack_all, "doc long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids binary")
     return packed.withColumnRenamed("doc", key)

@@ -246,6 +246,13 @@ def test_texts_are_shuffled_without_ids_and_terms(spark, tmp_path):
     assert "content" in below and "ids" not in below and "MapInPandas" not in below
 
 
+def test_ranges_need_no_texts(spark, tmp_path):
+    """Spark makes ranges in a run of its own of all that goes to them; texts go by a number that was made from places alone."""
+    frame = spark.createDataFrame([(k, f"alpha beta{k % 7} gamma{k % 5} delta{k}") for k in range(200)], "doc_id long, text string")
+    plan = packing.pack(frame, shard_chars=1000)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("RepartitionByExpression [part#") == 1 == plan.count("RepartitionByExpression")
+
+
 def test_terms_take_little_room():
     terms, times = np.array([0, 5, 65535, 65536, 200_000, (1 << packing.TERM_BITS) - 1]), np.array([1, 2, 300, 65535, 1, 1], np.uint16)
     for k in (0, 1, 6):
@@ -288,6 +295,23 @@ def test_texts_are_tokenized_at_once(monkeypatch):
     assert ids() == right
 
 
+def test_pieces_without_a_slot(monkeypatch):
+    """Few slots and few tries: pieces that find none are encoded all the same, and known ones are not learned again."""
+    import public_tokenizers
+
+    path = public_tokenizers.path
+    make = lambda: packing.Tokens(path("byte_bpe_50k.json"), path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    texts = [" ".join(f"word{k} x{k * k}" for k in range(a, a + 60)) for a in (0, 30, 60)]
+    own = make()
+    right = own.encode_all(texts)
+    many, held = own.many, own.bytes
+    assert own.encode_all(texts) == right == [own.encode(t) for t in texts] and own.many == many and own.bytes is held
+    monkeypatch.setattr(packing, "_SLOT_BITS", 5)
+    monkeypatch.setattr(packing, "_PROBES", 2)
+    few = make()
+    assert few.encode_all(texts) == right and few.encode_all(texts) == right
+
+
 @pytest.mark.parametrize("text", ["", " ", "  a  b ", "a \n\n b\t c", "x\u00a0y  z", "don't  stop'll", "<|endoftext|> a", "Äé ß 12345 !!! \u3000 end ", "a " * 50 + "\x1c b", "\U0001F600 ok"])
 def test_tokens_are_those_of_the_library(text):
     import public_tokenizers
