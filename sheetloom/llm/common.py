@@ -36,9 +36,9 @@ def texts_of(frames: Iterator[pd.DataFrame], column: str) -> Iterator[str]:
             yield text or ""
 
 
-def count_buckets(df: DataFrame, column: str, buckets: Callable[[str], np.ndarray | tuple], size: int) -> np.ndarray:
+def count_buckets(df: DataFrame, column: str, buckets: Callable, size: int, streamed: bool = False) -> np.ndarray:
     """In how many texts each of ``size`` buckets occurs; ``buckets`` gives a text's distinct ones,
-    or these and what to add to each instead of one.
+    or these and what to add to each instead of one. If ``streamed``, it gets all texts of a task and yields what it gives for each.
 
     Each task adds up a vector of fixed size over all its rows. The vectors go out in
     chunks and are added up chunk by chunk, so one task holds a few chunks, however many
@@ -46,8 +46,8 @@ def count_buckets(df: DataFrame, column: str, buckets: Callable[[str], np.ndarra
     """
     def count(frames):
         seen = np.zeros(size, np.int64)
-        for text in texts_of(frames, column):
-            found = buckets(text)
+        texts = texts_of(frames, column)
+        for found in buckets(texts) if streamed else map(buckets, texts):
             found, more = found if isinstance(found, tuple) else (found, 1)
             seen[found] += more
         for start in range(0, size, CHUNK):

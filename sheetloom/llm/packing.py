@@ -23,6 +23,7 @@ import types
 import zlib
 from array import array
 from bisect import bisect_right
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -41,6 +42,7 @@ TREES = 3
 COORDINATES = 3
 SHARD_CHARS = 4_000_000
 BOUNDS_PER_SHARD, BOUNDS_ROWS = 64, 1 << 18  # rows of a sample that says where the shards of an order end; all rows go to them
+SHARDS_PER_TASK = 2  # a task takes some time to begin, whatever it does; shards are gone through one after the other
 COMMON = 0.25
 K1, B = 1.2, 0.75
 _CACHED = 400_000
@@ -50,6 +52,8 @@ _CHUNK = 1 << 16  # characters whose words are looked up at once: what is made o
 _ALONE = 1 << 22  # a longer text is tokenized by itself
 _CELLS = 1 << 17  # scores, or pairs of a seed and a posting, that are held at once
 _FREQUENT = 20  # terms in more than this part of a shard's documents count as in many
+_SQUARE, _PAIRS = 1 << 21, 1 << 17  # scores that are made of all documents at once, and pairs of postings that go to them together
+_ROWS = 256  # documents that are tokenized, or scored against all of a shard, at once
 _DENSE = 1 << 22  # weights of terms in many documents that are held at once
 _BATCH = 64  # neighbours that are ranked at a time
 _BASE = 0x5851F42D4C957F2D
@@ -86,6 +90,8 @@ class Tokens:
         self.full = None
         encoding = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
         encode, encode_word = encoding.encode_ordinary, encoding._encode_single_piece
+        lines = tiktoken.Encoding("lines", pat_str=r"\n|[^\n]+", mergeable_ranks=ranks, special_tokens={})
+        self.lines, self.line_end = lines.encode_ordinary, ranks[b"\n"]
 
         class Cache(dict):
             def __missing__(self, piece):
@@ -126,20 +132,31 @@ class Tokens:
 
     def learn(self, hashes: np.ndarray, pieces: list[bytes]) -> np.ndarray:
         """Add new pieces, with distinct hashes; their places."""
-        ids = [self.whole(piece) for piece in pieces]
-        places = np.arange(self.many, self.many + len(ids), dtype=np.int32)
-        ends = self.bytes_at[self.many] + np.cumsum([len(x) for x in pieces]), self.ids_at[self.many] + np.cumsum([len(x) for x in ids])
+        # A piece of a blank and letters is not split any more, so such ones are encoded together, a line each; after all others.
+        words = [piece.decode() for piece in pieces]
+        alone = np.array([not (word[1:] if word[:1] == " " else word).isalpha() for word in words], bool)
+        order = np.argsort(~alone, kind="stable")
+        hashes, pieces = hashes[order], [pieces[k] for k in order.tolist()]
+        ids = [self.whole(piece) for piece in pieces[:alone.sum()]]
+        together = np.array(self.lines("\n".join([words[k] for k in order[len(ids):].tolist()])), np.uint16)
+        stops = np.append(np.flatnonzero(together == self.line_end), len(together))[:len(order) - len(ids)]
+        many = np.append(np.array([len(x) for x in ids], np.int64), np.diff(stops, prepend=-1) - 1)
+        ids = np.append(np.fromiter((i for x in ids for i in x), np.uint16), together[together != self.line_end])
+        places = np.arange(self.many, self.many + len(many), dtype=np.int32)
+        ends = self.bytes_at[self.many] + np.cumsum([len(x) for x in pieces]), self.ids_at[self.many] + np.cumsum(many)
         self.hash_at = _put(self.hash_at, self.many, hashes)
         self.bytes = _put(self.bytes, int(self.bytes_at[self.many]), np.frombuffer(b"".join(pieces), np.uint8))
-        self.ids = _put(self.ids, int(self.ids_at[self.many]), np.fromiter((i for x in ids for i in x), np.uint16))
+        self.ids = _put(self.ids, int(self.ids_at[self.many]), ids)
         self.bytes_at, self.ids_at = _put(self.bytes_at, self.many + 1, ends[0]), _put(self.ids_at, self.many + 1, ends[1])
-        self.many += len(ids)
-        slots, left = (hashes >> np.uint64(64 - _SLOT_BITS)).astype(np.int64), np.arange(len(ids))
+        self.many += len(many)
+        slots, left = (hashes >> np.uint64(64 - _SLOT_BITS)).astype(np.int64), np.arange(len(many))
         for k in range(_PROBES):  # one without a free slot is learned again when it comes again
             free = left[self.slot[slots[left] + k] < 0]
             self.slot[slots[free] + k] = places[free]
             left = left[self.slot[slots[left] + k] != places[left]]
-        return places
+        placed = np.empty(len(many), np.int32)
+        placed[order] = places
+        return placed
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
         """As ``encode``, with the pieces of many texts looked up at once."""
@@ -262,6 +279,25 @@ def term_hashes(text: str | None) -> np.ndarray:
     return _words(np.frombuffer((text or "").lower().encode("utf-8", "surrogatepass"), np.uint8))[1]
 
 
+def words_of(texts: Iterable[str]) -> Iterator[tuple[str, np.ndarray]]:
+    """Each text and its ``term_hashes``, found for many texts at once."""
+    def of(waiting):
+        raw = [t.lower().encode("utf-8", "surrogatepass") for t in waiting]
+        starts, found = _words(np.frombuffer(b"\n".join(raw), np.uint8))
+        cuts = np.searchsorted(starts, np.cumsum([0] + [len(x) + 1 for x in raw])).tolist()
+        return zip(waiting, (found[a:b] for a, b in zip(cuts[:-1], cuts[1:])))
+
+    waiting, chars = [], 0
+    for text in texts:
+        waiting.append(text)
+        chars += len(text)
+        if chars > _CHUNK:
+            yield from of(waiting)
+            waiting, chars = [], 0
+    if waiting:
+        yield from of(waiting)
+
+
 def _chunk_bags(texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
     raw = [t.lower().encode("utf-8", "surrogatepass") for t in texts]
     starts, found = _words(np.frombuffer(b"\n".join(raw), np.uint8))
@@ -284,16 +320,38 @@ def bags(texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
     return out + _chunk_bags(waiting) if waiting else out
 
 
+def flat_all(terms: list[np.ndarray], times: list[np.ndarray]) -> tuple[list[bytes], list[bytes]]:
+    """Distinct terms of each text, in order, as the numbers of each of their upper parts and their lower 16 bits; times as their lower bytes, then the upper ones."""
+    if not terms:
+        return [], []
+    parts, cuts = 1 << TERM_BITS - 16, np.cumsum([0] + [len(t) for t in terms])
+    term, time = np.concatenate(terms), np.concatenate(times).astype("<u2")
+    upper = np.bincount(np.repeat(np.arange(len(terms)) * parts, np.diff(cuts)) + (term >> 16), minlength=parts * len(terms)).astype("<u4").tobytes()
+    lower, low, high = term.astype("<u2").tobytes(), time.astype(np.uint8).tobytes(), (time >> 8).astype(np.uint8).tobytes()
+    cuts, size = cuts.tolist(), 4 * parts
+    spans = list(enumerate(zip(cuts[:-1], cuts[1:])))
+    return [upper[k * size:(k + 1) * size] + lower[2 * a:2 * b] for k, (a, b) in spans], [low[a:b] + high[a:b] for _, (a, b) in spans]
+
+
+def unflat_all(terms: list[bytes], times: list[bytes]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    parts = 1 << TERM_BITS - 16
+    sizes = [len(t) // 2 for t in times]
+    upper = np.repeat(np.tile(np.arange(parts) << 16, len(terms)), np.frombuffer(b"".join([t[:4 * parts] for t in terms]), "<u4"))
+    term = upper | np.frombuffer(b"".join([t[4 * parts:] for t in terms]), "<u2")
+    low, high = (np.frombuffer(b"".join(x), np.uint8) for x in zip(*((t[:k], t[k:]) for t, k in zip(times, sizes))))
+    time, cuts = low | high.astype(np.uint16) << 8, np.cumsum([0] + sizes).tolist()
+    spans = list(zip(cuts[:-1], cuts[1:]))
+    return [term[a:b] for a, b in spans], [time[a:b] for a, b in spans]
+
+
 def flat(terms: np.ndarray, times: np.ndarray) -> tuple[bytes, bytes]:
-    """Distinct terms in order as the numbers of each of their upper parts and their lower 16 bits; times as their lower bytes, then the upper ones."""
-    upper = np.bincount(terms >> 16, minlength=1 << TERM_BITS - 16).astype("<u4")
-    return upper.tobytes() + terms.astype("<u2").tobytes(), times.astype("<u2").view(np.uint8).reshape(-1, 2).T.tobytes()
+    held = flat_all([terms], [times])
+    return held[0][0], held[1][0]
 
 
 def unflat(terms: bytes, times: bytes) -> tuple[np.ndarray, np.ndarray]:
-    parts = 1 << TERM_BITS - 16
-    upper = np.repeat(np.arange(parts) << 16, np.frombuffer(terms, "<u4", parts))
-    return upper | np.frombuffer(terms, "<u2", offset=4 * parts), np.frombuffer(times, np.uint8).reshape(2, -1).T.copy().view("<u2").ravel()
+    held = unflat_all([terms], [times])
+    return held[0][0], held[1][0]
 
 
 def lots_of(idf: np.ndarray, tree: int) -> np.ndarray:
@@ -304,17 +362,21 @@ def lots_of(idf: np.ndarray, tree: int) -> np.ndarray:
     return np.where(idf > 0, -np.log(even) / np.maximum(idf, 1e-9) ** 2, np.inf)
 
 
-def coordinates(found: np.ndarray, lots: np.ndarray) -> int:
-    """The ``COORDINATES`` terms with the least lots, as one number: documents in its order stand beside those they share most of them with."""
-    mine = lots[found]
-    if len(found) > 4 * COORDINATES:
-        few = np.flatnonzero(mine <= np.partition(mine, COORDINATES - 1)[COORDINATES - 1])
-        found, mine = found[few], mine[few]
-    least = found[np.argsort(mine, kind="stable")[:COORDINATES]] if len(found) else found
-    key = 0
-    for k in range(COORDINATES):
-        key = key << TERM_BITS | (int(least[k]) if k < len(least) else 0)
-    return key
+def coordinates(terms: list[np.ndarray], lots: np.ndarray) -> list[int]:
+    """The ``COORDINATES`` terms of each text with the least lots, as one number: documents in its order stand beside those they share most of them with."""
+    sizes = np.array([len(t) for t in terms], np.int64)
+    keys, some = np.zeros(len(terms), np.int64), np.flatnonzero(sizes)
+    if not len(some):
+        return keys.tolist()
+    found, sizes = np.concatenate(terms), sizes[some]
+    mine, starts, owner = lots[found], np.cumsum(sizes) - sizes, np.repeat(np.arange(len(some)), sizes)
+    for _ in range(COORDINATES):
+        least = np.minimum.reduceat(mine, starts)
+        at = np.flatnonzero(mine == np.repeat(least, sizes))
+        at = at[np.diff(owner[at], prepend=-1) > 0]  # the first of equal ones
+        keys[some] = keys[some] << TERM_BITS | np.where(np.isinf(least), 0, found[at])
+        mine[at] = np.inf
+    return keys.tolist()
 
 
 class Postings:
@@ -327,11 +389,18 @@ class Postings:
         tf = np.concatenate(counts).astype(float) if counts else np.empty(0)
         size = sizes if sizes is not None else np.bincount(owner, tf, len(terms))
         mean = max(mean if mean is not None else size.mean() if len(size) else 0, 1e-9)
-        weight = idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * size[owner] / mean))
-        # By term, in order of owners as they are: by its lower and upper 16 bits, which numpy sorts by their digits.
-        order = np.argsort((term & 0xFFFF).astype(np.uint16), kind="stable")
-        order = order[np.argsort((term[order] >> 16).astype(np.uint16), kind="stable")]
-        self.owner, self.term, self.weight = owner[order], term[order], weight[order]
+        weight = idf[term] * tf * (K1 + 1) / (tf + np.repeat(K1 * (1 - B + B * size / mean), [len(t) for t in terms]))
+        # By term, in order of owners as they are: term and position as one number, as numpy sorts numbers faster than it finds their order.
+        both = term.astype(np.int64) << 32 | np.arange(len(term))
+        both.sort()
+        order = both & 0xFFFFFFFF
+        self.owner, self.term, self.weight = owner[order], both >> 32, weight[order]
+        self.heads = np.flatnonzero(np.diff(self.term, prepend=-1))  # where each distinct term begins
+        self.df = np.diff(self.heads, append=len(self.term))
+
+    def frequent(self, cells: int) -> np.ndarray:
+        """The distinct terms in many documents, as many as have room in so many cells."""
+        return np.argsort(-self.df, kind="stable")[:min(max(1, cells // max(self.n, 1)), int((_FREQUENT * self.df > self.n).sum()))]
 
     def scores(self, wanted: np.ndarray) -> np.ndarray:
         """Of all documents for these distinct terms."""
@@ -341,28 +410,67 @@ class Postings:
         return np.bincount(self.owner[at], self.weight[at], self.n)
 
 
+def square_scores(index: Postings, which: np.ndarray) -> np.ndarray:
+    """Scores of all documents for all, by these of the distinct terms: those in equally many documents form a table, whose rows are paired with themselves."""
+    n, filled = index.n, 0
+    score, cells, weights = np.zeros(n * n), np.empty(_PAIRS, np.int64), np.empty(_PAIRS)
+    which = which[index.df[which] > 1]  # a term of one document meets no other
+    which = which[np.argsort(index.df[which], kind="stable")]
+    df = index.df[which]
+    lo = 0
+    for hi in np.append(np.flatnonzero(np.diff(df)) + 1, len(df)).tolist():
+        while lo < hi:
+            many = int(df[lo])
+            if filled + many * many > _PAIRS:
+                np.add.at(score, cells[:filled], weights[:filled])
+                filled = 0
+            to = min(hi, lo + (_PAIRS - filled) // (many * many))
+            at = index.heads[which[lo:to]] + np.arange(many)[:, None]
+            part, shape = slice(filled, filled + many * at.size), (many, many, to - lo)
+            if to - lo < many:  # the longest side last, as it is gone along in one go
+                at, shape = at.T, (to - lo, many, many)
+            owner, weight = index.owner[at], index.weight[at]
+            a, b = (owner[:, None], owner[None]) if to - lo >= many else (owner[:, :, None], owner[:, None])
+            np.add(a * n, b, out=cells[part].reshape(shape))
+            weights[part].reshape(shape)[:] = weight[None] if to - lo >= many else weight[:, None]
+            filled, lo = part.stop, to
+    np.add.at(score, cells[:filled], weights[:filled])
+    return score.reshape(n, n)
+
+
 def best_neighbours(index: Postings, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """For each document the one with the best score for its terms and another node, and that score, 0 if there is none.
 
-    Terms in many documents are scored as a matrix of bounded size, all others by their pairs of postings.
+    Terms in many documents are scored as a matrix of bounded size, all others by their pairs of postings: of all documents at once
+    where there are few, else of some after the others.
     """
-    n = index.n
-    heads = np.flatnonzero(np.diff(index.term, prepend=-1))
-    df = np.diff(heads, append=len(index.term))
-    frequent = np.argsort(-df, kind="stable")[:min(max(1, _DENSE // max(n, 1)), int((_FREQUENT * df > n).sum()))]
+    n, heads, df = index.n, index.heads, index.df
+    frequent = index.frequent(_DENSE)
     column = np.full(len(df), -1)
     column[frequent] = np.arange(len(frequent))
     group = np.repeat(np.arange(len(df)), df)
-    dense = column[group] >= 0
+    dense = np.flatnonzero(column[group] >= 0)
     weights = np.zeros((n, len(frequent)), np.float32)
     weights[index.owner[dense], column[group[dense]]] = index.weight[dense]
     asked = (weights > 0).astype(np.float32)
-    rest = np.flatnonzero(~dense)
+    best, top = np.zeros(n, np.int64), np.zeros(n)
+
+    def settle(lo, hi, score):
+        score += asked[lo:hi] @ weights.T
+        score[nodes[lo:hi, None] == nodes] = 0
+        best[lo:hi] = score.argmax(axis=1)
+        top[lo:hi] = score[np.arange(hi - lo), best[lo:hi]]
+
+    if n * n <= _SQUARE and index.df[column < 0].max(initial=0) ** 2 <= _PAIRS:
+        score = square_scores(index, np.flatnonzero(column < 0))
+        for lo in range(0, n, _ROWS):
+            settle(lo, min(n, lo + _ROWS), score[lo:lo + _ROWS])
+        return best, top
+    rest = np.flatnonzero((column[group] < 0) & (df[group] > 1))
     rest = rest[np.argsort(index.owner[rest], kind="stable")]
     seeds, many, heads = index.owner[rest], df[group[rest]], heads[group[rest]]
     first = np.searchsorted(seeds, np.arange(n + 1))
     pairs = np.concatenate(([0], np.cumsum(many)))[first]
-    best, top = np.zeros(n, np.int64), np.zeros(n)
     lo = 0
     while lo < n:
         hi = max(lo + 1, min(n, lo + _CELLS // n, int(np.searchsorted(pairs, pairs[lo] + _CELLS, "right")) - 1))
@@ -372,29 +480,40 @@ def best_neighbours(index: Postings, nodes: np.ndarray) -> tuple[np.ndarray, np.
         at = np.repeat(heads[part] - ends + many[part], many[part]) + np.arange(total)
         cell = np.repeat((seeds[part] - lo) * n, many[part]) + index.owner[at]
         score = np.bincount(cell, index.weight[at], (hi - lo) * n).reshape(hi - lo, n).astype(float, copy=False)  # without pairs: whole numbers
-        score += asked[lo:hi] @ weights.T
-        score[nodes[lo:hi, None] == nodes] = 0
-        best[lo:hi] = score.argmax(axis=1)
-        top[lo:hi] = score[np.arange(hi - lo), best[lo:hi]]
+        settle(lo, hi, score)
         lo = hi
     return best, top
 
 
+def _by_owner(owner: np.ndarray, what: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Where each owner's distinct ``what`` begin, and they, in order."""
+    both = np.sort(owner << 32 | what)
+    both = both[np.append(True, both[1:] != both[:-1])[:len(both)]]
+    return np.searchsorted(both, np.arange(n + 1) << 32), both & 0xFFFFFFFF
+
+
 def pack_shard(lengths: np.ndarray, terms: list[np.ndarray], counts: list[np.ndarray], idf: np.ndarray, window: int = WINDOW, sizes: np.ndarray | None = None, mean: float | None = None) -> list[list[tuple[int, int, int]]]:
     """Windows of ``(document, start, length)``; documents by position. ``sizes`` are their numbers of words and ``mean``
     that of all documents; else those of the terms given."""
     windows = [[(d, k * window, window)] for d, n in enumerate(lengths) for k in range(n // window)]
     start, left = (lengths // window) * window, lengths % window
     index = Postings(terms, counts, idf, sizes, mean)
-    # The stretch of postings of each distinct term of a document, by document and term.
-    heads = np.flatnonzero(np.diff(index.term, prepend=-1))
-    stretch = np.repeat(np.arange(len(heads)), np.diff(heads, append=len(index.term)))
-    by_document = np.argsort(index.owner, kind="stable")
-    asking, stretch = index.owner[by_document], stretch[by_document]
-    once = np.append(True, (asking[1:] != asking[:-1]) | (stretch[1:] != stretch[:-1]))[:len(asking)]
-    asking, stretch = asking[once], stretch[once]
-    own = np.searchsorted(asking, np.arange(len(left) + 1))
-    owner, weight, heads, posted = index.owner, index.weight, np.append(heads, len(index.owner)), len(left)
+    # Terms in many documents have a row of weights each, all others a stretch of postings; both are listed for each document, by term.
+    # What no other document holds is left out.
+    frequent = np.sort(index.frequent(_DENSE // 2))
+    column = np.full(len(index.df), -1)
+    column[frequent] = np.arange(len(frequent))
+    group = np.repeat(np.arange(len(index.df)), index.df)
+    rows, posting = np.zeros((len(frequent), index.n)), column[group]
+    dense, sparse = np.flatnonzero(posting >= 0), np.flatnonzero((posting < 0) & (index.df[group] > 1))
+    np.add.at(rows, (posting[dense], index.owner[dense]), index.weight[dense])
+    kept = np.flatnonzero((column < 0) & (index.df > 1))
+    rank = np.zeros(len(index.df), np.int64)
+    rank[kept] = np.arange(len(kept))
+    own_rows, row = _by_owner(index.owner[dense], posting[dense], index.n)
+    own, stretch = _by_owner(index.owner[sparse], rank[group[sparse]], index.n)
+    owner, weight, posted, columns = index.owner[sparse], index.weight[sparse], len(left), np.arange(index.n)
+    heads = np.concatenate(([0], np.cumsum(index.df[kept])))
     seeds = np.lexsort((np.arange(len(left)), -left))
     ahead = 0
     while True:
@@ -403,6 +522,7 @@ def pack_shard(lengths: np.ndarray, terms: list[np.ndarray], counts: list[np.nda
             stays = waits[owner]
             heads = np.concatenate(([0], np.cumsum(stays)))[heads]
             owner, weight, posted = owner[stays], weight[stays], waits.sum()
+            rows, columns = rows[:, waits[columns]], columns[waits[columns]]
         while ahead < len(seeds) and left[seeds[ahead]] == 0:
             ahead += 1
         if ahead == len(seeds):
@@ -416,8 +536,9 @@ def pack_shard(lengths: np.ndarray, terms: list[np.ndarray], counts: list[np.nda
             lo = heads[asked]
             many = heads[asked + 1] - lo
             ends = np.cumsum(many)
-            at = np.repeat(lo - ends + many, many) + np.arange(ends[-1])
-            score = np.bincount(owner[at], weight[at], len(left))
+            at = np.repeat(lo - ends + many, many) + np.arange(many.sum())
+            score = np.bincount(owner[at], weight[at], len(left)).astype(float, copy=False)  # without pairs: whole numbers
+            score[columns] += rows[row[own_rows[seed]:own_rows[seed + 1]]].sum(axis=0)
             near = np.flatnonzero((score > 0) & (left > 0))
         ranked = near
         # Neighbours from the best on, a batch at a time: whole ones while they fit, or one of the batch to be cut.
@@ -467,11 +588,11 @@ def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int =
     rows = rows.withColumn("row", F.xxhash64("doc", "content"))
     terms_size = 1 << TERM_BITS
 
-    def statistics(content):
-        found = term_hashes(content)
-        return np.append(found, [terms_size, terms_size + 1, terms_size + 2]), np.append(np.ones(len(found), np.int64), [len(content) + 1, 1, len(found)])
+    def statistics(texts):
+        for content, found in words_of(texts):
+            yield np.append(found, [terms_size, terms_size + 1, terms_size + 2]), np.append(np.ones(len(found), np.int64), [len(content) + 1, 1, len(found)])
 
-    totals = count_buckets(rows, "content", statistics, terms_size + 3)
+    totals = count_buckets(rows, "content", statistics, terms_size + 3, streamed=True)
     df, n, chars = totals[:terms_size], max(int(totals[-2]), 1), int(totals[-3])
     mean = int(totals[-1]) / n
     idf = np.where((df > 1) & ((df <= COMMON * n) | (n < 8)), np.log(1 + (n - df + 0.5) / (df + 0.5)), 0).astype(np.float32)
@@ -483,17 +604,18 @@ def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int =
             useful = idf[found] > 0
             yield found[useful], np.minimum(times[useful], 65535).astype(np.uint16), int(times.sum())
 
-    def nodes_of(frame, bag, lots):
-        """Nodes are in the order of the first tree, and equal for equal rows."""
-        for doc, content, (mine, _, _) in zip(frame["doc"], frame["content"], bag):
-            yield coordinates(mine, lots) >> TERM_BITS * (COORDINATES - 2) << 27 | zlib.crc32(content.encode("utf-8", "surrogatepass"), zlib.crc32(str(doc).encode())) >> 5
+    def nodes_of(frame, keys):
+        """Nodes are in the order of the first tree, of which these are the keys, and equal for equal rows."""
+        for doc, content, key in zip(frame["doc"], frame["content"], keys):
+            yield key >> TERM_BITS * (COORDINATES - 2) << 27 | zlib.crc32(content.encode("utf-8", "surrogatepass"), zlib.crc32(str(doc).encode())) >> 5
 
     def spots(frames):
         """The places of rows in all orders, as numbers side by side: key, node."""
         lots = [lots_of(idf, t) for t in range(TREES)]
         for frame in frames:
-            bag = list(described(frame))
-            found = [(*(coordinates(mine, lot) for lot in lots), node) for node, (mine, _, _) in zip(nodes_of(frame, bag, lots[0]), bag) if len(mine)]
+            terms = [mine for mine, _, _ in described(frame)]
+            keys = [coordinates(terms, lot) for lot in lots]
+            found = [spot for mine, *spot in zip(terms, *keys, nodes_of(frame, keys[0])) if len(mine)]
             yield pd.DataFrame({"spots": [np.array(found, "<i8").tobytes()]})
 
     def ends_of_shards():
@@ -513,23 +635,22 @@ def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int =
     def post(frames):
         lots = [lots_of(idf, t) for t in range(TREES)]
         for frame in frames:
-            out, bag = [], list(described(frame))
-            for row, content, node, (mine, times, words) in zip(frame["row"], frame["content"], nodes_of(frame, bag, lots[0]), bag):
+            out, (terms, times, words) = [], map(list, zip(*described(frame)))
+            keys = [coordinates(terms, lot) for lot in lots]
+            for row, content, node, mine, held_terms, held_times, many, *key in zip(frame["row"], frame["content"], nodes_of(frame, keys[0]), terms, *flat_all(terms, times), words, *keys):
                 if len(mine):
-                    held = flat(mine, times)
-                    for t in range(TREES):
-                        key = coordinates(mine, lots[t])
-                        out.append((t * shards + bisect_right(ends[t], (key, node)), key, node, row, len(content), *held, words))
+                    out += [(t * shards + bisect_right(ends[t], (key[t], node)), key[t], node, row, len(content), held_terms, held_times, many) for t in range(TREES)]
             yield pd.DataFrame(out, columns=["part", "key", "node", "row", "chars", "terms", "times", "words"])
 
     def name(frames):
         lots = lots_of(idf, 0)
         for frame in frames:
-            yield frame[["row", "doc", "content"]].assign(node=list(nodes_of(frame, list(described(frame)), lots)))
+            keys = coordinates([mine for mine, _, _ in described(frame)], lots)
+            yield frame[["row", "doc", "content"]].assign(node=list(nodes_of(frame, keys)))
 
     def best_of(part, held):
         nodes = np.array([r[0] for r in held], np.int64)
-        terms, times = zip(*(unflat(r[3], r[4]) for r in held))
+        terms, times = unflat_all([r[3] for r in held], [r[4] for r in held])
         best, score = best_neighbours(Postings(terms, times, idf, np.array([r[5] for r in held]), mean), nodes)
         found = pd.DataFrame({"node": nodes, "best": nodes[best], "score": score, "row": np.array([r[1] for r in held], np.int64)})
         return found if part < shards else found[score > 0].assign(row=None)
@@ -552,7 +673,7 @@ def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int =
         """``(row, node, place, within, part)``: documents and their best neighbours, of all trees, share the place of the first of them. A range of
         places ends inside a group, by ``within``, only if the group has about half of a shard's documents or more. Rows without terms are not there."""
         posted = rows.mapInPandas(post, "part long, key long, node long, row long, chars long, terms binary, times binary, words long")
-        parted = posted.repartition(TREES * shards, "part").sortWithinPartitions("part", "key", "node")
+        parted = posted.repartition(-(-TREES * shards // SHARDS_PER_TASK), "part").sortWithinPartitions("part", "key", "node")
         found = stage(parted.mapInPandas(search, "node long, best long, score double, row long"), "neighbours")
         release(docs.sparkSession)
         nearest = found.filter("score > 0").groupBy("node").agg(F.max_by("best", F.struct("score", "best")).alias("best"))
@@ -579,10 +700,14 @@ def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int =
     def pack_all(frames):
         tokens = _worker_wide("|".join(paths), lambda: Tokens(*paths))
         shard = TaskContext.get().partitionId() << 20
-        held, group, place, filled, size = [], [], None, 0, 0
-        for frame in frames:
+        held, group, place, filled, size, part = [], [], None, 0, 0, None
+        for frame in (whole[k:k + _ROWS] for whole in frames for k in range(0, len(whole), _ROWS)):
             texts = list(frame["content"])
-            for row in zip(frame["place"], frame["doc"], tokens.encode_all(texts), *zip(*described(frame)), (len(t) + 1 for t in texts)):
+            for p, *row in zip(frame["part"], frame["place"], frame["doc"], tokens.encode_all(texts), *zip(*described(frame)), (len(t) + 1 for t in texts)):
+                if p != part and held + group:
+                    yield pieces(shard, held + group)
+                    shard, held, group, place, filled, size = shard + 1, [], [], None, 0, 0
+                part = p
                 if row[0] != place or filled + size + row[6] > most:
                     # A group that doesn't fit begins a shard; one larger than a shard is cut in the order of its content.
                     if row[0] == place and held:
@@ -608,6 +733,6 @@ def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int =
         places = rows.mapInPandas(name, "row long, doc long, content string, node long").withColumns({"place": F.lit(0).cast("long"), "part": F.lit(0)})
     node = F.coalesce("node", F.pmod("row", F.lit(1 << 27)))
     placed = places.select("part", "doc", "content", node.alias("node"), F.coalesce("place", node).alias("place"))
-    by_shard = placed.repartition(shards, "part").sortWithinPartitions("part", "place", "node", "doc")
+    by_shard = placed.repartition(-(-shards // SHARDS_PER_TASK), "part").sortWithinPartitions("part", "place", "node", "doc")
     packed = by_shard.mapInPandas(pack_all, "doc long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids binary")
     return packed.withColumnRenamed("doc", key)

@@ -261,6 +261,50 @@ def test_terms_take_little_room():
     assert sum(map(len, packing.flat(terms, times))) == 16 + 4 * len(terms)
 
 
+def test_a_task_takes_several_shards(spark):
+    """Beginning a task took a third of the search's time when each shard had its own."""
+    frame = spark.createDataFrame([(k, f"alpha beta{k % 7} gamma{k % 5} delta{k}") for k in range(200)], "doc_id long, text string")
+    plan = packing.pack(frame, shard_chars=1000)._jdf.queryExecution().optimizedPlan().toString()
+    shards = -(-4 * sum(len(r["text"]) + 1 for r in frame.collect()) // 3000)
+    assert shards > 4 and re.findall(r"RepartitionByExpression \[part#\d+\], (\d+)", plan) == [str(-(-shards // packing.SHARDS_PER_TASK))]
+    assert packing.SHARDS_PER_TASK > 1
+
+
+@pytest.mark.parametrize("pairs", [200, 1 << 17])
+def test_scores_of_all_for_all(monkeypatch, pairs):
+    """Terms in equally many documents are scored together, as each document's terms alone are."""
+    random = np.random.default_rng(4)
+    terms = [np.unique(np.append(random.choice(12, 4), random.choice(900, 20))) for _ in range(60)] + [np.empty(0, np.int64), np.array([5000])]
+    index = packing.Postings(terms, [random.integers(1, 4, len(t)) for t in terms], random.random(1 << packing.TERM_BITS) + 0.1)
+    monkeypatch.setattr(packing, "_PAIRS", max(pairs, int(index.df.max()) ** 2))
+    score = packing.square_scores(index, np.arange(len(index.df)))
+    for k, wanted in enumerate(terms):
+        others = np.arange(len(terms)) != k  # a term of one document alone is not scored
+        assert np.allclose(score[k, others], index.scores(wanted)[others])
+
+
+def test_many_texts_have_the_coordinates_of_each():
+    random = np.random.default_rng(6)
+    lots = random.random(1 << packing.TERM_BITS)
+    lots[7] = lots[8]
+    texts = [np.array(t, np.int64) for t in ([], [3], [7, 8], [7, 8, 9, 10])] + [np.unique(random.choice(5000, 30)) for _ in range(50)] + [np.empty(0, np.int64)]
+    for found, key in zip(texts, packing.coordinates(texts, lots)):
+        expected = 0
+        least = found[np.argsort(lots[found], kind="stable")[:packing.COORDINATES]].tolist()
+        for term in least + [0] * (packing.COORDINATES - len(least)):
+            expected = expected << packing.TERM_BITS | term
+        assert key == expected
+    assert packing.coordinates([], lots) == [] and packing.coordinates([texts[0]], lots) == [0]
+
+
+def test_many_texts_have_the_terms_of_each(monkeypatch):
+    monkeypatch.setattr(packing, "_CHUNK", 9)
+    texts = ["", "One two one", "  ", "", "Grüße, ΑΣ b\nc", "x" * 30, ""]
+    found = list(packing.words_of(texts))
+    assert [t for t, _ in found] == texts
+    assert all(a.tolist() == packing.term_hashes(t).tolist() for t, a in found)
+
+
 @pytest.mark.parametrize("cells", [200, 1 << 20])
 def test_best_neighbours_are_those_of_all_scores(monkeypatch, cells):
     random = np.random.default_rng(3)
