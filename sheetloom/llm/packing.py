@@ -485,6 +485,13 @@ def best_neighbours(index: Postings, nodes: np.ndarray) -> tuple[np.ndarray, np.
     return best, top
 
 
+def parts(frames: Iterable[pd.DataFrame], rows: int) -> Iterator[pd.DataFrame]:
+    """Frames of so many rows at most: what is made of a frame's texts is held at once."""
+    for frame in frames:
+        for start in range(0, len(frame), rows):
+            yield frame[start:start + rows]
+
+
 def _by_owner(owner: np.ndarray, what: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Where each owner's distinct ``what`` begin, and they, in order."""
     both = np.sort(owner << 32 | what)
@@ -612,7 +619,7 @@ def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int =
     def spots(frames):
         """The places of rows in all orders, as numbers side by side: key, node."""
         lots = [lots_of(idf, t) for t in range(TREES)]
-        for frame in frames:
+        for frame in parts(frames, 4 * _ROWS):
             terms = [mine for mine, _, _ in described(frame)]
             keys = [coordinates(terms, lot) for lot in lots]
             found = [spot for mine, *spot in zip(terms, *keys, nodes_of(frame, keys[0])) if len(mine)]
@@ -634,7 +641,7 @@ def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int =
 
     def post(frames):
         lots = [lots_of(idf, t) for t in range(TREES)]
-        for frame in frames:
+        for frame in parts(frames, 4 * _ROWS):
             out, (terms, times, words) = [], map(list, zip(*described(frame)))
             keys = [coordinates(terms, lot) for lot in lots]
             for row, content, node, mine, held_terms, held_times, many, *key in zip(frame["row"], frame["content"], nodes_of(frame, keys[0]), terms, *flat_all(terms, times), words, *keys):
@@ -644,7 +651,7 @@ def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int =
 
     def name(frames):
         lots = lots_of(idf, 0)
-        for frame in frames:
+        for frame in parts(frames, 4 * _ROWS):
             keys = coordinates([mine for mine, _, _ in described(frame)], lots)
             yield frame[["row", "doc", "content"]].assign(node=list(nodes_of(frame, keys)))
 
@@ -701,7 +708,7 @@ def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int =
         tokens = _worker_wide("|".join(paths), lambda: Tokens(*paths))
         shard = TaskContext.get().partitionId() << 20
         held, group, place, filled, size, part = [], [], None, 0, 0, None
-        for frame in (whole[k:k + _ROWS] for whole in frames for k in range(0, len(whole), _ROWS)):
+        for frame in parts(frames, _ROWS):
             texts = list(frame["content"])
             for p, *row in zip(frame["part"], frame["place"], frame["doc"], tokens.encode_all(texts), *zip(*described(frame)), (len(t) + 1 for t in texts)):
                 if p != part and held + group:

@@ -6,6 +6,7 @@ import sys
 import timeit
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -283,6 +284,12 @@ def test_scores_of_all_for_all(monkeypatch, pairs):
         assert np.allclose(score[k, others], index.scores(wanted)[others])
 
 
+def test_parts_are_all_rows_in_order():
+    frames = [pd.DataFrame({"a": range(k, k + n)}) for k, n in ((0, 5), (5, 0), (5, 4), (9, 1))]
+    found = [part["a"].tolist() for part in packing.parts(iter(frames), 2)]
+    assert max(map(len, found)) == 2 and sum(found, []) == list(range(10))
+
+
 def test_many_texts_have_the_coordinates_of_each():
     random = np.random.default_rng(6)
     lots = random.random(1 << packing.TERM_BITS)
